@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -122,3 +123,8 @@ def any_of(conditions) -> Column:
 
 def contains_any(text: Column, words) -> Column:
     return any_of(F.contains(text, F.lit(w)) for w in words)
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

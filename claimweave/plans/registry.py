@@ -15,6 +15,7 @@ from claimweave.plans import tables as t
 from claimweave.plans.oracles import disagreement as disagreement_sql
 from claimweave.plans.oracles import sql
 from claimweave.sources import bronze
+from claimweave.session import staged
 from claimweave.sources.weights import study_weights
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -204,9 +205,28 @@ def row_hash(spark, sf_dir):
     return silver.clean_claims(latest).select("claim_id", C.row_hash(columns, "~").alias("row_hash"))
 
 
+def pipeline_gold(spark, sf_dir) -> dict[str, DataFrame]:
+    """Silver and star-schema frames of the messy snapshots; silver is staged as the pipeline does."""
+    papers = staged(t.silver_papers(spark, sf_dir), "papers")
+    checked = staged(
+        silver.checked_claims(t.bronze_claims(spark, sf_dir), papers, F.lit(t.LATEST_RUN), t.CLAIM_TIES), "checked"
+    )
+    claims = staged(silver.valid_claims(checked), "claims")
+    live_papers, live_claims = gold.stg_papers(papers), gold.stg_claims(claims)
+    return {
+        "papers": papers,
+        "claims": claims,
+        "rejects": silver.rejected_claims(checked),
+        "dim": gold.dim_papers(live_papers, live_claims),
+        "facts": gold.fct_claims(live_claims, study_weights(spark)),
+        "runs": t.bronze_runs(spark, sf_dir),
+    }
+
+
 @query("SELECT * FROM v_live_facts")
 def pipeline_facts(spark, sf_dir):
-    return pipeline_gold(spark, sf_dir)["facts"]
+    claims = gold.stg_claims(t.valid_claims(spark, sf_dir))
+    return gold.fct_claims(claims, study_weights(spark))
 
 
 @query(
@@ -218,25 +238,8 @@ def stg_papers(spark, sf_dir):
 
 @query(disagreement_sql("v_live_facts"))
 def pipeline_disagreement(spark, sf_dir):
-    return disagreement.weighted_disagreement(pipeline_gold(spark, sf_dir)["facts"])
-
-
-def pipeline_gold(spark, sf_dir) -> dict[str, DataFrame]:
-    """Silver and star-schema frames of the messy snapshots, as one lazy plan per frame."""
-    papers = t.silver_papers(spark, sf_dir)
-    checked = silver.checked_claims(t.bronze_claims(spark, sf_dir), papers, F.lit(t.LATEST_RUN), t.CLAIM_TIES)
-    claims = silver.valid_claims(checked)
-    staged_papers, staged_claims = gold.stg_papers(papers), gold.stg_claims(claims)
-    return {
-        "papers": papers,
-        "claims": claims,
-        "rejects": silver.rejected_claims(checked),
-        "stg_papers": staged_papers,
-        "stg_claims": staged_claims,
-        "dim": gold.dim_papers(staged_papers, staged_claims),
-        "facts": gold.fct_claims(staged_claims, study_weights(spark)),
-        "runs": t.bronze_runs(spark, sf_dir),
-    }
+    claims = gold.stg_claims(t.valid_claims(spark, sf_dir))
+    return disagreement.weighted_disagreement(gold.fct_claims(claims, study_weights(spark)))
 
 
 # --- pipeline metrics -----------------------------------------------------------------------
