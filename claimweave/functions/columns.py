@@ -103,12 +103,18 @@ def reject_reason() -> Column:
     return F.coalesce(*[F.when(test, F.lit(name)) for name, test in zip(vocab.REJECT_REASONS, failed)])
 
 
+def scaled(value: Column, factor: int) -> Column:
+    """Whole number nearest to ``value * factor``. Sums of it are exact in any order."""
+    return F.rint(value * factor).cast("bigint")
+
+
 def stable_mean(value: str | Column, digits: int) -> Column:
     """Rounded mean that does not depend on the order in which partitions are added up.
 
-    The sum runs over nine exact decimal places, so two runs on different cluster sizes agree.
+    Values count in millionths, so two runs on different cluster sizes agree to the last digit.
     """
-    return F.round(F.avg(_col(value).cast("decimal(12,9)")), digits).cast("double")
+    value = _col(value)
+    return F.round(F.try_divide(F.sum(scaled(value, 1_000_000)), F.count(value) * 1_000_000.0), digits)
 
 
 def ratio(part: Column, whole: Column, digits: int | None = None) -> Column:

@@ -9,16 +9,16 @@ from claimweave.functions import columns as C
 from claimweave.functions import vocab
 from claimweave.operators.gold import PAIR
 
-WEIGHT_TYPE = "decimal(6,2)"
+WEIGHT_UNITS = 100
 
 
 def vote_totals(claims: DataFrame, weight: Column) -> DataFrame:
     """Weight and number of claims behind each result of each pair.
 
-    Weights are added as decimals: ties are exact and no sum depends on partition order.
+    Weights are added in hundredths: ties are exact and no sum depends on partition order.
     """
     return claims.groupBy(*PAIR, "result").agg(
-        F.sum(weight.cast(WEIGHT_TYPE)).alias("result_weight"), F.count("*").alias("result_claims")
+        F.sum(C.scaled(weight, WEIGHT_UNITS)).alias("result_weight"), F.count("*").alias("result_claims")
     )
 
 
@@ -45,7 +45,7 @@ def weighted_disagreement(
         *PAIR,
         C.claim_pair().alias("claim_pair"),
         "n_claims",
-        F.round(F.col("_total").cast("double"), 4).alias("total_weight"),
+        F.round(F.col("_total") / WEIGHT_UNITS, 4).alias("total_weight"),
         F.col("_winner.result").alias("weighted_majority_result"),
         F.round("_share", 4).alias("weighted_majority_fraction"),
         F.round(1 - F.col("_share"), 4).alias("weighted_disagreement_score"),
@@ -57,7 +57,7 @@ def raw_study_weight(study_type: str | Column = "study_type") -> Column:
     """Weight looked up on the raw spelling; unknown spellings count a half."""
     value = F.col(study_type) if isinstance(study_type, str) else study_type
     found = C.mapped(F.lower(value), vocab.RAW_STUDY_WEIGHTS, F.lit(vocab.RAW_STUDY_DEFAULT_WEIGHT))
-    return found.cast(WEIGHT_TYPE)
+    return found.cast("double")
 
 
 def heatmap_cells(claims: DataFrame, weight: Column | None = None) -> DataFrame:

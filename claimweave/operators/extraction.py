@@ -77,48 +77,46 @@ def reply_claims(reply: str | Column) -> Column:
     unreadable.
     """
     reply = F.col(reply) if isinstance(reply, str) else reply
-    elements = F.try_variant_get(F.try_parse_json(reply), "$", "array<variant>")
-    objects = F.transform(elements, lambda e: F.try_variant_get(e, "$", "map<string,variant>"))
-    closed = F.endswith(F.rtrim(reply), F.lit("]"))
+    trimmed = F.btrim(reply)
+    is_array = F.startswith(trimmed, F.lit("[")) & F.endswith(trimmed, F.lit("]"))
+    elements = F.try_variant_get(F.when(is_array, F.try_parse_json(trimmed)), "$", "array<variant>")
 
     def claims_if_readable(parsed: Column) -> Column:
-        whole = closed & F.forall(parsed, lambda p: F.coalesce(p["ok"], F.lit(False)))
+        whole = F.forall(parsed, lambda p: F.coalesce(p["ok"], F.lit(False)))
         return F.when(whole, F.transform(parsed, lambda p: p["claim"]))
 
-    return let(F.transform(objects, _reply_object), claims_if_readable)
+    return let(F.transform(elements, _reply_object), claims_if_readable)
 
 
-def _reply_object(fields: Column) -> Column:
-    def given(name):
-        return F.map_contains_key(fields, F.lit(name))
+def _reply_object(element: Column) -> Column:
+    """(ok, claim) of one array element."""
 
-    def value(name):
-        return F.try_element_at(fields, F.lit(name))
-
-    def as_text(name):
-        return F.try_variant_get(value(name), "$", "string")
+    def value(name, kind="variant"):
+        return F.try_variant_get(element, f"$.{name}", kind)
 
     def kind(name):
         return F.schema_of_variant(value(name))
 
     def text(name):
-        return F.when(given(name), as_text(name)).otherwise(vocab.REPLY_DEFAULTS[name])
+        return F.when(value(name).isNull(), vocab.REPLY_DEFAULTS[name]).otherwise(value(name, "string"))
 
     def is_empty(name):
-        return ~given(name) | (kind(name) == "VOID") | F.coalesce(as_text(name).isin(*EMPTY_VALUES), F.lit(False))
+        return F.coalesce(value(name, "string").isin(*EMPTY_VALUES), F.lit(True))
 
     def label(name):
-        return F.when(is_empty(name), vocab.REPLY_DEFAULTS[name]).otherwise(F.lower(as_text(name)))
+        return F.when(is_empty(name), vocab.REPLY_DEFAULTS[name]).otherwise(F.lower(value(name, "string")))
 
     def label_ok(name):
         return is_empty(name) | (kind(name) == "STRING")
 
-    number = as_text("confidence")
+    number = value("confidence", "string")
     bare_number = F.rlike(kind("confidence"), F.lit("^(BIGINT|DOUBLE|FLOAT|DECIMAL|BOOLEAN)"))
     readable = bare_number | ((kind("confidence") == "STRING") & F.rlike(number, F.lit(NUMBER)))
     as_number = F.when(number == "true", 1.0).when(number == "false", 0.0).otherwise(number.try_cast("double"))
-    confidence = F.when(given("confidence"), as_number).otherwise(vocab.REPLY_DEFAULTS["confidence"])
-    ok = fields.isNotNull() & label_ok("result") & label_ok("study_type") & (~given("confidence") | readable)
+    no_confidence = value("confidence").isNull()
+    confidence = F.when(no_confidence, vocab.REPLY_DEFAULTS["confidence"]).otherwise(as_number)
+    is_object = F.startswith(F.schema_of_variant(element), F.lit("OBJECT"))
+    ok = is_object & label_ok("result") & label_ok("study_type") & (no_confidence | readable)
     claim = _claim(
         population=text("population"),
         intervention=text("intervention"),

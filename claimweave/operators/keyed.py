@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from claimweave.session import staged
 
 HOT_ROWS = 1_000_000
-HOT_SHARE = 0.001
 SALTS = 64
 
 
@@ -43,17 +42,16 @@ def attach_to_groups(
     spread_by: str,
     n_rows: str = "_n",
     hot_rows: int = HOT_ROWS,
-    hot_share: float = HOT_SHARE,
     salts: int = SALTS,
 ) -> DataFrame:
     """Give every row the values of its group; NULL keys match each other.
 
-    ``groups`` has one row per key with its row count in ``n_rows``. Keys above both limits are
-    hot; at most ``1 / hot_share`` keys can be, so their list is safe to broadcast. Rows of a hot
-    key are spread over ``salts`` tasks and only that key's group row is repeated.
+    ``groups`` has one row per key with its row count in ``n_rows``. Keys of more than
+    ``hot_rows`` rows are hot. There are at most (all rows / ``hot_rows``) of them, a thousand per
+    billion rows, so their list is safe to broadcast. Rows of a hot key are spread over ``salts``
+    tasks and only that key's group row is repeated.
     """
-    limit = F.greatest(F.lit(float(hot_rows)), groups.agg(F.sum(n_rows) * hot_share).scalar())
-    hot = F.col(n_rows) > limit
+    hot = F.col(n_rows) > hot_rows
     hot_keys = groups.where(hot).select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.lit(True).alias("_hot"))
     salted_groups = groups.select(
         *[F.col(k).alias(f"_g_{k}") for k in keys],

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimweave.functions import columns as C
+from claimweave.operators.disagreement import WEIGHT_UNITS
 from claimweave.operators.keyed import one_row
 
 
@@ -76,7 +77,7 @@ def evidence_per_paper(dim: DataFrame, facts: DataFrame) -> DataFrame:
     per_paper = facts.groupBy("paper_id").agg(
         F.count("claim_id").alias("_claims"),
         F.countDistinct("claim_pair").alias("_pairs"),
-        F.sum(F.col("study_weight").cast("decimal(6,2)")).cast("double").alias("_weight"),
+        (F.sum(C.scaled(F.col("study_weight"), WEIGHT_UNITS)) / WEIGHT_UNITS).alias("_weight"),
         C.stable_mean("confidence", 4).alias("avg_confidence"),
         F.min("evidence_rank").alias("best_evidence_rank"),
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,19 +16,46 @@ from claimweave.functions import vocab
 BLOCK_NUMBERS = 4_000_000
 ROWS_PER_GROUP = 65_536
 
-WORD = re.compile(r"\w+")
+# Letters, digits, underscore and every byte of a non-ASCII character belong to words.
+IN_WORD = np.array([chr(b).isalnum() or b == 95 or b >= 128 for b in range(256)], dtype=np.int8)
+HASH_BASE = 0x9E3779B97F4A7C15
+SLICE = 512
 
 
-def hashed_words(texts: list[str], size: int = vocab.EMBEDDING_SIZE) -> np.ndarray:
-    """Word counts hashed into ``size`` slots, scaled to length 1: equal texts, equal vectors."""
-    vectors = np.zeros((len(texts), size), dtype=np.float32)
-    for row, text in enumerate(texts):
-        slots = [zlib.crc32(w.encode()) % size for w in WORD.findall((text or "").lower())]
-        np.add.at(vectors[row], slots, 1)
+def _unit(vectors: np.ndarray) -> np.ndarray:
     norms = np.linalg.norm(vectors, axis=1, keepdims=True)
     return vectors / np.where(norms == 0, 1, norms)
 
 
+def hashed_words(texts: list[str], size: int = vocab.EMBEDDING_SIZE) -> np.ndarray:
+    """Word counts hashed into ``size`` slots, scaled to length 1: equal texts, equal vectors.
+
+    All texts of a slice are hashed together as one byte array, without a loop over words.
+    """
+    parts = [_slice_counts(texts[i : i + SLICE], size) for i in range(0, len(texts), SLICE)]
+    return _unit(np.concatenate(parts)) if parts else np.zeros((0, size), np.float32)
+
+
+def _slice_counts(texts: list[str], size: int) -> np.ndarray:
+    encoded = [(t or "").lower().encode() for t in texts]
+    data = np.frombuffer(b" ".join([*encoded, b""]), dtype=np.uint8)
+    inside = IN_WORD[data]
+    edges = np.flatnonzero(np.diff(inside, prepend=np.int8(0), append=np.int8(0)))
+    starts, lengths = edges[::2], edges[1::2] - edges[::2]
+    counts = np.zeros((len(texts), size), dtype=np.float32)
+    if len(starts):
+        # Position inside the word decides each byte's factor; arithmetic wraps at 64 bits.
+        place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        factors = np.full(lengths.max(), HASH_BASE, dtype=np.uint64).cumprod()
+        values = data[inside == 1].astype(np.uint64) * factors[place]
+        hashes = np.add.reduceat(values, np.cumsum(lengths) - lengths)
+        slots = ((hashes >> np.uint64(17)) % np.uint64(size)).astype(np.intp)
+        ends = np.cumsum([len(e) + 1 for e in encoded])
+        owner = np.searchsorted(ends, starts, side="right")
+        counts += np.bincount(owner * size + slots, minlength=counts.size).reshape(counts.shape)
+    return counts
+
+
 def embed(
     df: DataFrame,
     text_col: str,
@@ -65,11 +90,6 @@ def embed_lists(
 # --- nearest centroid -----------------------------------------------------------------------
 
 
-def _unit(vectors: np.ndarray) -> np.ndarray:
-    norms = np.linalg.norm(vectors, axis=1, keepdims=True)
-    return vectors / np.where(norms == 0, 1, norms)
-
-
 def mean_centroids(vectors: DataFrame, group_col: str, vector_col: str, size: int) -> DataFrame:
     """Mean vector per group as ``size`` plain averages: nothing is exploded, and map tasks
     pre-aggregate every dimension."""
@@ -191,8 +211,12 @@ def average_linkage(vectors: np.ndarray, threshold: float = vocab.CLUSTER_THRESH
     """
     if len(vectors) <= 1:
         return [0] * len(vectors)
-    means, member = np.unique(_unit(np.asarray(vectors, dtype=np.float64)), axis=0, return_inverse=True)
-    member = member.ravel()
+    vectors = np.ascontiguousarray(vectors)
+    first: dict[bytes, int] = {}
+    member = np.array([first.setdefault(v.tobytes(), len(first)) for v in vectors])
+    if len(first) == 1:
+        return [0] * len(vectors)
+    means = _unit(vectors[np.unique(member, return_index=True)[1]].astype(np.float64))
     sizes = np.bincount(member).astype(np.float64)
     owner = np.arange(len(means))
     is_open = np.ones(len(means), dtype=bool)

@@ -103,14 +103,13 @@ def process_documents(
         parsed = with_replies(parsed, "full_text", model)
     reply = "reply" if model is not None else None
     readable = F.col("full_text").isNotNull()
-    found = parsed.select(
-        "paper_id",
-        "filename",
-        "full_text",
-        "_parse_error",
+    arrays = F.struct(
         F.when(readable, chunks("full_text")).alias("chunks"),
         F.when(readable, extracted_claims("full_text", reply, **rules)).alias("claims"),
     )
+    # A generator is not merged into later projections: the arrays are built once, not again for
+    # each Python function that reads them.
+    found = parsed.select("paper_id", "filename", "full_text", "_parse_error", F.inline(F.array(arrays)))
     phrases = F.transform("claims", lambda c: F.concat_ws(" ", c["intervention"], c["outcome"]))
     worked = found.withColumn("_vectors", _embedded(F.col("chunks"), embedder)).withColumn(
         "_labels", _clustered(phrases, embedder, threshold)

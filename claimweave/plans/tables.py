@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from claimweave.functions import columns as C
 from claimweave.functions import vocab
 from claimweave.operators import gold, silver
+from claimweave.session import staged
 from claimweave.sources.weights import study_weights
 
 FIRST_RUN = "19951231T000000Z"
@@ -167,7 +168,8 @@ def checked_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def valid_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.valid_claims(checked_claims(spark, sf_dir))
+    """Flagging repeats reads the checked claims twice, so they are staged, as in the pipeline."""
+    return silver.valid_claims(staged(checked_claims(spark, sf_dir), "checked"))
 
 
 def rejected_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
