@@ -77,7 +77,7 @@ def reply_claims(reply: str | Column) -> Column:
     unreadable.
     """
     reply = F.col(reply) if isinstance(reply, str) else reply
-    trimmed = F.btrim(reply)
+    trimmed = F.btrim(reply, F.lit(" \t\n\r"))
     is_array = F.startswith(trimmed, F.lit("[")) & F.endswith(trimmed, F.lit("]"))
     elements = F.try_variant_get(F.when(is_array, F.try_parse_json(trimmed)), "$", "array<variant>")
 
