@@ -27,7 +27,7 @@ def weighted_disagreement(
 ) -> DataFrame:
     """Score = 1 - share of the heaviest result; ties go to the alphabetically first result.
 
-    Two partial aggregations and no window: the first shrinks claims to one row per pair and
+    Works for any result labels. Two partial aggregations and no window: the first shrinks claims to one row per pair and
     result before any shuffle, so a pair with a third of all claims costs no more than others.
     ``zero_fraction`` is the share when a pair's weights add up to zero (else NULL).
     """
@@ -38,7 +38,48 @@ def weighted_disagreement(
         F.max("result_claims").alias("_top_claims"),
         F.min(F.struct((-F.col("result_weight")).alias("lost"), "result")).alias("_winner"),
     )
-    share = C.ratio(-F.col("_winner.lost"), F.col("_total"))
+    return _scores(
+        pairs.withColumns(
+            {"_weight": -F.col("_winner.lost"), "weighted_majority_result": F.col("_winner.result")}
+        ),
+        zero_fraction,
+    )
+
+
+def label_disagreement(claims: DataFrame, weight: Column | None = None, labels=vocab.RESULT_LABELS) -> DataFrame:
+    """The same score for claims whose results are known to be ``labels``, as the gold facts' are.
+
+    The votes of each label are columns of one hash aggregation: one shuffle, no sort. A claim
+    with another result stops the job.
+    """
+    units = C.scaled(F.col("study_weight") if weight is None else weight, WEIGHT_UNITS)
+    labels = sorted(labels)
+    votes = claims.groupBy(*PAIR).agg(
+        F.count("*").alias("n_claims"),
+        F.sum(units).alias("_total"),
+        *[F.count_if(F.col("result") == x).alias(f"_n_{x}") for x in labels],
+        *[F.coalesce(F.sum(F.when(F.col("result") == x, units)), F.lit(0)).alias(f"_w_{x}") for x in labels],
+    )
+    best = F.greatest(*[F.when(F.col(f"_n_{x}") > 0, F.col(f"_w_{x}")) for x in labels])
+    wins = [F.when((F.col(f"_n_{x}") > 0) & (F.col(f"_w_{x}") == best), F.lit(x)) for x in labels]
+    known = sum(F.col(f"_n_{x}") for x in labels)
+    checked = F.when(known == F.col("n_claims"), F.coalesce(*wins)).otherwise(
+        F.raise_error(F.concat(F.lit("unknown result label under "), C.claim_pair()))
+    )
+    return _scores(
+        votes.withColumns(
+            {
+                "_top_claims": F.greatest(*[F.col(f"_n_{x}") for x in labels]),
+                "_weight": best,
+                "weighted_majority_result": checked,
+            }
+        ),
+        None,
+    )
+
+
+def _scores(pairs: DataFrame, zero_fraction: float | None) -> DataFrame:
+    share = C.ratio(F.col("_weight"), F.col("_total"))
     if zero_fraction is not None:
         share = F.coalesce(share, F.lit(zero_fraction))
     return pairs.withColumn("_share", share).select(
@@ -46,7 +87,7 @@ def weighted_disagreement(
         C.claim_pair().alias("claim_pair"),
         "n_claims",
         F.round(F.col("_total") / WEIGHT_UNITS, 4).alias("total_weight"),
-        F.col("_winner.result").alias("weighted_majority_result"),
+        "weighted_majority_result",
         F.round("_share", 4).alias("weighted_majority_fraction"),
         F.round(1 - F.col("_share"), 4).alias("weighted_disagreement_score"),
         F.round(1 - F.col("_top_claims") / F.col("n_claims"), 4).alias("unweighted_disagreement_score"),

@@ -48,27 +48,29 @@ def attach_to_groups(
 
     ``groups`` has one row per key with its row count in ``n_rows``. Keys of more than
     ``hot_rows`` rows are hot. There are at most (all rows / ``hot_rows``) of them, a thousand per
-    billion rows, so their list is safe to broadcast. Rows of a hot key are spread over ``salts``
-    tasks and only that key's group row is repeated.
+    billion rows, so their values are safe to broadcast. The other keys meet their rows in a plain
+    join; rows of a hot key have nothing to find there and are spread over ``salts`` tasks.
     """
+    values = [c for c in groups.columns if c not in (*keys, n_rows)]
     hot = F.col(n_rows) > hot_rows
-    hot_keys = groups.where(hot).select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.lit(True).alias("_hot"))
-    salted_groups = groups.select(
-        *[F.col(k).alias(f"_g_{k}") for k in keys],
-        *[c for c in groups.columns if c not in (*keys, n_rows)],
-        F.explode(
-            F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ).alias("_g_salt"),
+
+    def side(prefix: str, condition: Column, *extra: Column) -> DataFrame:
+        return groups.where(condition).select(*[F.col(c).alias(prefix + c) for c in (*keys, *values)], *extra)
+
+    marked = rows.join(
+        F.broadcast(side("_h_", hot, F.lit(True).alias("_hot"))), _same_keys(keys, "_h_"), "left"
+    ).withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int") + 1).otherwise(0)
+    )
+    joined = marked.join(
+        # Always 0, but not a literal, which the optimizer would take out of the join keys.
+        side("_g_", ~hot, hot.cast("int").alias("_g_salt")),
+        _same_keys(keys, "_g_") & (F.col("_salt") == F.col("_g_salt")),
+        "left",
     )
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(0)
-    marked = (
-        rows.join(F.broadcast(hot_keys), _same_keys(keys, "_h_"), "left")
-        .withColumn("_salt", salt)
-        .drop("_hot", *[f"_h_{k}" for k in keys])
+    return joined.select(
+        *rows.columns, *[F.when(F.col("_hot"), F.col(f"_h_{v}")).otherwise(F.col(f"_g_{v}")).alias(v) for v in values]
     )
-    return marked.join(
-        salted_groups, _same_keys(keys, "_g_") & (F.col("_salt") == F.col("_g_salt")), "left"
-    ).drop("_salt", "_g_salt", *[f"_g_{k}" for k in keys])
 
 
 def _same_keys(keys: list[str], prefix: str) -> Column:

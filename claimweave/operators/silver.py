@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from claimweave.functions import columns as C
 from claimweave.functions import vocab
 from claimweave.operators.keyed import attach_to_groups, flag_repeats, latest_versions
+from claimweave.session import staged
 
 
 def clean_papers(latest: DataFrame) -> DataFrame:
@@ -28,8 +29,8 @@ def clean_papers(latest: DataFrame) -> DataFrame:
 def canonical_uploads(papers: DataFrame, **hot) -> DataFrame:
     """Point every copy of a file at its lowest live id.
 
-    A group without a live copy points at itself. One file name may stand for a large share of
-    all papers, so the minimum is pre-aggregated and matched back with salted hot keys.
+    A paper of a group without a live copy points at itself. One file name may stand for a large
+    share of all papers, so the minimum is pre-aggregated and hot names are matched separately.
     """
     keyed = papers.withColumn("_file", F.lower("source_filename")).withColumn("_title", F.lower("title"))
     live_id = F.when(~F.col("is_deleted"), F.col("paper_id"))
@@ -45,9 +46,15 @@ def canonical_uploads(papers: DataFrame, **hot) -> DataFrame:
     )
 
 
-def silver_papers(bronze: DataFrame, latest_run_id: str | Column, ties=(), **hot) -> DataFrame:
-    papers = canonical_uploads(clean_papers(latest_versions(bronze, latest_run_id, ties=ties)), **hot)
-    return papers.withColumn("row_hash", C.row_hash(vocab.PAPER_HASH_COLUMNS))
+def silver_papers(
+    bronze: DataFrame, latest_run_id: str | Column, ties=(), stage: bool = False, **hot
+) -> DataFrame:
+    """Cleaned papers with upload groups. Grouping reads the newest versions twice; ``stage``
+    writes them once in between instead of ranking bronze again."""
+    papers = clean_papers(latest_versions(bronze, latest_run_id, ties=ties))
+    if stage:
+        papers = staged(papers, "latest-papers")
+    return canonical_uploads(papers, **hot).withColumn("row_hash", C.row_hash(vocab.PAPER_HASH_COLUMNS))
 
 
 def clean_claims(latest: DataFrame) -> DataFrame:

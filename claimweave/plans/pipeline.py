@@ -46,7 +46,7 @@ def write_silver(
     """
     spark = bronze_papers.sparkSession
     paths = silver_paths(silver_root)
-    papers = staged(silver.silver_papers(bronze_papers, F.lit(latest_run_id)), "silver-papers")
+    papers = staged(silver.silver_papers(bronze_papers, F.lit(latest_run_id), stage=True), "silver-papers")
     checked = staged(silver.checked_claims(bronze_claims, papers, F.lit(latest_run_id)), "checked-claims")
     claims, rejects = silver.valid_claims(checked), silver.rejected_claims(checked)
     if retire_rejected and versions.history(spark, paths["claims"]) is not None:
@@ -123,7 +123,7 @@ def gold_frames(
         "fct_claims": facts,
         "claims_by_pair": gold.claims_by_pair(facts),
         "confidence_distribution": gold.confidence_distribution(facts),
-        "weighted_disagreement": disagreement.weighted_disagreement(facts),
+        "weighted_disagreement": disagreement.label_disagreement(facts),
         "layer_counts": layers,
         "quarantine_shares": metrics.quarantine_shares(claims, rejects),
         "evidence_per_paper": evidence,
@@ -155,7 +155,7 @@ def build_gold(
     facts, dim = done["fct_claims"], done["dim_papers"]
     done["claims_by_pair"] = write("claims_by_pair", gold.claims_by_pair(facts))
     done["confidence_distribution"] = write("confidence_distribution", gold.confidence_distribution(facts))
-    done["weighted_disagreement"] = write("weighted_disagreement", disagreement.weighted_disagreement(facts))
+    done["weighted_disagreement"] = write("weighted_disagreement", disagreement.label_disagreement(facts))
     runs, claims, rejects = tables["bronze_runs"], tables["claims"], tables["claims_rejects"]
     layers = metrics.layer_counts(runs, tables["papers"], claims, rejects, dim, facts)
     done["layer_counts"] = write("layer_counts", layers)

@@ -39,12 +39,17 @@ def query(oracle: str | None = None):
 
 @query("SELECT * FROM v_scores")
 def weighted_disagreement(spark, sf_dir):
-    return disagreement.weighted_disagreement(t.facts(spark, sf_dir))
+    return disagreement.label_disagreement(t.facts(spark, sf_dir))
 
 
 @query("SELECT * FROM v_order_scores")
 def weighted_disagreement_many_pairs(spark, sf_dir):
-    return disagreement.weighted_disagreement(t.order_facts(spark, sf_dir))
+    return disagreement.label_disagreement(t.order_facts(spark, sf_dir))
+
+
+@query("SELECT * FROM v_scores")
+def weighted_disagreement_any_label(spark, sf_dir):
+    return disagreement.weighted_disagreement(t.facts(spark, sf_dir))
 
 
 @query("SELECT * FROM v_facts")
@@ -239,7 +244,7 @@ def stg_papers(spark, sf_dir):
 @query(disagreement_sql("v_live_facts"))
 def pipeline_disagreement(spark, sf_dir):
     claims = gold.stg_claims(t.valid_claims(spark, sf_dir))
-    return disagreement.weighted_disagreement(gold.fct_claims(claims, study_weights(spark)))
+    return disagreement.label_disagreement(gold.fct_claims(claims, study_weights(spark)))
 
 
 # --- pipeline metrics -----------------------------------------------------------------------
@@ -391,7 +396,7 @@ def dq_reconcile(spark, sf_dir):
     return quality.gold_totals(
         facts,
         gold.claims_by_pair(facts),
-        disagreement.weighted_disagreement(facts),
+        disagreement.label_disagreement(facts),
         gold.confidence_distribution(facts),
     )
 
@@ -414,7 +419,7 @@ WHERE (n_positive > 0)::INT + (n_negative > 0)::INT + (n_null > 0)::INT + (n_mix
 )
 def dq_unanimous(spark, sf_dir):
     facts = t.order_facts(spark, sf_dir)
-    return quality.unanimous_pairs(gold.claims_by_pair(facts), disagreement.weighted_disagreement(facts))
+    return quality.unanimous_pairs(gold.claims_by_pair(facts), disagreement.label_disagreement(facts))
 
 
 @query(
@@ -489,7 +494,7 @@ def paper_listing(spark, sf_dir):
 )
 def kpi_row(spark, sf_dir):
     facts = t.facts(spark, sf_dir)
-    return dashboard.kpi_row(facts, disagreement.weighted_disagreement(facts))
+    return dashboard.kpi_row(facts, disagreement.label_disagreement(facts))
 
 
 @query(
@@ -500,7 +505,7 @@ FROM v_facts WHERE claim_pair IN (SELECT claim_pair FROM v_scores WHERE interven
 )
 def slicer_page(spark, sf_dir):
     facts = t.facts(spark, sf_dir)
-    sliced = dashboard.slice_scores(disagreement.weighted_disagreement(facts), ["brand#3", "brand#7"])
+    sliced = dashboard.slice_scores(disagreement.label_disagreement(facts), ["brand#3", "brand#7"])
     return dashboard.kpi_row(dashboard.follow_slicer(facts, sliced), sliced)
 
 
@@ -509,7 +514,7 @@ def slicer_page(spark, sf_dir):
     "ORDER BY weighted_disagreement_score DESC, claim_pair"
 )
 def contested_pairs(spark, sf_dir):
-    return dashboard.contested_pairs(disagreement.weighted_disagreement(t.facts(spark, sf_dir)))
+    return dashboard.contested_pairs(disagreement.label_disagreement(t.facts(spark, sf_dir)))
 
 
 @query(

@@ -159,7 +159,7 @@ def bronze_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.silver_papers(bronze_papers(spark, sf_dir), F.lit(LATEST_RUN))
+    return silver.silver_papers(bronze_papers(spark, sf_dir), F.lit(LATEST_RUN), stage=True)
 
 
 def checked_claims(spark: SparkSession, sf_dir: str) -> DataFrame:

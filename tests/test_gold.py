@@ -166,6 +166,9 @@ def test_ties_go_to_the_first_label_and_zero_weight(spark):
     assert rows["a"].weighted_majority_result == "mixed" and rows["a"].weighted_majority_fraction == 0.5
     assert rows["a"].unweighted_disagreement_score == pytest.approx(0.3333)
     assert rows["z"].weighted_disagreement_score is None
+    assert by(disagreement.label_disagreement(df), "outcome") == rows
+    with pytest.raises(Exception, match="unknown result label under i -> a"):
+        disagreement.label_disagreement(facts(spark, ("a", "good", 1))).collect()
     cells = by(disagreement.heatmap_cells(df, F.col("study_weight")), "outcome")
     assert cells["z"].disagreement_score == 1.0
 

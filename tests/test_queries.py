@@ -15,7 +15,17 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables a
 
 @pytest.mark.parametrize("name", sorted(entry_module.queries()))
 def test_query_matches_reference_sql(spark, name):
-    assert compare(spark, name, entry_module.queries()[name], ORACLES.get(name), SF_DIR) is None
+    plans = []
+
+    def watched(session, sf_dir):
+        df = entry_module.queries()[name](session, sf_dir)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    assert compare(spark, name, watched, ORACLES.get(name), SF_DIR) is None
+    # No cross join, no nested-loop join and no row-at-a-time Python anywhere.
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert operator not in plans[0]
 
 
 def test_entry_has_rows(spark):
