@@ -15,9 +15,18 @@ def _col(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+# What makes a trimmed text need its inner white space collapsed.
+UNEVEN_SPACE = ("  ", "\t", "\n", "\x0b", "\f", "\r")
+
+
 def norm_text(value: str | Column) -> Column:
-    """Lower case, one space between words, no outer spaces; nothing left means NULL."""
-    return F.nullif(F.lower(F.trim(F.regexp_replace(_col(value), r"\s+", " "))), F.lit(""))
+    """Lower case, one space between words, no outer spaces; nothing left means NULL.
+
+    The regular expression runs only on texts that have something to collapse.
+    """
+    trimmed = F.trim(_col(value))
+    even = F.when(contains_any(trimmed, UNEVEN_SPACE), F.regexp_replace(trimmed, r"\s+", " ")).otherwise(trimmed)
+    return F.nullif(F.lower(F.trim(even)), F.lit(""))
 
 
 def mapped(value: str | Column, mapping: dict[str, str], default: Column | None = None) -> Column:

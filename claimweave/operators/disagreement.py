@@ -119,19 +119,27 @@ def study_heatmap_cells(studies: DataFrame) -> DataFrame:
 def heatmap_matrix(
     cells: DataFrame, outcomes: list[str] | None = None, fill: float | None = 0.0
 ) -> DataFrame:
-    """Interventions as rows, outcomes as columns. ``fill=None`` keeps absent cells NULL."""
+    """Interventions as rows, outcomes as columns. ``fill=None`` keeps absent cells NULL.
+
+    A wide table is for a screen: more outcomes than ``spark.sql.pivotMaxValues`` raise an error.
+    """
     matrix = cells.groupBy("intervention").pivot("outcome", outcomes).agg(F.first("disagreement_score"))
     if fill is None:
         return matrix
     return matrix.fillna(fill, subset=[c for c in matrix.columns if c != "intervention"])
 
 
+def result_counts(studies: DataFrame) -> DataFrame:
+    """(intervention, outcome, result, n): the rows behind ``claim_groups``, for any number of labels."""
+    return studies.groupBy(*PAIR, "result").agg(F.count("*").alias("n"))
+
+
 def claim_groups(studies: DataFrame) -> DataFrame:
-    """Studies per pair with a map of result counts, built from pre-aggregated counts."""
-    counts = studies.groupBy(*PAIR, "result").agg(F.count("*").alias("n"))
+    """Studies per pair with a map of result counts. One entry per label is gathered, never studies."""
     entries = F.sort_array(F.collect_list(F.struct("result", "n")))
     return (
-        counts.groupBy(*PAIR)
+        result_counts(studies)
+        .groupBy(*PAIR)
         .agg(F.map_from_entries(entries).alias("result_counts"), F.sum("n").alias("total_studies"))
         .select(C.claim_key().alias("claim_key"), *PAIR, "result_counts", "total_studies")
     )

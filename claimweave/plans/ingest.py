@@ -176,7 +176,21 @@ def ingest(files: DataFrame, **options) -> dict[str, DataFrame]:
     }
 
 
-def ingest_folder(spark: SparkSession, path: str, first_id: int = 1, **options) -> dict[str, DataFrame]:
-    """Ingest every file below ``path``, numbered in order of path."""
-    files = sequential_ids(read_files(spark, path), ["path"], "paper_id", first_id)
+def ingest_folder(
+    spark: SparkSession, path: str, numbered: bool = False, first_id: int = 1, **options
+) -> dict[str, DataFrame]:
+    """Ingest every file below ``path``.
+
+    A paper's id is a hash of its path, checked to be unique on the paths alone, so no file content
+    moves. ``numbered`` counts up from ``first_id`` in order of path instead: the paths are
+    numbered without content and then joined to it.
+    """
+    files = read_files(spark, path)
+    if numbered:
+        files = files.join(sequential_ids(files.select("path"), ["path"], "paper_id", first_id), "path")
+    else:
+        files = files.withColumn("paper_id", F.xxhash64("path"))
+        shared = files.groupBy("paper_id").agg(F.count("*").alias("n")).where("n > 1")
+        if shared.limit(1).collect():
+            raise ValueError("Two paths share a hash; use numbered=True")
     return ingest(files.select("paper_id", "filename", "content"), **options)

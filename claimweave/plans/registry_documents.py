@@ -12,7 +12,7 @@ from claimweave.functions import columns as C
 from claimweave.functions import schemas, vocab
 from claimweave.operators import extraction, text, vectors
 from claimweave.operators.keyed import latest_versions, sequential_ids
-from claimweave.plans import ingest
+from claimweave.plans import ingest, pipeline
 from claimweave.plans import tables as t
 from claimweave.plans.oracles import CTES
 from claimweave.plans.registry import query
@@ -452,7 +452,7 @@ def table_as_of_version(spark, sf_dir):
 
 @query(
     f"""
-SELECT 0 AS version, 'CREATE' AS operation, count(*) AS inserted, 0 AS updated FROM v_old_state
+SELECT 0::BIGINT AS version, 'CREATE' AS operation, count(*) AS inserted, 0::BIGINT AS updated FROM v_old_state
 UNION ALL SELECT 1, 'MERGE', count(*) FILTER (o.id IS NULL), count(*) FILTER (o.id IS NOT NULL AND NOT ({SAME}))
 FROM v_new_state n LEFT JOIN v_old_state o ON n.id = o.id"""
 )
@@ -463,14 +463,27 @@ def version_log(spark, sf_dir):
 STREAMED = list(vocab.CLAIM_HASH_COLUMNS)
 
 
+def _valid_now(spark, silver_root: str) -> DataFrame:
+    """Stored claims that still pass. Claims rejected by now keep their last valid state in the
+    table, as upserts never delete; they are left out here."""
+    tables = pipeline.read_silver(spark, silver_root)
+    claims = tables["claims"].join(tables["claims_rejects"], "claim_id", "left_anti")
+    return claims.select("claim_id", *STREAMED)
+
+
+@query(f"SELECT claim_id, {', '.join(STREAMED)} FROM v_valid")
+def batch_silver(spark, sf_dir):
+    """All runs at once: snapshots, manifests, newest versions, checks and commits."""
+    silver_root = scratch_dir(spark, "silver")
+    pipeline.run_bronze_to_silver(spark, _write_runs(spark, sf_dir), silver_root)
+    return _valid_now(spark, silver_root)
+
+
 @query(f"SELECT claim_id, {', '.join(STREAMED)} FROM v_valid")
 def stream_silver(spark, sf_dir):
-    """Silver kept up to date run by run. Claims rejected by now keep their last valid state in
-    the table, as upserts never delete; they are left out here."""
+    """Silver kept up to date run by run."""
     bronze_root, silver_root = scratch_dir(spark, "bronze"), scratch_dir(spark, "silver")
     for as_of in RUN_TIMES:
         bronze.snapshot(spark, _bronze_run(spark, sf_dir, as_of), bronze_root, as_of)
         run_stream.process_new_runs(spark, bronze_root, silver_root, f"{silver_root}/_checkpoint")
-    claims = versions.read_version(spark, f"{silver_root}/claims", "claim_id")
-    rejects = versions.read_version(spark, f"{silver_root}/claims_rejects")
-    return claims.join(rejects, "claim_id", "left_anti").select("claim_id", *STREAMED)
+    return _valid_now(spark, silver_root)

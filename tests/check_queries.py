@@ -11,9 +11,8 @@ from compare import compare  # noqa: E402
 
 if __name__ == "__main__":
     sf_dir, *names = sys.argv[1:]
-    spark = build_session(
-        "check", "local[8]", 8, {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"}
-    )
+    quiet = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"}
+    spark = build_session("check", "local[8]", 8, quiet)
     spark.sparkContext.setLogLevel("ERROR")
     queries, oracles = entry_module.queries(), entry_module.oracle_sql()
     bad = 0

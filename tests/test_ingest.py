@@ -29,7 +29,7 @@ def test_a_bad_document_does_not_stop_the_others(spark, tmp_path):
         return hashed_words(texts)
 
     write_files(tmp_path / "in")
-    frames = ingest.ingest_folder(spark, str(tmp_path / "in"), first_id=10, embedder=careful)
+    frames = ingest.ingest_folder(spark, str(tmp_path / "in"), numbered=True, first_id=10, embedder=careful)
     papers = {r.title: r for r in frames["papers"].collect()}
     assert sorted(r.id for r in papers.values()) == [10, 11, 12, 13]  # an empty file is no upload
     assert {t: r.ingest_status for t, r in papers.items()} == {
@@ -67,6 +67,12 @@ def test_parser_and_model_hooks_and_clusters(spark):
     assert keys == ["cluster-0: statins -> ldl", "cluster-1: x -> y", "cluster-0: statins -> ldl"]
 
 
+def test_hashed_ids_read_paths_only(spark, tmp_path):
+    write_files(tmp_path)
+    papers = ingest.ingest_folder(spark, str(tmp_path))["papers"].collect()
+    assert len({r.id for r in papers}) == len(papers) == 4
+
+
 def test_processing_is_one_map(spark):
     df = spark.createDataFrame([(1, "p.txt", bytearray(b"x"))], "paper_id long, filename string, content binary")
     assert "Exchange" not in ingest.process_documents(df)._jdf.queryExecution().executedPlan().toString()
