@@ -41,27 +41,26 @@ class Measure:
 
 # Twentieths of a character per word; thousandths of the characters, lines and words.
 MEASURES = (
-    Measure("word_length", "20 * word_chars div nullif(n_words, 0)", 20, low=True),
+    Measure("word_length", "20 * word_chars div nullif(n_words, 0)", 30, low=True),
     Measure("symbol_share", "1000 * n_symbols div nullif(word_chars, 0)", 50),
-    Measure("dup_line_share", "1000 * n_dup_lines div nullif(n_lines, 0)", 100),
-    Measure("repeat_share", "1000 * n_repeat_words div nullif(n_words, 0)", 150),
+    Measure("dup_line_share", "1000 * n_dup_lines div nullif(n_lines, 0)", 400),
+    Measure("repeat_share", "1000 * n_repeat_words div nullif(n_words, 0)", 350),
 )
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
+def _window_hashes(words: Column, window: int) -> Column:
+    return F.transform(
+        F.slice(words, 1, F.greatest(F.size(words) - (window - 1), F.lit(0))),
+        lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in range(1, window)]),
+    )
 
 
-def _repeat_words(words: Column, n: Column, window: int) -> Column:
-    """Words inside windows of ``window`` words that the text holds twice or more.
+def _covered(hashes: Column, window: int) -> Column:
+    """Words inside windows that the text holds twice or more.
 
-    Window hashes are sorted together with their positions, so equal windows are neighbours; the positions of those
-    are sorted again and the words that they cover are counted, overlaps once.
+    Hashes are sorted together with their positions, so equal windows are neighbours; the positions of those are sorted
+    again and the words that they cover are counted, overlaps once.
     """
-    hashed = F.transform(
-        F.sequence(F.lit(0), n - window),
-        lambda i: F.struct(F.xxhash64(*[F.get(words, i + k) for k in range(window)]).alias("h"), i.alias("at")),
-    )
 
     def repeated(ordered: Column) -> Column:
         return F.filter(
@@ -69,8 +68,9 @@ def _repeat_words(words: Column, n: Column, window: int) -> Column:
             lambda x, i: (F.get(ordered, i - 1)["h"] == x["h"]) | (F.get(ordered, i + 1)["h"] == x["h"]),
         )
 
-    places = F.sort_array(F.transform(once(F.sort_array(hashed), repeated), lambda x: x["at"]))
-    covered = F.aggregate(
+    placed = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("at")))
+    places = F.sort_array(F.transform(once(F.sort_array(placed), repeated), lambda x: x["at"]))
+    return F.aggregate(
         places,
         F.struct(F.lit(0).alias("end"), F.lit(0).cast("bigint").alias("n")),
         lambda acc, at: F.struct(
@@ -78,29 +78,38 @@ def _repeat_words(words: Column, n: Column, window: int) -> Column:
         ),
         lambda acc: acc["n"],
     )
-    return F.when(n >= window, covered).otherwise(F.lit(0).cast("bigint"))
 
 
 def measure(docs: DataFrame, text: str = "text", window: int = 3) -> DataFrame:
     """``docs`` with the counts of ``COUNTS`` as long columns."""
     body = whole_text(text)
+    none = F.lit(0).cast("bigint")
     words = F.filter(F.split(body, SPACE), lambda w: w != "")
     lines = F.filter(F.split(body, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
+
+    def repeats(hashes: Column) -> Column:
+        # Most texts repeat no window, which a hash set tells; only the others are sorted.
+        return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), none).otherwise(_covered(hashes, window))
+
     of_words = once(
-        words, lambda w: F.struct(F.size(w).alias("n"), _repeat_words(w, F.size(w), window).alias("repeats"))
+        words,
+        lambda w: F.struct(
+            F.size(w).alias("n"),
+            F.aggregate(w, none, lambda acc, x: acc + F.char_length(x)).alias("chars"),
+            once(_window_hashes(w, window), repeats).alias("repeats"),
+        ),
     )
     of_lines = once(lines, lambda x: F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("distinct")))
-    counted = F.struct(of_words.alias("words"), of_lines.alias("lines"))
+    counted = docs.withColumn("_counted", F.struct(of_words.alias("words"), of_lines.alias("lines")))
     long = {
         "n_words": F.col("_counted.words.n"),
-        "word_chars": F.char_length(_without(body, BLANKS)),
-        "n_symbols": F.char_length(body) - F.char_length(_without(body, SYMBOLS)),
+        "word_chars": F.col("_counted.words.chars"),
+        "n_symbols": F.regexp_count(body, F.lit(f"[{SYMBOLS}]")),
         "n_lines": F.col("_counted.lines.n"),
         "n_dup_lines": F.col("_counted.lines.n") - F.col("_counted.lines.distinct"),
         "n_repeat_words": F.col("_counted.words.repeats"),
     }
-    counted_docs = docs.withColumn("_counted", counted)
-    return counted_docs.withColumns({k: v.cast("bigint") for k, v in long.items()}).drop("_counted")
+    return counted.withColumns({k: v.cast("bigint") for k, v in long.items()}).drop("_counted")
 
 
 def sketches(measured: DataFrame, keys: tuple[str, ...], measures=MEASURES) -> DataFrame:

@@ -47,7 +47,7 @@ judged AS (
   SELECT v.row_no, bool_or(value > upper + 4 * (upper - lower) + slack
       OR (measure = 'word_length' AND value < lower - 4 * (upper - lower) - slack)) AS outside
   FROM valued v
-  JOIN (VALUES ('word_length', 20), ('symbol_share', 50), ('dup_line_share', 100), ('repeat_share', 150)) AS s(measure, slack)
+  JOIN (VALUES ('word_length', 30), ('symbol_share', 50), ('dup_line_share', 400), ('repeat_share', 350)) AS s(measure, slack)
     USING (measure)
   JOIN quartiles q ON q.measure = v.measure
     AND q.lang IS NOT DISTINCT FROM CASE WHEN q.level < 2 THEN v.lang END
