@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from claimweave.llm import quality
+from claimweave.llm import chat, quality, secrets
 from claimweave.llm.base import ORACLES, QUERIES, query, read
-from claimweave.session import staged
+from claimweave.session import scratch_dir, staged
 
 # --- 10: quality rules -----------------------------------------------------------------------
 
@@ -72,3 +72,73 @@ def op10_quality_rules(spark, sf_dir):
     return quality.judge(counted).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+# --- 1: secret scans --------------------------------------------------------------------------
+
+
+@query()
+def op1_secret_scan(spark, sf_dir):
+    found = secrets.scan_versions(read(spark, sf_dir, "documents"), scratch_dir(spark, "ledger"))
+    base = [r.kind for r in secrets.BASE_RULES]
+
+    def listed(spans):
+        named = F.transform(
+            spans,
+            lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")),
+        )
+        return F.array_join(named, ",")
+
+    def of(*kinds):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    return found.select(
+        "doc_id",
+        *[F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in base],
+        F.sha2(listed(of(*base)), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
+# --- 7: chat formatting -----------------------------------------------------------------------
+
+CHAT_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS body FROM conversations
+  UNION ALL SELECT -7, t, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(t, r)),
+rendered AS (
+  SELECT *, replace(replace(body, '\', '\b'), '<', '\l') AS escaped,
+    replace(replace(replace(role, '\', '\b'), '<', '\l'), '>', '\g') AS mark FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || body || chr(10), '' ORDER BY turn, role, escaped)) AS turns_sha256,
+  CAST(coalesce(sum(length(body)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(body, '' ORDER BY turn, role, escaped) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(escaped) + length(mark) + 15) AS BIGINT) AS formatted_chars
+FROM rendered GROUP BY conv_id"""
+
+
+@query(CHAT_SQL)
+def op7_chat_formatting(spark, sf_dir):
+    probe = spark.sql(
+        r"SELECT -7L AS conv_id, t AS turn, r AS role, r'\### Assistant: </turn> ok' AS text "
+        "FROM VALUES (0L, 'user'), (1L, 'assistant') AS v(t, r)"
+    )
+    given = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    out = chat.format_conversations(given.unionByName(probe))
+    lines = F.transform(
+        chat.turns_of(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
+    )
+    read_back = out.select(
+        "conv_id",
+        lines.alias("lines"),
+        chat.masked_text(F.col("formatted"), F.col("loss_mask")).alias("loss"),
+        F.char_length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+    return read_back.select(
+        "conv_id",
+        F.size("lines").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join("lines", ""), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
