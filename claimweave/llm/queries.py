@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from claimweave.llm import chat, quality, secrets
+from claimweave.llm import chat, quality, secrets, toxicity
 from claimweave.llm.base import ORACLES, QUERIES, query, read
 from claimweave.session import scratch_dir, staged
 
@@ -142,3 +142,24 @@ def op7_chat_formatting(spark, sf_dir):
         F.sha2("loss", 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+# --- 9: toxicity ------------------------------------------------------------------------------
+
+
+def fold(column: str, folds: int):
+    return F.crc32(F.col(column).cast("string")) % folds
+
+
+@query()
+def op9_toxicity(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    seen = fold("doc_id", 4) != 2
+    labels = read(spark, sf_dir, "labels").where(seen).select("doc_id", "toxic")
+    model = toxicity.learn(docs.where(seen), labels)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (fold("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
