@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from claimweave.llm import chat, quality, secrets, toxicity
+from claimweave.llm import chat, quality, secrets, toxicity, warc
 from claimweave.llm.base import ORACLES, QUERIES, query, read
 from claimweave.session import scratch_dir, staged
 
@@ -163,3 +163,36 @@ def op9_toxicity(spark, sf_dir):
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+# --- 5: WARC ----------------------------------------------------------------------------------
+
+
+@query()
+def op5_warc_archive(spark, sf_dir):
+    folder = scratch_dir(spark, "warc")
+    warc.write_archive(read(spark, sf_dir, "pages"), folder, shard_bytes=16 << 20, file_bytes=4 << 20)
+    records = staged(
+        warc.read_archive(spark, folder).select(
+            "id", "kind", "refers", "digest", F.octet_length("payload").cast("bigint").alias("stored")
+        ),
+        "records",
+    )
+    # A revisit holds no payload: its length is that of the response it refers to.
+    responses = (
+        records.where("kind = 'response'")
+        .groupBy(F.col("id").alias("of"), F.col("digest").alias("same"))
+        .agg(F.first("stored").alias("full"))
+    )
+    joined = records.join(
+        responses,
+        (F.col("kind") == "revisit") & F.col("refers").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("same")),
+        "left",
+    )
+    return joined.select(
+        F.col("id").alias("page_id"),
+        F.coalesce("full", "stored").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        F.col("kind").alias("record_type"),
+        F.col("refers").alias("refers_to"),
+    )
