@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from claimweave.llm import chat, quality, secrets, toxicity, warc
+from claimweave.llm import bpe, chat, quality, secrets, toxicity, warc
 from claimweave.llm.base import ORACLES, QUERIES, query, read
 from claimweave.session import scratch_dir, staged
 
@@ -196,3 +197,22 @@ def op5_warc_archive(spark, sf_dir):
         F.col("kind").alias("record_type"),
         F.col("refers").alias("refers_to"),
     )
+
+
+# --- 6: BPE -----------------------------------------------------------------------------------
+
+
+def vocabulary() -> bpe.Vocabulary:
+    return bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op6_bpe_round_trip(spark, sf_dir):
+    table = vocabulary()
+    encoded = bpe.encode(read(spark, sf_dir, "documents"), table)
+    return bpe.decode(encoded, table).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
