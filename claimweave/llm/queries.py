@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from claimweave.llm import bpe, chat, quality, secrets, toxicity, warc
+from claimweave.llm import bpe, chat, language_model, quality, secrets, toxicity, warc
 from claimweave.llm.base import ORACLES, QUERIES, query, read
 from claimweave.session import scratch_dir, staged
 
@@ -216,3 +216,21 @@ def op6_bpe_round_trip(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"),
     )
+
+
+# --- 4: language-model scores -----------------------------------------------------------------
+
+
+@query()
+def op4_lm_scoring(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = language_model.score_texts(docs, ~fold("doc_id", 5).eqNullSafe(1))
+    return scored.select(
+        "doc_id",
+        fold("doc_id", 5).eqNullSafe(1).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
