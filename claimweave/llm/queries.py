@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from claimweave.llm import bpe, chat, language_model, quality, secrets, toxicity, warc
+from claimweave.llm import bpe, chat, language_model, quality, secrets, simhash, toxicity, warc
 from claimweave.llm.base import ORACLES, QUERIES, query, read
 from claimweave.session import scratch_dir, staged
 
@@ -234,3 +234,16 @@ def op4_lm_scoring(spark, sf_dir):
         "base_score",
         "score",
     )
+
+
+# --- 2: SimHash near duplicates ---------------------------------------------------------------
+
+
+@query()
+def op2_simhash_near_dup(spark, sf_dir):
+    linked = simhash.link_fingerprints(read(spark, sf_dir, "documents"))
+    return linked.select(
+        "doc_id",
+        F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
