@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from claimweave.llm import bpe, chat, language_model, quality, secrets, simhash, toxicity, warc
-from claimweave.llm.base import ORACLES, QUERIES, query, read
+from claimweave.llm import bpe, chat, embeddings, language_model, mixing, quality, secrets, simhash, toxicity, warc
+from claimweave.llm.base import ORACLES, QUERIES, query, read, whole_text
 from claimweave.session import scratch_dir, staged
 
 # --- 10: quality rules -----------------------------------------------------------------------
@@ -247,3 +247,94 @@ def op2_simhash_near_dup(spark, sf_dir):
         F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+# --- 3: embedding near duplicates -------------------------------------------------------------
+
+
+@query()
+def op3_embedding_near_dup(spark, sf_dir):
+    linked = embeddings.link_vectors(read(spark, sf_dir, "embeddings"))
+    return linked.select(
+        "vec_id",
+        "n_links",
+        F.col("component").alias("component_id"),
+        F.col("vec_id").eqNullSafe(F.col("component")).alias("kept"),
+    )
+
+
+# --- 8: mixing to target weights --------------------------------------------------------------
+
+MIX_TARGETS = {
+    "source": {f"src{i}": 1.0 for i in range(20)},
+    "lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15},
+    "topic": {"prose": 0.94, "notice": 0.03, "contact": 0.03},
+}
+MIX_ROUNDS = 20
+
+
+def topic(text: str):
+    """A document's topic by marks in its text."""
+    body = whole_text(text)
+    return (
+        F.when(F.contains(body, F.lit("icense")), "notice").when(F.contains(body, F.lit("@")), "contact").otherwise("prose")
+    )
+
+
+def mix_sql() -> str:
+    """The same raking as a chain of named steps, three for each round."""
+
+    def place(column, names):
+        return f"coalesce(list_position([{', '.join(repr(n) for n in names)}], {column}), 0)"
+
+    dims = list(MIX_TARGETS)
+    values = {
+        "source": "source",
+        "lang": "lang",
+        "topic": "CASE WHEN contains(body, 'icense') THEN 'notice' WHEN contains(body, '@') THEN 'contact' ELSE 'prose' END",
+    }
+    steps = [
+        "docs AS (SELECT doc_id, source, lang, coalesce(text, '') AS body FROM documents)",
+        "counted AS (SELECT doc_id, "
+        + ", ".join(f"{place(values[d], MIX_TARGETS[d])} AS at_{d}" for d in dims)
+        + ", len(regexp_extract_all(body, '[^\\x20\\x09-\\x0D]+')) AS tokens FROM docs)",
+        "cells AS (SELECT " + ", ".join(f"at_{d}" for d in dims) + ", sum(tokens) AS tokens FROM counted GROUP BY ALL)",
+    ]
+    for d in dims:
+        weights = ", ".join(f"({i + 1}, {w}::DOUBLE)" for i, w in enumerate(MIX_TARGETS[d].values()))
+        steps.append(
+            f"goal_{d} AS (SELECT at_{d}, CASE WHEN at_{d} = 0 THEN own ELSE "
+            f"coalesce(w, 0) / sum(coalesce(w, 0)) OVER () * (1 - coalesce(max(own) FILTER (at_{d} = 0) OVER (), 0)) END AS goal "
+            f"FROM (SELECT at_{d}, sum(tokens)::DOUBLE / (SELECT sum(tokens) FROM cells) AS own FROM cells GROUP BY 1) "
+            f"LEFT JOIN (VALUES {weights}) AS t(place, w) ON place = at_{d})"
+        )
+    last = "s0"
+    steps.append("s0 AS (SELECT *, tokens::DOUBLE / sum(tokens) OVER () AS share FROM cells)")
+    for n in range(MIX_ROUNDS):
+        for d in dims:
+            name = f"s{n}_{d}"
+            steps.append(
+                f"{name} AS MATERIALIZED (SELECT c.* EXCLUDE (share), share * goal / sum(share) OVER (PARTITION BY c.at_{d}) AS share "
+                f"FROM {last} c JOIN goal_{d} g ON c.at_{d} = g.at_{d})"
+            )
+            last = name
+    on = " AND ".join(f"r.at_{d} = k.at_{d}" for d in dims)
+    steps.append(f"rated AS (SELECT *, share / tokens / max(share / tokens) OVER () AS rate FROM {last})")
+    return (
+        "WITH " + ",\n".join(steps) + "\nSELECT doc_id, CAST(k.tokens AS BIGINT) AS tokens, round(share, 9) AS weight, "
+        "round(rate, 9) AS rate, ('0x' || substr(md5('mix:' || doc_id), 1, 12))::BIGINT / 281474976710656.0 < rate AS kept "
+        f"FROM counted k JOIN rated r ON {on}"
+    )
+
+
+@query(mix_sql())
+def op8_mix_weights(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    levels = {"source": F.col("source"), "lang": F.col("lang"), "topic": topic("text")}
+    return mixing.plan(docs, levels, MIX_TARGETS, rounds=MIX_ROUNDS).select(
+        "doc_id",
+        F.col("mix_tokens").alias("tokens"),
+        F.round("mix_weight", 9).alias("weight"),
+        F.round("mix_rate", 9).alias("rate"),
+        F.col("mix_kept").alias("kept"),
+    )
