@@ -266,7 +266,7 @@ def op3_embedding_near_dup(spark, sf_dir):
 # --- 8: mixing to target weights --------------------------------------------------------------
 
 MIX_TARGETS = {
-    "source": {f"src{i}": 1.0 for i in range(20)},
+    "source": {f"src{i}": 6.0 if i == 0 else 1.0 for i in range(20)},
     "lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15},
     "topic": {"prose": 0.94, "notice": 0.03, "contact": 0.03},
 }
