@@ -125,11 +125,14 @@ RECORD_ARROW = pa.schema(
 )
 
 
-def write_shards(folder: str, limit: int):
-    """Sorted rows of (shard, id, uri, payload, first) to files; gives the files' rows."""
+def write_shards(folder: str, limit: int, least_revisit: int):
+    """Rows sorted by shard and id to files; gives the files' rows.
+
+    Before the records of an id come its notes: rows without a payload that say which record holds a payload first.
+    """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roll, written = None, None
+        roll, current, notes, met = None, object(), {}, set()
         for batch in batches:
             for row in batch.to_pylist():
                 if roll is None or roll.shard != row["shard"]:
@@ -137,16 +140,19 @@ def write_shards(folder: str, limit: int):
                         roll.close()
                         if roll.done:
                             yield _rows(roll.done, FILE_ARROW)
-                    roll, written = _Roll(folder, row["shard"], limit), (object(), set())
+                    roll, current = _Roll(folder, row["shard"], limit), object()
+                if current != row["id"]:
+                    current, notes, met = row["id"], {}, set()
+                if row["payload"] is None:
+                    notes[row["digest"]] = row["first"]
+                    continue
                 payload = row["payload"].encode()
-                # Repeated ids are neighbours: all but the first with a payload revisit it.
-                if written[0] != row["id"]:
-                    written = (row["id"], set())
                 digest = hashlib.sha256(payload).digest()
-                again = digest in written[1]
-                written[1].add(digest)
-                revisit = row["revisit"] or again
-                roll.add(member(record(row["id"], row["uri"], payload, row["first"], revisit)))
+                # Repeated ids are neighbours: all but the first with a payload revisit it.
+                revisit = len(payload) >= least_revisit and (digest in notes or digest in met)
+                first = notes.get(digest, row["id"])
+                met.add(digest)
+                roll.add(member(record(row["id"], row["uri"], payload, first, revisit)))
         if roll is not None:
             roll.close()
             if roll.done:
@@ -225,19 +231,16 @@ def write_archive(
         .select("digest", "first")
     )
     bounds = shard_bounds(sized, shard_bytes)
-    linked = rows.withColumn("digest", digest).join(firsts, "digest", "left")
-    routed = linked.select(
-        _shard_of(bounds).cast("int").alias("shard"),
-        "id",
-        "uri",
-        "payload",
-        "first",
-        (F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))).alias("revisit"),
-    )
+    # Which records revisit an earlier one is told by notes that travel to the shard of the record: the payloads are moved
+    # once. ``firsts`` is staged, so that a payload with very many ids can be split in this join.
+    notes = sized.join(staged(firsts, "firsts"), "digest").where(~F.col("id").eqNullSafe(F.col("first")))
+    notes = notes.select("id", F.lit("").alias("uri"), F.lit(None).cast("string").alias("payload"), "digest", "first").distinct()
+    records = rows.withColumns({"digest": F.lit(None).cast("binary"), "first": F.lit(None).cast("bigint")})
+    routed = records.unionByName(notes).withColumn("shard", _shard_of(bounds).cast("int"))
     sorted_rows = routed.repartitionByRange(len(bounds) + 1, "shard").sortWithinPartitions("shard", "id", "payload", "uri")
     fs, root = _filesystem(folder)
     fs.create_dir(root)
-    written = staged(sorted_rows.mapInArrow(write_shards(folder, file_bytes), FILES), "written")
+    written = staged(sorted_rows.mapInArrow(write_shards(folder, file_bytes, least_revisit), FILES), "written")
     moved = written.mapInArrow(rename_files(folder), FILES)
     manifest = f"{folder.rstrip('/')}/manifest"
     moved.select("shard", "part", "name", "records", "bytes").write.parquet(manifest)
@@ -339,5 +342,6 @@ def read_files(folder: str, batch_bytes: int = 8 << 20):
 
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     """The records of all files in the manifest: id, uri, kind, refers, digest, payload (empty for a revisit)."""
-    files = read_manifest(spark, folder).select("name").repartition("name")
+    files = read_manifest(spark, folder).select("name")
+    files = files.repartition(max(1, files.count()))
     return files.mapInArrow(read_files(folder), RECORDS)
