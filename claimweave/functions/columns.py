@@ -117,6 +117,20 @@ def scaled(value: Column, factor: int) -> Column:
     return F.rint(value * factor).cast("bigint")
 
 
+WEIGHT = "decimal(18,9)"
+
+
+def exact_weight(value: Column) -> Column:
+    """A weight as a decimal with nine places; one that needs more places stops the job instead of being cut.
+
+    Sums of decimals are exact and do not depend on the order of partitions.
+    """
+    weight = value.cast("double")
+    return F.when(weight.isNull() | (weight.cast(WEIGHT).cast("double") == weight), weight.cast(WEIGHT)).otherwise(
+        F.raise_error(F.concat(F.lit("weight with more than nine places: "), weight.cast("string"))).cast(WEIGHT)
+    )
+
+
 def stable_mean(value: str | Column, digits: int) -> Column:
     """Rounded mean that does not depend on the order in which partitions are added up.
 

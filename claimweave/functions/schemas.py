@@ -71,12 +71,3 @@ STUDY = (
     .add("result", T.StringType())
     .add("study_type", T.StringType())
 )
-
-COMMIT = (
-    T.StructType()
-    .add("version", T.LongType())
-    .add("operation", T.StringType())
-    .add("inserted", T.LongType())
-    .add("updated", T.LongType())
-    .add("committed_at", T.StringType())
-)

@@ -134,10 +134,6 @@ REPLY_DEFAULTS = {
     "confidence": 0.5,
 }
 
-# The reading window of the interactive extractor. Opt-in, see extraction.py.
-WINDOW_CHARS = 12000
-WINDOW_SENTENCES = 10
-
 # Chunking and clustering parameters.
 CHUNK_SIZE = 1500
 CHUNK_OVERLAP = 200

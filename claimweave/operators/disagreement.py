@@ -9,16 +9,14 @@ from claimweave.functions import columns as C
 from claimweave.functions import vocab
 from claimweave.operators.gold import PAIR
 
-WEIGHT_UNITS = 100
-
 
 def vote_totals(claims: DataFrame, weight: Column) -> DataFrame:
     """Weight and number of claims behind each result of each pair.
 
-    Weights are added in hundredths: ties are exact and no sum depends on partition order.
+    Weights are added as decimals: ties are exact and no sum depends on partition order.
     """
     return claims.groupBy(*PAIR, "result").agg(
-        F.sum(C.scaled(weight, WEIGHT_UNITS)).alias("result_weight"), F.count("*").alias("result_claims")
+        F.sum(C.exact_weight(weight)).alias("result_weight"), F.count("*").alias("result_claims")
     )
 
 
@@ -52,13 +50,13 @@ def label_disagreement(claims: DataFrame, weight: Column | None = None, labels=v
     The votes of each label are columns of one hash aggregation: one shuffle, no sort. A claim
     with another result stops the job.
     """
-    units = C.scaled(F.col("study_weight") if weight is None else weight, WEIGHT_UNITS)
+    exact = C.exact_weight(F.col("study_weight") if weight is None else weight)
     labels = sorted(labels)
     votes = claims.groupBy(*PAIR).agg(
         F.count("*").alias("n_claims"),
-        F.sum(units).alias("_total"),
+        F.sum(exact).alias("_total"),
         *[F.count_if(F.col("result") == x).alias(f"_n_{x}") for x in labels],
-        *[F.coalesce(F.sum(F.when(F.col("result") == x, units)), F.lit(0)).alias(f"_w_{x}") for x in labels],
+        *[F.coalesce(F.sum(F.when(F.col("result") == x, exact)), F.lit(0)).alias(f"_w_{x}") for x in labels],
     )
     best = F.greatest(*[F.when(F.col(f"_n_{x}") > 0, F.col(f"_w_{x}")) for x in labels])
     wins = [F.when((F.col(f"_n_{x}") > 0) & (F.col(f"_w_{x}") == best), F.lit(x)) for x in labels]
@@ -86,7 +84,7 @@ def _scores(pairs: DataFrame, zero_fraction: float | None) -> DataFrame:
         *PAIR,
         C.claim_pair().alias("claim_pair"),
         "n_claims",
-        F.round(F.col("_total") / WEIGHT_UNITS, 4).alias("total_weight"),
+        F.round(F.col("_total").cast("double"), 4).alias("total_weight"),
         "weighted_majority_result",
         F.round("_share", 4).alias("weighted_majority_fraction"),
         F.round(1 - F.col("_share"), 4).alias("weighted_disagreement_score"),
@@ -116,12 +114,10 @@ def study_heatmap_cells(studies: DataFrame) -> DataFrame:
     return heatmap_cells(studies, F.lit(1))
 
 
-def heatmap_matrix(
-    cells: DataFrame, outcomes: list[str] | None = None, fill: float | None = 0.0
-) -> DataFrame:
-    """Interventions as rows, outcomes as columns. ``fill=None`` keeps absent cells NULL.
+def heatmap_matrix(cells: DataFrame, outcomes: list[str], fill: float | None = 0.0) -> DataFrame:
+    """Interventions as rows, the caller's ``outcomes`` as columns. ``fill=None`` keeps absent cells NULL.
 
-    A wide table is for a screen: more outcomes than ``spark.sql.pivotMaxValues`` raise an error.
+    The columns are named, so nothing is looked up on the driver first; ``heatmap_cells`` is the form for all outcomes.
     """
     matrix = cells.groupBy("intervention").pivot("outcome", outcomes).agg(F.first("disagreement_score"))
     if fill is None:
@@ -134,12 +130,20 @@ def result_counts(studies: DataFrame) -> DataFrame:
     return studies.groupBy(*PAIR, "result").agg(F.count("*").alias("n"))
 
 
-def claim_groups(studies: DataFrame) -> DataFrame:
-    """Studies per pair with a map of result counts. One entry per label is gathered, never studies."""
-    entries = F.sort_array(F.collect_list(F.struct("result", "n")))
-    return (
-        result_counts(studies)
-        .groupBy(*PAIR)
-        .agg(F.map_from_entries(entries).alias("result_counts"), F.sum("n").alias("total_studies"))
-        .select(C.claim_key().alias("claim_key"), *PAIR, "result_counts", "total_studies")
+def claim_groups(studies: DataFrame, labels=vocab.RESULT_LABELS) -> DataFrame:
+    """Studies per pair with a map of the counts of ``labels``, and the number of studies with another or no result.
+
+    Labels are free text, so only the given ones become map entries; ``result_counts`` has a row for every label.
+    """
+    counted = studies.groupBy(*PAIR).agg(
+        F.count("*").alias("total_studies"), *[F.count_if(F.col("result") == x).alias(f"_n_{x}") for x in labels]
+    )
+    entries = F.array(*[F.struct(F.lit(x).alias("result"), F.col(f"_n_{x}").alias("n")) for x in sorted(labels)])
+    known = sum(F.col(f"_n_{x}") for x in labels)
+    return counted.select(
+        C.claim_key().alias("claim_key"),
+        *PAIR,
+        F.map_from_entries(F.filter(entries, lambda e: e["n"] > 0)).alias("result_counts"),
+        (F.col("total_studies") - known).alias("other_results"),
+        "total_studies",
     )

@@ -18,8 +18,8 @@ CLAIM_ARRAY = T.ArrayType(CLAIM)
 
 # Numbers as a model may write them inside a string.
 NUMBER = r"(?i)^\s*[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
-# JSON values that count as "nothing given".
-EMPTY_VALUES = ("", "0", "0.0", "false", "[]", "{}")
+# JSON values that count as "nothing given"; as strings, all but the empty one are labels.
+EMPTY_VALUES = ("0", "0.0", "false", "[]", "{}")
 
 
 def _claim(**fields) -> Column:
@@ -52,15 +52,9 @@ def rule_claims(
     null_words: Iterable[str] = vocab.NULL_WORDS,
     mixed_words: Iterable[str] = vocab.MIXED_WORDS,
     negative_words: Iterable[str] = vocab.NEGATIVE_WORDS,
-    max_chars: int | None = None,
-    max_sentences: int | None = None,
 ) -> Column:
-    """One claim per sentence with a trigger word; a single placeholder claim when there is none.
-
-    The whole text is read. ``WINDOW_CHARS`` and ``WINDOW_SENTENCES`` give the short reading
-    window of the interactive extractor.
-    """
-    lowered = F.transform(sentences(text, max_chars, max_sentences), F.lower)
+    """One claim per sentence with a trigger word; a single placeholder claim when there is none."""
+    lowered = F.transform(sentences(text), F.lower)
     hits = F.filter(lowered, lambda s: contains_any(s, triggers))
     claims = F.transform(
         hits, lambda s: _claim(**vocab.RULE_CLAIM, result=direction(s, null_words, mixed_words, negative_words))
@@ -101,7 +95,8 @@ def _reply_object(element: Column) -> Column:
         return F.when(value(name).isNull(), vocab.REPLY_DEFAULTS[name]).otherwise(value(name, "string"))
 
     def is_empty(name):
-        return F.coalesce(value(name, "string").isin(*EMPTY_VALUES), F.lit(True))
+        written, is_text = value(name, "string"), kind(name) == "STRING"
+        return F.coalesce(F.when(is_text, written == "").otherwise(written.isin(*EMPTY_VALUES)), F.lit(True))
 
     def label(name):
         return F.when(is_empty(name), vocab.REPLY_DEFAULTS[name]).otherwise(F.lower(value(name, "string")))

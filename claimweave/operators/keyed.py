@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from claimweave.session import staged
 
-HOT_ROWS = 1_000_000
-SALTS = 64
-
 
 def latest_versions(
     df: DataFrame,
@@ -35,41 +32,17 @@ def latest_versions(
     )
 
 
-def attach_to_groups(
-    rows: DataFrame,
-    groups: DataFrame,
-    keys: list[str],
-    spread_by: str,
-    n_rows: str = "_n",
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Give every row the values of its group; NULL keys match each other.
+def attach_to_groups(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Give every row the values of its group, one row per key in ``groups``; NULL keys match each other.
 
-    ``groups`` has one row per key with its row count in ``n_rows``. Keys of more than
-    ``hot_rows`` rows are hot. There are at most (all rows / ``hot_rows``) of them, a thousand per
-    billion rows, so their values are safe to broadcast. The other keys meet their rows in a plain
-    join; rows of a hot key have nothing to find there and are spread over ``salts`` tasks.
+    A plain equi-join: Spark broadcasts the groups if they are small, otherwise adaptive execution splits the rows of a
+    hot key over several tasks. For that the groups must not come straight out of an aggregation by the same key (stage
+    them), because a join that reuses its partitioning is never split.
     """
-    values = [c for c in groups.columns if c not in (*keys, n_rows)]
-    hot = F.col(n_rows) > hot_rows
-
-    def side(prefix: str, condition: Column, *extra: Column) -> DataFrame:
-        return groups.where(condition).select(*[F.col(c).alias(prefix + c) for c in (*keys, *values)], *extra)
-
-    marked = rows.join(
-        F.broadcast(side("_h_", hot, F.lit(True).alias("_hot"))), _same_keys(keys, "_h_"), "left"
-    ).withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int") + 1).otherwise(0)
-    )
-    joined = marked.join(
-        # Always 0, but not a literal, which the optimizer would take out of the join keys.
-        side("_g_", ~hot, hot.cast("int").alias("_g_salt")),
-        _same_keys(keys, "_g_") & (F.col("_salt") == F.col("_g_salt")),
-        "left",
-    )
-    return joined.select(
-        *rows.columns, *[F.when(F.col("_hot"), F.col(f"_h_{v}")).otherwise(F.col(f"_g_{v}")).alias(v) for v in values]
+    values = [c for c in groups.columns if c not in keys]
+    side = groups.select(*[F.col(c).alias(f"_g_{c}") for c in groups.columns])
+    return rows.join(side, _same_keys(keys, "_g_"), "left").select(
+        *rows.columns, *[F.col(f"_g_{v}").alias(v) for v in values]
     )
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimweave.functions import columns as C
-from claimweave.operators.disagreement import WEIGHT_UNITS
 from claimweave.operators.keyed import one_row
 
 
@@ -50,19 +49,9 @@ def layer_counts(
     return reduce(DataFrame.unionByName, rows)
 
 
-def quarantine_shares(claims: DataFrame, rejects: DataFrame) -> DataFrame:
-    """Live claims by outcome of the checks. Each side is counted before the small union."""
-    passed = (
-        claims.where(~F.col("is_deleted"))
-        .groupBy(F.lit("passed").alias("check_outcome"))
-        .agg(F.count("*").alias("n_claims"))
-    )
-    failed = (
-        rejects.where(~F.col("is_deleted"))
-        .groupBy(F.col("reject_reason").alias("check_outcome"))
-        .agg(F.count("*").alias("n_claims"))
-    )
-    counted = passed.unionByName(failed)
+def outcome_shares(outcomes: DataFrame) -> DataFrame:
+    """Live claims by outcome of the checks, from (check_outcome, is_deleted) rows."""
+    counted = outcomes.where(~F.col("is_deleted")).groupBy("check_outcome").agg(F.count("*").alias("n_claims"))
     total = F.sum("n_claims").over(Window.partitionBy(F.lit(0)))
     return counted.select(
         "check_outcome",
@@ -72,12 +61,18 @@ def quarantine_shares(claims: DataFrame, rejects: DataFrame) -> DataFrame:
     )
 
 
+def quarantine_shares(claims: DataFrame, rejects: DataFrame) -> DataFrame:
+    """The same from the two silver tables."""
+    passed = claims.select(F.lit("passed").alias("check_outcome"), "is_deleted")
+    return outcome_shares(passed.unionByName(rejects.select(F.col("reject_reason").alias("check_outcome"), "is_deleted")))
+
+
 def evidence_per_paper(dim: DataFrame, facts: DataFrame) -> DataFrame:
     """Facts are aggregated per paper first, so the join meets one row per key on both sides."""
     per_paper = facts.groupBy("paper_id").agg(
         F.count("claim_id").alias("_claims"),
         F.countDistinct("claim_pair").alias("_pairs"),
-        (F.sum(C.scaled(F.col("study_weight"), WEIGHT_UNITS)) / WEIGHT_UNITS).alias("_weight"),
+        F.sum(C.exact_weight(F.col("study_weight"))).cast("double").alias("_weight"),
         C.stable_mean("confidence", 4).alias("avg_confidence"),
         F.min("evidence_rank").alias("best_evidence_rank"),
     )

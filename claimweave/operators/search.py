@@ -20,7 +20,9 @@ CLAIM_COLUMNS = (
 def _like(column: str, term: str, literal: bool) -> Column:
     if literal:
         return F.contains(F.lower(column), F.lower(F.lit(term)))
-    return F.col(column).ilike(f"%{term}%")
+    # The term's own backslashes are plain characters: another character, doubled inside the term, escapes.
+    pattern = F.concat(F.lit("%"), F.replace(F.lower(F.lit(term)), F.lit("!"), F.lit("!!")), F.lit("%"))
+    return F.like(F.lower(column), pattern, F.lit("!"))
 
 
 def search_claims(

@@ -26,18 +26,16 @@ def clean_papers(latest: DataFrame) -> DataFrame:
     )
 
 
-def canonical_uploads(papers: DataFrame, **hot) -> DataFrame:
+def canonical_uploads(papers: DataFrame) -> DataFrame:
     """Point every copy of a file at its lowest live id.
 
     A paper of a group without a live copy points at itself. One file name may stand for a large
-    share of all papers, so the minimum is pre-aggregated and hot names are matched separately.
+    share of all papers, so the minimum is pre-aggregated and staged, which lets the join split hot names.
     """
     keyed = papers.withColumn("_file", F.lower("source_filename")).withColumn("_title", F.lower("title"))
     live_id = F.when(~F.col("is_deleted"), F.col("paper_id"))
-    groups = keyed.groupBy("_file", "_title").agg(
-        F.min(live_id).alias("_first_live"), F.count("*").alias("_n")
-    )
-    attached = attach_to_groups(keyed, groups, ["_file", "_title"], "paper_id", **hot)
+    groups = staged(keyed.groupBy("_file", "_title").agg(F.min(live_id).alias("_first_live")), "upload-groups")
+    attached = attach_to_groups(keyed, groups, ["_file", "_title"])
     canonical = F.coalesce("_first_live", "paper_id")
     return attached.select(
         *papers.columns,
@@ -47,14 +45,14 @@ def canonical_uploads(papers: DataFrame, **hot) -> DataFrame:
 
 
 def silver_papers(
-    bronze: DataFrame, latest_run_id: str | Column, ties=(), stage: bool = False, **hot
+    bronze: DataFrame, latest_run_id: str | Column, ties=(), stage: bool = False
 ) -> DataFrame:
     """Cleaned papers with upload groups. Grouping reads the newest versions twice; ``stage``
     writes them once in between instead of ranking bronze again."""
     papers = clean_papers(latest_versions(bronze, latest_run_id, ties=ties))
     if stage:
         papers = staged(papers, "latest-papers")
-    return canonical_uploads(papers, **hot).withColumn("row_hash", C.row_hash(vocab.PAPER_HASH_COLUMNS))
+    return canonical_uploads(papers).withColumn("row_hash", C.row_hash(vocab.PAPER_HASH_COLUMNS))
 
 
 def clean_claims(latest: DataFrame) -> DataFrame:
@@ -92,6 +90,15 @@ def check_claims(claims: DataFrame, papers: DataFrame) -> DataFrame:
     return claims.join(lookup, "paper_id", "left").withColumn("reject_reason", C.reject_reason())
 
 
+def outcomes(checked: DataFrame) -> DataFrame:
+    """(check_outcome, is_deleted) per checked claim: the reject reason or ``passed``, and the state of its silver row."""
+    passed = F.col("reject_reason").isNull()
+    return checked.select(
+        F.coalesce("reject_reason", F.lit("passed")).alias("check_outcome"),
+        (F.col("is_deleted") | (passed & F.coalesce("_paper_deleted", F.lit(False)))).alias("is_deleted"),
+    )
+
+
 def rejected_claims(checked: DataFrame) -> DataFrame:
     """Quarantined claims. ``is_deleted`` is the claim's own state, whatever its paper's is."""
     return checked.where(F.col("reject_reason").isNotNull()).drop("_paper_deleted")

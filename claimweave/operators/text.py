@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.functions import vocab
-from claimweave.functions.columns import strip
+from claimweave.functions.columns import let, strip
 
 # White space of the Unicode standard and the four ASCII separators.
 SENTENCE_BREAK = r"(?U)(?<=[.!?])[\s\x1c-\x1f]+"
@@ -21,10 +21,22 @@ def chunks(text: str | Column, size: int = vocab.CHUNK_SIZE, overlap: int = voca
     if not 0 <= overlap < size:
         raise ValueError("overlap must be at least 0 and less than size")
     text = F.col(text) if isinstance(text, str) else text
-    starts = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)), F.lit(size - overlap))
-    return F.filter(
-        F.transform(starts, lambda s: strip(F.substring(text, s, F.lit(size)))), lambda c: c != ""
-    )
+    step = size - overlap
+
+    def windows(pieces: Column) -> Column:
+        # A window is a piece and as many following ones as it reaches into, the last one cut.
+        def window(piece: Column, i: Column) -> Column:
+            parts = [piece]
+            for k in range(1, -(-size // step)):
+                part = F.coalesce(F.get(pieces, i + k), F.lit(""))
+                parts.append(F.left(part, F.lit(min(step, size - k * step))))
+            return strip(F.concat(*parts))
+
+        return F.transform(pieces, window)
+
+    # The text is cut once, so the cost grows with its length and not with its square.
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
+    return F.filter(let(pieces, windows), lambda c: c != "")
 
 
 def chunk_documents(
@@ -45,13 +57,10 @@ def chunk_documents(
     )
 
 
-def sentences(text: str | Column, max_chars: int | None = None, max_sentences: int | None = None) -> Column:
-    """Sentences of the whole text, or of a reading window when limits are given."""
+def sentences(text: str | Column) -> Column:
+    """Sentences of the whole text."""
     text = F.col(text) if isinstance(text, str) else text
-    if max_chars is not None:
-        text = F.substring(text, 1, max_chars)
-    found = F.split(text, SENTENCE_BREAK, -1)
-    return found if max_sentences is None else F.slice(found, 1, max_sentences)
+    return F.split(text, SENTENCE_BREAK, -1)
 
 
 def sentence_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

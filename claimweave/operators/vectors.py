@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from claimweave.functions import vocab
 
-# A centroid matrix up to this many numbers (32 MB) travels with each task, or forms one block.
+# Numbers of a block of centroids (32 MB), and vectors that meet a block in one task.
 BLOCK_NUMBERS = 4_000_000
 ROWS_PER_GROUP = 65_536
 
@@ -20,6 +20,8 @@ ROWS_PER_GROUP = 65_536
 IN_WORD = np.array([chr(b).isalnum() or b == 95 or b >= 128 for b in range(256)], dtype=np.int8)
 HASH_BASE = 0x9E3779B97F4A7C15
 SLICE = 512
+# Vectors that are multiplied with a block at once.
+PRODUCT_ROWS = 256
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -72,21 +74,6 @@ def embed(
     return df.withColumn(name, vectors(text_col))
 
 
-def embed_lists(
-    texts: str | Column, embedder: Callable[[list[str]], np.ndarray] = hashed_words
-) -> Column:
-    """Vectors for an array of texts, one embedder call per Arrow batch."""
-
-    @F.pandas_udf(T.ArrayType(T.ArrayType(T.FloatType())))
-    def vectors(lists: pd.Series) -> pd.Series:
-        flat = [t if t is not None else "" for texts_ in lists for t in texts_]
-        found = np.asarray(embedder(flat), dtype=np.float32) if flat else np.zeros((0, 1), np.float32)
-        ends = np.cumsum([len(texts_) for texts_ in lists])
-        return pd.Series([list(part) for part in np.split(found, ends[:-1])], index=lists.index)
-
-    return vectors(texts)
-
-
 # --- nearest centroid -----------------------------------------------------------------------
 
 
@@ -102,99 +89,65 @@ def nearest_centroid(
     centroids: DataFrame,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
-    max_numbers: int = BLOCK_NUMBERS,
+    block_numbers: int = BLOCK_NUMBERS,
     rows_per_group: int = ROWS_PER_GROUP,
 ) -> DataFrame:
     """(id, centroid_id, similarity): largest cosine, ties to the lowest centroid id.
 
-    ``centroids`` is (centroid_id, centroid). A set of at most ``max_numbers`` numbers, checked
-    before anything is fetched, travels with the tasks and needs no shuffle. A larger set is cut
-    into blocks that are compared one by one and reduced to the best hit per vector.
+    ``centroids`` is (centroid_id, centroid). They form as many blocks of ``block_numbers`` numbers as they need; each vector
+    meets each block once, and the best hit per vector survives. A block is one row, so what is shuffled is vectors x
+    blocks, never vectors x centroids. A vector that is NULL, of another width than the centroids or with a NULL inside has
+    no nearest centroid; neither has any vector when there are no centroids.
     """
     count, width = centroids.agg(F.count("*"), F.max(F.size("centroid"))).first()
-    if not count:
-        return vectors.select(id_col).limit(0).select(
-            id_col, F.lit(None).cast("bigint").alias("centroid_id"), F.lit(None).cast("double").alias("similarity")
-        )
-    slim = vectors.select(id_col, vector_col)
-    if count * width <= max_numbers:
-        rows = sorted(centroids.select(F.col("centroid_id").cast("bigint"), "centroid").collect())
-        ids = np.array([r[0] for r in rows])
-        matrix = _unit(np.array([r[1] for r in rows], dtype=np.float64))
-        return _best_hits(slim, id_col, vector_col, lambda _: (ids, matrix))
-    n_blocks = -(-count * width // max_numbers)
-    return _nearest_in_blocks(slim, centroids, id_col, vector_col, n_blocks, rows_per_group)
-
-
-def _best_hits(slim: DataFrame, id_col: str, vector_col: str, lookup) -> DataFrame:
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            if len(frame):
-                ids, matrix = lookup(frame)
-                similarity = _unit(np.stack(frame[vector_col]).astype(np.float64)) @ matrix.T
-                best = similarity.argmax(axis=1)
-                yield pd.DataFrame(
-                    {
-                        id_col: frame[id_col],
-                        "centroid_id": ids[best],
-                        "similarity": similarity[np.arange(len(best)), best],
-                    }
-                )
-
-    schema = T.StructType(
-        [
-            slim.schema[id_col],
-            T.StructField("centroid_id", T.LongType()),
-            T.StructField("similarity", T.DoubleType()),
-        ]
+    slim = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"))
+    usable = F.coalesce((F.size("vector") == (width or 0)) & F.forall("vector", lambda x: x.isNotNull()), F.lit(False))
+    nothing = slim.where(F.lit(True) if not count else ~usable).select(
+        F.col("id").alias(id_col), F.lit(None).cast("bigint").alias("centroid_id"), F.lit(None).cast("double").alias("similarity")
     )
-    return slim.mapInPandas(run, schema)
-
-
-def _nearest_in_blocks(
-    slim: DataFrame, centroids: DataFrame, id_col: str, vector_col: str, n_blocks: int, rows: int
-) -> DataFrame:
-    """Each vector meets each block of centroids once; the best hit per vector survives.
-
-    A block is one row, so what is shuffled is vectors x blocks, never vectors x centroids. The
-    number of salts follows the number of vectors: a group holds about ``rows`` of them.
-    """
-    salts = max(1, -(-slim.count() // rows))
+    if not count:
+        return nothing
+    n_blocks = -(-count * width // block_numbers)
+    salts = max(1, -(-slim.count() // rows_per_group))
+    member = F.struct(F.col("centroid_id").cast("bigint").alias("centroid_id"), "centroid")
     packed = (
-        centroids.groupBy(F.pmod(F.xxhash64("centroid_id"), F.lit(n_blocks)).cast("int").alias("_block"))
-        .agg(F.sort_array(F.collect_list(F.struct(F.col("centroid_id").cast("bigint").alias("centroid_id"), "centroid"))).alias("_set"))
-        .select("_block", "_set", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+        centroids.groupBy(F.pmod(F.xxhash64("centroid_id"), F.lit(n_blocks)).cast("int").alias("block"))
+        .agg(F.sort_array(F.collect_list(member)).alias("members"))
+        .select("block", "members", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     )
-    asked = slim.select(
+    asked = slim.where(usable).select(
         "*",
-        F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int").alias("_salt"),
-        F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("_block"),
+        F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("salt"),
+        F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"),
     )
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return left[[id_col]].iloc[:0].assign(centroid_id=0, similarity=0.0)
-        rows = right["_set"].iloc[0]
-        ids = np.array([r["centroid_id"] for r in rows])
-        matrix = _unit(np.stack([r["centroid"] for r in rows]).astype(np.float64))
-        similarity = _unit(np.stack(left[vector_col]).astype(np.float64)) @ matrix.T
-        best = similarity.argmax(axis=1)
-        values = similarity[np.arange(len(best)), best]
-        return pd.DataFrame({id_col: left[id_col], "centroid_id": ids[best], "similarity": values})
+            return left[["id"]].iloc[:0].assign(centroid_id=0, similarity=0.0)
+        members = right["members"].iloc[0]
+        ids = np.array([r["centroid_id"] for r in members])
+        matrix = _unit(np.stack([r["centroid"] for r in members]).astype(np.float64)).T
+        found, values = np.empty(len(left), np.int64), np.empty(len(left))
+        for start in range(0, len(left), PRODUCT_ROWS):
+            part = slice(start, start + PRODUCT_ROWS)
+            similarity = _unit(np.stack(left["vector"].iloc[part]).astype(np.float64)) @ matrix
+            best = similarity.argmax(axis=1)
+            found[part], values[part] = ids[best], similarity[np.arange(len(best)), best]
+        return pd.DataFrame({"id": left["id"], "centroid_id": found, "similarity": values})
 
     schema = T.StructType(
         [
-            slim.schema[id_col],
+            slim.schema["id"],
             T.StructField("centroid_id", T.LongType()),
             T.StructField("similarity", T.DoubleType()),
         ]
     )
-    keys = ["_block", "_salt"]
-    hits = asked.groupBy(*keys).cogroup(packed.groupBy(*keys)).applyInPandas(run, schema)
+    hits = asked.groupBy("block", "salt").cogroup(packed.groupBy("block", "salt")).applyInPandas(run, schema)
     best = F.max(F.struct("similarity", (-F.col("centroid_id")).alias("low")))
-    return hits.groupBy(id_col).agg(best.alias("_best")).select(
-        id_col, (-F.col("_best.low")).alias("centroid_id"), F.col("_best.similarity").alias("similarity")
+    nearest = hits.groupBy("id").agg(best.alias("best")).select(
+        F.col("id").alias(id_col), (-F.col("best.low")).alias("centroid_id"), F.col("best.similarity").alias("similarity")
     )
+    return nearest.unionByName(nothing)
 
 
 # --- clustering inside one document ---------------------------------------------------------

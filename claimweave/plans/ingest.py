@@ -166,9 +166,9 @@ def claim_evidence_rows(processed: DataFrame) -> DataFrame:
     )
 
 
-def ingest(files: DataFrame, **options) -> dict[str, DataFrame]:
+def ingest(files: DataFrame, pdf_parser: Callable[[bytes], str] | None = None, **options) -> dict[str, DataFrame]:
     """Papers, chunks and claims of a set of files; the work is done once and staged."""
-    processed = staged(process_documents(files, **options), "ingest")
+    processed = staged(process_documents(files, pdf_parser, **options), "ingest")
     return {
         "papers": paper_rows(processed),
         "chunks": chunk_rows(processed),

@@ -23,10 +23,7 @@ def silver_paths(root: str) -> dict[str, str]:
 def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     paths = silver_paths(root)
     return {
-        "papers": versions.read_version(spark, paths["papers"], "paper_id"),
-        "claims": versions.read_version(spark, paths["claims"], "claim_id"),
-        "claims_rejects": versions.read_version(spark, paths["claims_rejects"]),
-        "bronze_runs": versions.read_version(spark, paths["bronze_runs"]),
+        name: versions.read_table(spark, path) for name, path in paths.items()
     }
 
 
@@ -39,9 +36,9 @@ def write_silver(
     at: datetime | None = None,
     retire_rejected: bool = False,
 ) -> dict[str, dict]:
-    """Build and commit the four silver tables.
+    """Build and commit the four silver tables, if the silver checks pass.
 
-    Papers and checked claims are staged once; the tables are written from the staged files
+    Papers and checked claims are staged once; the tables are checked and written from the staged files
     instead of repeating the bronze scan and its shuffles for each.
     """
     spark = bronze_papers.sparkSession
@@ -49,7 +46,8 @@ def write_silver(
     papers = staged(silver.silver_papers(bronze_papers, F.lit(latest_run_id), stage=True), "silver-papers")
     checked = staged(silver.checked_claims(bronze_claims, papers, F.lit(latest_run_id)), "checked-claims")
     claims, rejects = silver.valid_claims(checked), silver.rejected_claims(checked)
-    if retire_rejected and versions.history(spark, paths["claims"]) is not None:
+    quality.silver_gate(papers, claims)
+    if retire_rejected and versions.table_exists(spark, paths["claims"]):
         claims = claims.unionByName(_newly_rejected(spark, paths["claims"], rejects))
     return {
         "papers": versions.upsert(papers, paths["papers"], "paper_id", at=at),
@@ -62,7 +60,7 @@ def write_silver(
 
 def _newly_rejected(spark: SparkSession, path: str, rejects: DataFrame) -> DataFrame:
     """Stored live claims that the checks reject now, marked as deleted."""
-    stored = versions.read_version(spark, path, "claim_id").drop(versions.UPDATED_AT)
+    stored = versions.read_table(spark, path).drop(versions.UPDATED_AT)
     live = stored.where(~F.col("is_deleted")).join(rejects.select("claim_id"), "claim_id", "left_semi")
     gone = live.withColumn("is_deleted", F.lit(True))
     return gone.withColumn("row_hash", C.row_hash(vocab.CLAIM_HASH_COLUMNS))

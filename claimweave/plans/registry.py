@@ -15,6 +15,7 @@ from claimweave.operators.keyed import latest_versions
 from claimweave.plans import pipeline
 from claimweave.plans import tables as t
 from claimweave.plans.oracles import disagreement as disagreement_sql
+from claimweave.plans.oracles import freshness as freshness_sql
 from claimweave.plans.oracles import quality_report as quality_report_sql
 from claimweave.plans.oracles import sql
 from claimweave.sources import bronze
@@ -87,6 +88,15 @@ def unweighted_disagreement(spark, sf_dir):
     )
 
 
+FINE_WEIGHT = "CASE result WHEN 'positive' THEN 0.125 WHEN 'negative' THEN 0.2475 WHEN 'null' THEN 0.004 ELSE 0.0005 END"
+
+
+@query(disagreement_sql("v_stg_claims", FINE_WEIGHT))
+def weighted_disagreement_fine_weights(spark, sf_dir):
+    """Weights of three and four decimals, where hundredths would elect another result."""
+    return disagreement.weighted_disagreement(t.stg_claims(spark, sf_dir), F.expr(FINE_WEIGHT).cast("double"))
+
+
 RAW_WEIGHT = (
     "CASE lower(study_type) WHEN 'rct' THEN 1.0 WHEN 'randomized controlled trial' THEN 1.0 "
     "WHEN 'quasi-experimental' THEN 0.8 WHEN 'observational' THEN 0.6 WHEN 'case-control' THEN 0.5 "
@@ -109,22 +119,28 @@ def study_heatmap_cells(spark, sf_dir):
     return disagreement.study_heatmap_cells(t.bronze_claims(spark, sf_dir))
 
 
+MATRIX_OUTCOMES = ["economy", "large", "medium", "promo", "small", "standard"]
+
+
 @query(
     "SELECT intervention, "
     + ", ".join(
         f"coalesce(max(weighted_disagreement_score) FILTER (outcome = '{x}'), 0) AS {x}"
-        for x in ("economy", "large", "medium", "promo", "small", "standard")
+        for x in MATRIX_OUTCOMES
     )
     + " FROM v_scores GROUP BY intervention"
 )
 def heatmap_matrix(spark, sf_dir):
-    return disagreement.heatmap_matrix(disagreement.heatmap_cells(t.stg_claims(spark, sf_dir)))
+    return disagreement.heatmap_matrix(disagreement.heatmap_cells(t.stg_claims(spark, sf_dir)), MATRIX_OUTCOMES)
 
 
 @query(
     """
 SELECT lower(trim(intervention)) || ' -> ' || lower(trim(outcome)) AS claim_key, intervention, outcome,
-  string_agg(result || '=' || n, ';' ORDER BY result) AS result_counts, CAST(sum(n) AS BIGINT) AS total_studies
+  coalesce(string_agg(result || '=' || n, ';' ORDER BY result) FILTER (result IN ('positive', 'negative', 'null', 'mixed')), '')
+    AS result_counts,
+  CAST(sum(n) FILTER (result IS NULL OR result NOT IN ('positive', 'negative', 'null', 'mixed')) AS BIGINT) AS other_results,
+  CAST(sum(n) AS BIGINT) AS total_studies
 FROM (SELECT intervention, outcome, result, count(*) AS n FROM v_bronze_claims GROUP BY 1, 2, 3)
 GROUP BY intervention, outcome"""
 )
@@ -264,8 +280,8 @@ def layer_counts(spark, sf_dir):
 
 @query("SELECT * FROM v_quarantine")
 def quarantine_shares(spark, sf_dir):
-    frames = pipeline_gold(spark, sf_dir)
-    return metrics.quarantine_shares(frames["claims"], frames["rejects"])
+    """Straight from the checked claims: repeats and hashes play no part in the shares."""
+    return metrics.outcome_shares(silver.outcomes(t.checked_claims(spark, sf_dir)))
 
 
 @query("SELECT * FROM v_evidence")
@@ -282,46 +298,14 @@ def run_history(spark, sf_dir):
     return runs.withColumn("exported_at", F.col("exported_at").cast("timestamp_ntz"))
 
 
-@query(
-    """
-SELECT ingest_date, n_runs, first_exported_at, last_exported_at, papers_rows, claims_rows,
-  papers_rows - lag(papers_rows) OVER (ORDER BY ingest_date) AS papers_added,
-  claims_rows - lag(claims_rows) OVER (ORDER BY ingest_date) AS claims_added,
-  CAST(DATE '2024-02-15' - ingest_date AS INT) AS days_ago
-FROM (SELECT ingest_date, run_id, exported_at AS last_exported_at, papers_rows, claims_rows,
-        count(*) OVER (PARTITION BY ingest_date) AS n_runs,
-        min(exported_at) OVER (PARTITION BY ingest_date) AS first_exported_at,
-        row_number() OVER (PARTITION BY ingest_date ORDER BY run_id DESC) AS place
-      FROM (SELECT run_id, ingest_date, exported_at,
-              CAST(sum(CASE WHEN source_table = 'papers' THEN n_rows ELSE 0 END) AS BIGINT) AS papers_rows,
-              CAST(sum(CASE WHEN source_table = 'claim_evidence' THEN n_rows ELSE 0 END) AS BIGINT) AS claims_rows
-            FROM v_hourly_runs GROUP BY 1, 2, 3))
-WHERE place = 1"""
-)
+@query(freshness_sql("v_hourly_runs", "DATE '2024-02-15'"))
 def freshness(spark, sf_dir):
     runs = bronze.runs_from_manifests(t.hourly_manifests(spark, sf_dir))
     runs = runs.withColumn("exported_at", F.col("exported_at").cast("timestamp_ntz"))
     return metrics.freshness(runs, F.lit("2024-02-15").cast("date"))
 
 
-@query(
-    """
-SELECT r.*, round((epoch(TIMESTAMP '2002-01-01') - epoch(r.last_exported_at)) / 3600.0, 1) AS hours_since_last_export,
-  l.*, round(l.quarantined_claims / nullif(l.bronze_claims, 0), 4) AS quarantine_rate,
-  p.failed_papers, round(p.failed_papers / nullif(p.n_papers, 0), 4) AS failed_paper_rate, p.papers_with_evidence,
-  round(p.mean_claims, 2) AS avg_claims_per_processed_paper,
-  (SELECT count(DISTINCT claim_pair) FROM v_live_facts) AS n_claim_pairs, TIMESTAMP '2002-01-01' AS measured_at
-FROM (SELECT max(run_id) AS latest_run_id, max(ingest_date) AS latest_ingest_date, max(exported_at) AS last_exported_at,
-        count(DISTINCT run_id) AS n_export_runs FROM v_runs) r,
-  (SELECT max(n_rows) FILTER (table_name = 'papers' AND layer = 'bronze') AS bronze_papers,
-     max(n_rows) FILTER (table_name = 'claim_evidence') AS bronze_claims,
-     max(n_rows) FILTER (table_name = 'claims_rejects') AS quarantined_claims,
-     max(n_rows) FILTER (table_name = 'dim_papers') AS gold_papers,
-     max(n_rows) FILTER (table_name = 'fct_claims') AS gold_claims FROM v_layers) l,
-  (SELECT count(*) AS n_papers, count(*) FILTER (ingest_status = 'failed') AS failed_papers,
-     count(*) FILTER (has_evidence) AS papers_with_evidence,
-     avg(n_claims) FILTER (ingest_status = 'processed') AS mean_claims FROM v_live_evidence) p"""
-)
+@query("SELECT * FROM v_summary")
 def pipeline_summary(spark, sf_dir):
     frames = pipeline_gold(spark, sf_dir)
     evidence = metrics.evidence_per_paper(frames["dim"], frames["facts"])
@@ -389,13 +373,15 @@ def dq_between(spark, sf_dir):
 
 @query(
     """
-SELECT *, fact_claims = by_pair_claims AND fact_claims = disagreement_claims AND fact_claims = histogram_claims AS reconciles
-FROM (SELECT (SELECT count(*) FROM v_facts) AS fact_claims, (SELECT CAST(sum(n_claims) AS BIGINT) FROM v_by_pair) AS by_pair_claims,
-  (SELECT CAST(sum(n_claims) AS BIGINT) FROM v_scores) AS disagreement_claims,
-  (SELECT CAST(sum(n_claims) AS BIGINT) FROM v_histogram) AS histogram_claims)"""
+SELECT * REPLACE (CAST(by_pair_claims AS BIGINT) AS by_pair_claims, CAST(disagreement_claims AS BIGINT) AS disagreement_claims,
+  CAST(histogram_claims AS BIGINT) AS histogram_claims, CAST(fact_claims AS BIGINT) AS fact_claims)
+FROM (SELECT max(n) FILTER (part = 'facts') AS fact_claims, max(n) FILTER (part = 'pairs') AS by_pair_claims,
+  max(n) FILTER (part = 'scores') AS disagreement_claims, max(n) FILTER (part = 'histogram') AS histogram_claims,
+  count(DISTINCT n) = 1 AS reconciles FROM v_totals)"""
 )
 def dq_reconcile(spark, sf_dir):
-    facts = t.facts(spark, sf_dir)
+    # Four totals read the facts, so their join is written once.
+    facts = staged(t.facts(spark, sf_dir), "facts")
     return quality.gold_totals(
         facts,
         gold.claims_by_pair(facts),
@@ -406,10 +392,10 @@ def dq_reconcile(spark, sf_dir):
 
 @query(
     """
-SELECT *, bronze_papers = silver_papers AND bronze_claims = silver_claims_checked AS reconciles FROM (
-  SELECT max(n_rows) FILTER (step = 1) AS bronze_papers, max(n_rows) FILTER (step = 3) AS silver_papers,
-    max(n_rows) FILTER (step = 2) AS bronze_claims,
-    max(n_rows) FILTER (step = 4) + max(n_rows) FILTER (step = 5) AS silver_claims_checked FROM v_layers)"""
+SELECT n['bronze.papers'] AS bronze_papers, n['silver.papers'] AS silver_papers, n['bronze.claim_evidence'] AS bronze_claims,
+  n['silver.claims'] + n['silver.claims_rejects'] AS silver_claims_checked,
+  [n['bronze.papers'], n['bronze.claim_evidence']] = [n['silver.papers'], n['silver.claims'] + n['silver.claims_rejects']] AS reconciles
+FROM v_layer_map"""
 )
 def dq_no_rows_lost(spark, sf_dir):
     return quality.layer_totals(layers_of(pipeline_gold(spark, sf_dir)))
@@ -417,8 +403,8 @@ def dq_no_rows_lost(spark, sf_dir):
 
 @query(
     """
-SELECT s.claim_pair, s.weighted_disagreement_score FROM v_order_scores s JOIN v_order_by_pair p ON s.claim_pair = p.claim_pair
-WHERE (n_positive > 0)::INT + (n_negative > 0)::INT + (n_null > 0)::INT + (n_mixed > 0)::INT = 1"""
+SELECT claim_pair, weighted_disagreement_score FROM v_order_scores
+SEMI JOIN (SELECT claim_pair FROM v_order_facts GROUP BY 1 HAVING count(DISTINCT result) = 1) USING (claim_pair)"""
 )
 def dq_unanimous(spark, sf_dir):
     facts = t.order_facts(spark, sf_dir)
@@ -502,6 +488,22 @@ def study_search(spark, sf_dir):
     return found.select("intervention", "outcome", "population", "result", "study_type")
 
 
+@query(
+    """
+SELECT intervention, outcome, count(*) AS total_studies, count_if(result = 'positive') AS n_positive
+FROM v_stg_claims WHERE contains(concat_ws(' ', intervention, outcome), '#2') AND contains(study_type, 'co') GROUP BY ALL"""
+)
+def grouped_study_search(spark, sf_dir):
+    """Filter, then group."""
+    groups = disagreement.claim_groups(search.search_studies(t.stg_claims(spark, sf_dir), topic="#2", study_type="CO"))
+    return groups.select(
+        "intervention",
+        "outcome",
+        "total_studies",
+        F.coalesce(F.try_element_at("result_counts", F.lit("positive")), F.lit(0)).alias("n_positive"),
+    )
+
+
 @query("SELECT id, title, source_filename, ingest_status, ingest_error FROM v_bronze_papers ORDER BY created_at DESC, id")
 def paper_listing(spark, sf_dir):
     return search.list_papers(t.bronze_papers(spark, sf_dir))

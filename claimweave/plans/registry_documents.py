@@ -196,10 +196,52 @@ def embed_chunks(spark, sf_dir):
     return embedded.select("chunk_id", F.array_join(numbers, ",").alias("embedding"))
 
 
-@query()
+def hashed_words_sql() -> str:
+    """Slots and counts of the hashed words: a word's bytes times powers of the base, modulo two to the 64th."""
+    powers, power = [], 1
+    for _ in range(400):
+        power = power * vectors.HASH_BASE % 2**64
+        powers.append(f"{power}::UHUGEINT")
+    return f"""
+WITH chunk_words AS (
+  SELECT doc_id || ':' || chunk_index AS chunk_id, word, count(*) AS n
+  FROM (SELECT doc_id, chunk_index, unnest(regexp_extract_all(lower(content), '[0-9a-zA-Z_\x{{80}}-\x{{10FFFF}}]+')) AS word FROM v_chunks)
+  GROUP BY ALL),
+hashed AS (
+  SELECT word, ((list_sum(list_transform(range(len(h) // 2), lambda i:
+    ('0x' || substr(h, CAST(2 * i + 1 AS INT), 2))::UHUGEINT * powers[i + 1])) % 18446744073709551616::UHUGEINT)
+    // 131072::UHUGEINT) % {vocab.EMBEDDING_SIZE} AS slot
+  FROM (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM chunk_words)), (SELECT [{", ".join(powers)}] AS powers)),
+counted AS (SELECT chunk_id, CAST(slot AS INT) AS slot, sum(n) AS n FROM chunk_words JOIN hashed USING (word) GROUP BY ALL),
+shares AS (
+  SELECT chunk_id, string_agg(slot || ':' || CAST(round(1000 * n / least_n) AS BIGINT), ',' ORDER BY slot) AS slots
+  FROM (SELECT *, min(n) OVER (PARTITION BY chunk_id) AS least_n FROM counted) GROUP BY chunk_id)
+SELECT doc_id || ':' || chunk_index AS chunk_id, {vocab.EMBEDDING_SIZE} AS size, coalesce(slots, '') AS slots,
+  slots IS NOT NULL AS is_unit
+FROM v_chunks LEFT JOIN shares ON chunk_id = doc_id || ':' || chunk_index"""
+
+
+@query(hashed_words_sql())
 def embed_chunks_hashed(spark, sf_dir):
+    """Per chunk the slots of its vector in thousandths of the smallest one, and whether its length is one."""
     chunks = text.chunk_documents(t.read(spark, sf_dir, "documents"), "doc_id", "text")
-    return vectors.embed(chunks.select("chunk_id", "doc_id", "chunk_index", "content"), "content")
+    embedded = vectors.embed(chunks.select("chunk_id", "content"), "content").select(
+        "chunk_id", F.transform("embedding", lambda x: x.cast("double")).alias("e")
+    )
+    least = F.array_min(F.filter("e", lambda x: x > 0))
+    listed = F.transform(
+        "e",
+        lambda x, i: F.when(
+            x > 0, F.concat_ws(":", i.cast("string"), F.round(1000 * x / F.col("least")).cast("bigint").cast("string"))
+        ),
+    )
+    square = F.aggregate("e", F.lit(0.0), lambda a, x: a + x * x)
+    return embedded.withColumn("least", least).select(
+        "chunk_id",
+        F.size("e").alias("size"),
+        F.array_join(listed, ",").alias("slots"),
+        (F.abs(square - 1) < 1e-5).alias("is_unit"),
+    )
 
 
 # --- vectors --------------------------------------------------------------------------------
@@ -229,21 +271,68 @@ def nearest_centroid(spark, sf_dir):
 
 @query(NEAREST)
 def nearest_centroid_in_blocks(spark, sf_dir):
-    """The same with centroids taken as too many to travel with the tasks."""
-    found = vectors.nearest_centroid(*_centroids(spark, sf_dir), max_numbers=256, rows_per_group=4096)
+    """The same with many small blocks."""
+    found = vectors.nearest_centroid(*_centroids(spark, sf_dir), block_numbers=256, rows_per_group=4096)
     return found.select("vec_id", "centroid_id")
 
 
-@query()
+PARTS = 8
+
+
+def linkage_sql() -> str:
+    """Average linkage step by step: the closest two clusters of a document become one while they are close enough.
+
+    A cluster's number is its first member, so the final labels are its rank.
+    """
+    steps = [
+        f"""parts AS (
+  SELECT vec_id, i, CASE WHEN vec_id % 3 = 0 AND i % 2 = 1 THEN list_transform(embedding[8 * i - 7:8 * i], lambda x: x * 3)
+    ELSE embedding[8 * i + 1:8 * i + 8] END AS v
+  FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS embedding, unnest(range({PARTS})) AS i FROM embeddings))""",
+        """apart AS (
+  SELECT a.vec_id, a.i AS x, b.i AS y, 1 - list_cosine_similarity(a.v, b.v) AS d FROM parts a JOIN parts b USING (vec_id))""",
+        "s0 AS (SELECT vec_id, i, i AS c FROM parts)",
+    ]
+    for n in range(1, PARTS):
+        steps.append(f"""s{n} AS MATERIALIZED (
+  SELECT s.vec_id, i, if(c = gone, into_c, c) AS c FROM s{n - 1} s LEFT JOIN (
+    SELECT vec_id, arg_min(a, d) AS into_c, arg_min(b, d) AS gone FROM (
+      SELECT p.vec_id, p.c AS a, q.c AS b, avg(d) AS d FROM s{n - 1} p JOIN s{n - 1} q ON p.vec_id = q.vec_id AND p.c < q.c
+      JOIN apart t ON t.vec_id = p.vec_id AND x = p.i AND y = q.i GROUP BY ALL HAVING avg(d) < {vocab.CLUSTER_THRESHOLD})
+    GROUP BY vec_id) m ON m.vec_id = s.vec_id)""")
+    return (
+        "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, string_agg(label, ',' ORDER BY i) AS labels
+FROM (SELECT vec_id, i, dense_rank() OVER (PARTITION BY vec_id ORDER BY c) - 1 AS label FROM s{PARTS - 1}) GROUP BY vec_id"""
+    )
+
+
+@query(linkage_sql())
 def cluster_claims(spark, sf_dir):
-    """Each vector cut into eight parts, which stand for the claim vectors of one document."""
-    parts = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.slice("embedding", i * 8 + 1, F.lit(8)))
-    return t.read(spark, sf_dir, "embeddings").select("vec_id", vectors.cluster_labels(parts).alias("labels"))
+    """Each vector cut into eight parts, which stand for the claim vectors of one document.
+
+    In every third document each second part is the one before it, scaled, so that there is something to merge.
+    """
+    table = t.read(spark, sf_dir, "embeddings")
+
+    def part(i):
+        own = F.slice("embedding", i * 8 + 1, F.lit(8))
+        copied = F.transform(F.slice("embedding", F.greatest(i * 8 - 7, F.lit(1)), F.lit(8)), lambda x: x * 3)
+        return F.when((F.col("vec_id") % 3 == 0) & (i % 2 == 1), copied).otherwise(own)
+
+    parts = F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda i: F.transform(part(i), lambda x: x.cast("float")))
+    labels = F.transform(vectors.cluster_labels(parts), lambda x: x.cast("string"))
+    return table.select("vec_id", F.array_join(labels, ",").alias("labels"))
 
 
 # --- ingestion ------------------------------------------------------------------------------
 
 
+def read_plain(content: bytes) -> str:
+    """Stands in for a PDF parser: the test files hold plain text."""
+    return content.decode()
+
+
 def _files(docs: DataFrame) -> DataFrame:
     suffix = F.when(F.col("lang") == "de", ".pdf").otherwise(".txt")
     name = F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string"), suffix)
@@ -263,7 +352,7 @@ FROM documents d"""
 INGESTED_CLAIMS = """
 SELECT c.doc_id AS paper_id, claim_index, 'cluster-0: ' || intervention || ' -> ' || outcome AS claim_key, population,
   intervention, outcome, result, study_type, confidence
-FROM v_doc_claims c JOIN documents d ON c.doc_id = d.doc_id WHERE lang <> 'de'"""
+FROM v_doc_claims c"""
 
 
 @query(INGESTED)
@@ -281,7 +370,7 @@ def ingest_documents(spark, sf_dir):
 
 @query(INGESTED_CLAIMS)
 def ingest_claims(spark, sf_dir):
-    return ingest.ingest(_files(t.read(spark, sf_dir, "documents")), **RULES)["claims"]
+    return ingest.ingest(_files(t.read(spark, sf_dir, "documents")), read_plain, **RULES)["claims"]
 
 
 def _stream_documents(spark, sf_dir) -> str:
@@ -289,7 +378,7 @@ def _stream_documents(spark, sf_dir) -> str:
     schema = t.read(spark, sf_dir, "documents").schema
     stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/documents*.parquet")
     root = scratch_dir(spark, "uploads")
-    uploads.process_new_documents(_files(stream), root, f"{root}/_checkpoint", **RULES)
+    uploads.process_new_documents(_files(stream), root, f"{root}/_checkpoint", pdf_parser=read_plain, **RULES)
     return root
 
 
@@ -298,6 +387,15 @@ def stream_claims(spark, sf_dir):
     return uploads.read_sink(spark, _stream_documents(spark, sf_dir), "claims")
 
 
+@query(
+    "SELECT doc_id || ':' || chunk_index AS chunk_id, doc_id AS paper_id, chunk_index, 'body' AS section, content, 256 AS width FROM v_chunks"
+)
+def stream_chunks(spark, sf_dir):
+    """Chunks and their vectors, read from the sink that the stream wrote."""
+    sink = uploads.read_sink(spark, _stream_documents(spark, sf_dir), "chunks")
+    return sink.select("chunk_id", "paper_id", "chunk_index", "section", "content", F.size("embedding").alias("width"))
+
+
 # --- studies --------------------------------------------------------------------------------
 
 CTES["v_study_lines"] = """
@@ -427,11 +525,10 @@ def upsert_changes(spark, sf_dir):
     return versions.classify_changes(old, new, "id")
 
 
-def _upserted(spark, sf_dir) -> str:
-    root = scratch_dir(spark, "versions")
-    versions.upsert(_state(spark, sf_dir, t.LATEST_RUN), root, "id")
-    versions.upsert(_state(spark, sf_dir, t.FIRST_RUN), root, "id")
-    return root
+def _upserted(spark, sf_dir, *without_runs: str) -> tuple[str, list[dict]]:
+    """A table after one upsert per state, and what each of them did."""
+    path = scratch_dir(spark, "upserts")
+    return path, [versions.upsert(_state(spark, sf_dir, run), path, "id") for run in without_runs]
 
 
 STATE_COLUMNS = ", ".join(("id", *HASHED))
@@ -442,12 +539,15 @@ STATE_COLUMNS = ", ".join(("id", *HASHED))
     f"SELECT {STATE_COLUMNS} FROM v_old_state WHERE id NOT IN (SELECT id FROM v_new_state)"
 )
 def upserted_table(spark, sf_dir):
-    return versions.read_version(spark, _upserted(spark, sf_dir), "id").select("id", *HASHED)
+    path, _ = _upserted(spark, sf_dir, t.LATEST_RUN, t.FIRST_RUN)
+    return versions.read_table(spark, path).select("id", *HASHED)
 
 
 @query(f"SELECT {STATE_COLUMNS} FROM v_old_state")
 def table_as_of_version(spark, sf_dir):
-    return versions.read_version(spark, _upserted(spark, sf_dir), "id", 0).select("id", *HASHED)
+    """The table before its second upsert."""
+    path, _ = _upserted(spark, sf_dir, t.LATEST_RUN)
+    return versions.read_table(spark, path).select("id", *HASHED)
 
 
 @query(
@@ -457,7 +557,10 @@ UNION ALL SELECT 1, 'MERGE', count(*) FILTER (o.id IS NULL), count(*) FILTER (o.
 FROM v_new_state n LEFT JOIN v_old_state o ON n.id = o.id"""
 )
 def version_log(spark, sf_dir):
-    return versions.history(spark, _upserted(spark, sf_dir)).drop("committed_at")
+    """What each upsert of the job changed."""
+    _, done = _upserted(spark, sf_dir, t.LATEST_RUN, t.FIRST_RUN)
+    rows = [(i, x["operation"], x["inserted"], x["updated"]) for i, x in enumerate(done)]
+    return spark.createDataFrame(rows, "version bigint, operation string, inserted bigint, updated bigint")
 
 
 STREAMED = list(vocab.CLAIM_HASH_COLUMNS)

@@ -83,9 +83,16 @@ def snapshot(
 
 
 def read_manifests(spark: SparkSession, root: str) -> DataFrame | None:
-    """Manifests of complete runs, or None when there is none."""
+    """Manifests of complete runs, or None when there is none.
+
+    A manifest may be one line or indented, a file or a folder with one. One that has no run id stops the job and is named.
+    """
     try:
-        return spark.read.schema(schemas.MANIFEST).json(f"{root.rstrip('/')}/_manifests/*")
+        found = spark.read.schema(schemas.MANIFEST).json(
+            f"{root.rstrip('/')}/_manifests/*", multiLine=True, recursiveFileLookup=True
+        )
+        missing = F.raise_error(F.concat(F.lit("no run id in manifest "), F.input_file_name()))
+        return found.withColumn("run_id", F.coalesce("run_id", missing.cast("string")))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None

@@ -14,8 +14,13 @@ def _decode(data: pd.Series) -> pd.Series:
 
 
 def decode_text(data: str | Column) -> Column:
-    """UTF-8 text with invalid bytes dropped (Spark's own decoders raise or substitute)."""
-    return _decode(data)
+    """UTF-8 text with invalid bytes dropped (Spark's own decoders raise or substitute).
+
+    Only invalid texts go to Python; for the others it gets a NULL.
+    """
+    data = F.col(data) if isinstance(data, str) else data
+    valid = F.is_valid_utf8(data.cast("string"))
+    return F.when(valid, data.cast("string")).otherwise(_decode(F.when(~valid, data)))
 
 
 def read_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:

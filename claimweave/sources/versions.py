@@ -1,58 +1,43 @@
-"""Versioned tables on plain Parquet: every commit adds its changed rows, reads take the newest.
+"""Tables that are brought up to date by key: plain Parquet in hash buckets of the key.
 
-A commit writes only inserted and updated rows (or, for an overwrite, the new content) to its own
-folder and then a one-line log entry; a folder without an entry is never read. One writer at a
-time. Where the catalog has a table format with MERGE, use ``merge_into_table`` instead.
+An upsert finds the inserted and changed rows by their hashes, rewrites only the buckets that hold such rows, and leaves all
+other files as they are; reads are plain scans. Running it again with the same rows writes nothing. One writer at a time.
+Where the catalog has a table format with MERGE, use ``merge_into_table`` instead.
 """
 
 from __future__ import annotations
 
-import json
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.functions.schemas import COMMIT
+from claimweave.session import staged
 
 UPDATED_AT = "_silver_updated_at"
+BUCKET = "_bucket"
+BUCKETS = 64
 
 
-def history(spark: SparkSession, root: str) -> DataFrame | None:
-    """One row per commit, or None before the first."""
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        return spark.read.schema(COMMIT).json(f"{root.rstrip('/')}/_commits/*")
+        return spark.read.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
 
-def _commits(spark: SparkSession, root: str) -> list:
-    log = history(spark, root)
-    return [] if log is None else log.orderBy("version").collect()
+def table_exists(spark: SparkSession, path: str) -> bool:
+    return _stored(spark, path) is not None
 
 
-def _folder(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/data/version={version}"
-
-
-def read_version(spark: SparkSession, root: str, key: str | None = None, version: int | None = None) -> DataFrame:
-    """The table as of a version (default: the last). ``key`` is needed once it has been upserted."""
-    commits = [c for c in _commits(spark, root) if version is None or c.version <= version]
-    if not commits:
-        raise ValueError(f"No committed version of {root}")
-    base = max((c.version for c in commits if c.operation == "OVERWRITE"), default=commits[0].version)
-    # An upsert that changed nothing has no rows to add.
-    live = [c.version for c in commits if c.version == base or (c.version > base and c.inserted + c.updated)]
-    if len(live) == 1:
-        return spark.read.parquet(_folder(root, live[0]))
-    schema = spark.read.parquet(_folder(root, base)).schema.add("version", "long")
-    folders = [_folder(root, v) for v in live]
-    rows = spark.read.schema(schema).option("basePath", f"{root.rstrip('/')}/data").parquet(*folders)
-    newest = Window.partitionBy(key).orderBy(F.col("version").desc())
-    return rows.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank", "version")
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    found = _stored(spark, path)
+    if found is None:
+        raise ValueError(f"No table at {path}")
+    return found.drop(BUCKET)
 
 
 def classify_changes(target: DataFrame, source: DataFrame, key: str, hash_col: str = "row_hash") -> DataFrame:
@@ -68,63 +53,56 @@ def classify_changes(target: DataFrame, source: DataFrame, key: str, hash_col: s
     return new.join(old, key, "full_outer").select(key, change.alias("change"))
 
 
-def _log(spark: SparkSession, root: str, entry: dict) -> dict:
-    line = spark.range(1).select(F.lit(json.dumps(entry)).alias("value"))
-    line.coalesce(1).write.text(f"{root.rstrip('/')}/_commits/{entry['version']:08d}")
-    return entry
-
-
-def _write(df: DataFrame, path: str) -> DataFrame:
-    # A folder left by a commit that failed before its log entry is replaced.
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def _stamp(at: datetime | None) -> Column:
+    at = at or datetime.now(timezone.utc)
+    return F.lit(at.isoformat()).cast("timestamp")
 
 
-def _stamp(at: datetime | None) -> tuple[str, Column]:
-    at = at or datetime.now(timezone.utc)
-    return at.isoformat(), F.lit(at.isoformat()).cast("timestamp")
+def _write_buckets(df: DataFrame, path: str) -> None:
+    """Replace the buckets that ``df`` has rows of, and no others."""
+    by_bucket = df.repartition(BUCKET)
+    by_bucket.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
 
 
 def upsert(
-    df: DataFrame, root: str, key: str, hash_col: str = "row_hash", at: datetime | None = None
+    df: DataFrame, path: str, key: str, hash_col: str = "row_hash", at: datetime | None = None, buckets: int = BUCKETS
 ) -> dict:
-    """Add new keys and rows whose hash changed; nothing is ever deleted.
+    """Add new keys and rows whose hash changed; nothing is ever deleted. Gives the counts of both.
 
-    Of the target only key and hash are read. Writing costs as much as what changed.
+    Of the target only key and hash are read to find the changes. The number of buckets is fixed when the table is made;
+    it bounds how much one changed row rewrites.
     """
     spark = df.sparkSession
-    commits = _commits(spark, root)
-    committed_at, stamp = _stamp(at)
-    df = df.withColumn(UPDATED_AT, stamp)
-    version = commits[-1].version + 1 if commits else 0
-    entry = {"version": version, "operation": "CREATE", "inserted": 0, "updated": 0, "committed_at": committed_at}
-    if not commits:
-        stored = _write(df, _folder(root, version))
-        return _log(spark, root, {**entry, "inserted": stored.count()})
-    old = read_version(spark, root, key).select(key, F.col(hash_col).alias("_old"))
-    changed = df.join(old, key, "left").where(F.col("_old").isNull() | (F.col("_old") != F.col(hash_col)))
-    change = F.when(F.col("_old").isNull(), "insert").otherwise("update")
-    marked = changed.withColumn("_change", change).drop("_old").select(*df.columns, "_change")
-    stored = _write(marked, _folder(root, version))
-    counts = {r["_change"]: r["count"] for r in stored.groupBy("_change").count().collect()}
-    entry.update(operation="MERGE", inserted=counts.get("insert", 0), updated=counts.get("update", 0))
-    return _log(spark, root, entry)
-
-
-def overwrite(df: DataFrame, root: str, at: datetime | None = None) -> dict:
-    """Replace content and schema; earlier versions stay readable."""
-    spark = df.sparkSession
-    commits = _commits(spark, root)
-    committed_at, stamp = _stamp(at)
-    version = commits[-1].version + 1 if commits else 0
-    stored = _write(df.withColumn(UPDATED_AT, stamp), _folder(root, version))
-    entry = {"version": version, "operation": "OVERWRITE", "inserted": stored.count(), "updated": 0}
-    return _log(spark, root, {**entry, "committed_at": committed_at})
+    rows = df.withColumn(UPDATED_AT, _stamp(at)).withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    target = _stored(spark, path)
+    if target is None:
+        rows = staged(rows, "created")
+        _write_buckets(rows, path)
+        return {"operation": "CREATE", "inserted": rows.count(), "updated": 0}
+    old = target.select(key, F.col(hash_col).alias("_old"))
+    changed = rows.join(old, key, "left").where(F.col("_old").isNull() | (F.col("_old") != F.col(hash_col)))
+    changed = staged(changed.withColumn("_is_new", F.col("_old").isNull()).drop("_old"), "changed")
+    kinds = changed.groupBy("_is_new").count().collect()
+    counts = {r["_is_new"]: r["count"] for r in kinds}
+    if counts:
+        touched = [r[BUCKET] for r in changed.select(BUCKET).distinct().collect()]
+        kept = target.where(F.col(BUCKET).isin(touched)).join(changed.select(key), key, "left_anti")
+        # A column that is new in the source is NULL in the rows that stay.
+        merged = changed.drop("_is_new").unionByName(kept, allowMissingColumns=True)
+        _write_buckets(staged(merged, "merged"), path)
+    return {"operation": "MERGE", "inserted": counts.get(True, 0), "updated": counts.get(False, 0)}
+
+
+def overwrite(df: DataFrame, path: str, at: datetime | None = None) -> dict:
+    """Replace content and schema. The new content is complete before the old one goes."""
+    rows = staged(df.withColumn(UPDATED_AT, _stamp(at)), "overwrite")
+    rows.write.mode("overwrite").parquet(path)
+    return {"operation": "OVERWRITE", "inserted": rows.count(), "updated": 0}
 
 
 def merge_into_table(df: DataFrame, table: str, key: str, hash_col: str = "row_hash", at: datetime | None = None) -> None:
     """The same upsert for a catalog table whose format supports MERGE."""
-    df = df.withColumn(UPDATED_AT, _stamp(at)[1]).alias("source")
+    df = df.withColumn(UPDATED_AT, _stamp(at)).alias("source")
     same_key = F.col(f"{table}.{key}") == F.col(f"source.{key}")
     changed = F.col(f"{table}.{hash_col}") != F.col(f"source.{hash_col}")
     df.mergeInto(table, same_key).whenMatched(changed).updateAll().whenNotMatched().insertAll().merge()

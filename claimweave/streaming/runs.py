@@ -18,15 +18,25 @@ def _state_path(root: str, table: str, batch_id: int) -> str:
     return f"{root.rstrip('/')}/_latest/{table}/batch={batch_id}"
 
 
-def _read_state(spark: SparkSession, root: str, table: str, batch_id: int, schema) -> DataFrame | None:
-    if batch_id < 0:
-        return None
+def _last_state(spark: SparkSession, root: str, batch_id: int) -> int | None:
+    """The newest batch before this one that left a state; every state holds at least one run.
+
+    A batch other than the first needs one: without it the history of earlier runs would be lost silently.
+    """
     try:
-        return spark.read.schema(schema).parquet(_state_path(root, table, batch_id))
+        states = spark.read.parquet(f"{root.rstrip('/')}/_latest/runs").where(F.col("batch") < batch_id)
+        found = states.agg(F.max("batch")).first()[0]
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        found = None
+    if found is None and batch_id > 0:
+        raise ValueError(f"Batch {batch_id} finds no state of an earlier batch under {root}/_latest")
+    return found
+
+
+def _read_state(spark: SparkSession, root: str, table: str, batch_id: int | None, schema) -> DataFrame | None:
+    return None if batch_id is None else spark.read.schema(schema).parquet(_state_path(root, table, batch_id))
 
 
 def _fold(df: DataFrame, root: str, table: str, batch_id: int) -> DataFrame:
@@ -43,17 +53,17 @@ def apply_runs(spark: SparkSession, bronze_root: str, silver_root: str, run_ids:
     cost is one snapshot plus the new runs, not the whole history. Replaying a batch reads the
     previous batch's state again and finds nothing more to change.
     """
-    current = {}
+    current, before = {}, _last_state(spark, silver_root, batch_id)
     for table in TABLES:
         rows = bronze.read_bronze(spark, bronze_root, table, run_ids)
-        old = _read_state(spark, silver_root, table, batch_id - 1, schemas.BRONZE[table])
+        old = _read_state(spark, silver_root, table, before, schemas.BRONZE[table])
         if old is not None:
             rows = old.unionByName(rows)
         newest = latest_versions(rows, F.lit("")).drop("is_deleted")
         current[table] = _fold(newest, silver_root, table, batch_id)
     history = bronze.run_history(spark, bronze_root)
     runs = history.where(F.col("run_id").isin(run_ids))
-    old_runs = _read_state(spark, silver_root, "runs", batch_id - 1, history.schema)
+    old_runs = _read_state(spark, silver_root, "runs", before, history.schema)
     if old_runs is not None:
         runs = old_runs.unionByName(runs)
     runs = _fold(runs, silver_root, "runs", batch_id)
@@ -64,7 +74,9 @@ def apply_runs(spark: SparkSession, bronze_root: str, silver_root: str, run_ids:
 def process_new_runs(spark: SparkSession, bronze_root: str, silver_root: str, checkpoint: str) -> None:
     """Process every manifest that arrived since the last call, then stop."""
     manifests = (
-        spark.readStream.schema(schemas.MANIFEST).json(f"{bronze_root.rstrip('/')}/_manifests/*").select("run_id")
+        spark.readStream.schema(schemas.MANIFEST)
+        .json(f"{bronze_root.rstrip('/')}/_manifests/*", multiLine=True)
+        .select("run_id")
     )
 
     def batch(rows: DataFrame, batch_id: int) -> None:

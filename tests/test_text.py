@@ -1,5 +1,7 @@
 import json
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,12 +54,26 @@ def test_rule_directions(spark):
         assert [c.asDict() for c in row.c] == [vocab.NO_CLAIM]
 
 
-def test_whole_texts_are_read_unless_a_window_is_asked_for(spark):
+def test_whole_texts_are_read(spark):
     body = "Nothing. " * 12 + "Late increase. " + "x" * 13000 + ". Very late decrease."
     assert results(spark, body) == ["positive", "negative"]
-    window = {"max_chars": vocab.WINDOW_CHARS, "max_sentences": vocab.WINDOW_SENTENCES}
-    assert results(spark, body, **window) == ["null"]
-    assert results(spark, "Increase. " * 12, **window) == ["positive"] * 10
+
+
+def test_chunks_are_windows_of_the_whole_text(spark):
+    rng = random.Random(1)
+    texts = ["".join(rng.choice("ab é\n\U0001f642") for _ in range(n)) for n in (0, 1, 5, 9, 10, 11, 60, 61)] + ["   "]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, t string")
+    for size, overlap in ((10, 3), (7, 0), (9, 7), (1, 0)):
+        rows = {r.i: r.c for r in df.select("i", text.chunks("t", size, overlap).alias("c")).collect()}
+        for i, x in enumerate(texts):
+            assert rows[i] == expected_chunks(x, size, overlap)
+
+
+def test_long_texts_are_cut_in_linear_time(spark):
+    df = spark.createDataFrame([("ab cd " * 700_000,)], "t string")
+    start = time.perf_counter()
+    assert df.select(F.size(text.chunks("t"))).first()[0] == 3231
+    assert time.perf_counter() - start < 15
 
 
 def fields(**given):
@@ -128,3 +144,10 @@ def test_chunking_needs_no_shuffle(spark):
     df = spark.range(3).select("id", F.lit("a. b").alias("t"))
     plan = text.chunk_documents(df, "id", "t")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_strings_that_look_empty_are_labels(spark):
+    reply = json.dumps([{"result": "0", "study_type": "False"}, {"result": 0, "study_type": False}, {"result": [], "study_type": ""}])
+    df = spark.createDataFrame([(reply,)], "r string")
+    claims = df.select(extraction.reply_claims("r").alias("c")).first().c
+    assert [(c.result, c.study_type) for c in claims] == [("0", "false"), ("null", "observational"), ("null", "observational")]

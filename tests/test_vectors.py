@@ -57,13 +57,16 @@ def test_nearest_centroid_both_ways(spark):
     p32 = points.astype(np.float32).astype(np.float64)
     cosine = (p32 / np.linalg.norm(p32, axis=1)[:, None]) @ (centers / np.linalg.norm(centers, axis=1)[:, None]).T
     best = cosine.max(axis=1)
-    for options in ({}, {"max_numbers": 64, "rows_per_group": 100}):
+    for options in ({}, {"block_numbers": 64, "rows_per_group": 100}):
         rows = vectors.nearest_centroid(df, cs, **options).collect()
         assert len(rows) == 500
         for r in rows:
             assert r.similarity == pytest.approx(best[r.vec_id])
             assert cosine[r.vec_id, r.centroid_id] == pytest.approx(best[r.vec_id]) and r.centroid_id != 30
-    assert vectors.nearest_centroid(df, cs.limit(0)).count() == 0
+    assert [r.centroid_id for r in vectors.nearest_centroid(df.limit(2), cs.limit(0)).collect()] == [None, None]
+    odd = spark.createDataFrame([(1, None), (2, [1.0]), (3, [None] * 8), (4, [1.0] * 8)], "vec_id long, embedding array<float>")
+    found = {r.vec_id: r.centroid_id for r in vectors.nearest_centroid(odd, cs).collect()}
+    assert found[4] is not None and [found[i] for i in (1, 2, 3)] == [None] * 3
 
 
 def test_mean_centroids(spark):

@@ -1,3 +1,6 @@
+import os
+
+import pytest
 from conftest import T0, T1
 from pyspark.sql import functions as F
 
@@ -9,48 +12,59 @@ def frame(spark, rows):
     return df.withColumn("row_hash", F.sha2("v", 256))
 
 
-def content(df):
-    return {r.id: r.v for r in df.collect()}
+def content(spark, path):
+    return {r.id: r.v for r in versions.read_table(spark, path).collect()}
+
+
+def files(path):
+    return {os.path.join(d, n): os.stat(os.path.join(d, n)).st_mtime_ns for d, _, names in os.walk(path) for n in names if n[:5] == "part-"}
 
 
 def test_upsert_changes_only_what_differs(spark, tmp_path):
-    root = str(tmp_path)
-    assert versions.upsert(frame(spark, [(1, "a"), (2, "b")]), root, "id", at=T0)["operation"] == "CREATE"
-    second = versions.upsert(frame(spark, [(2, "B"), (3, "c"), (1, "a")]), root, "id", at=T1)
+    path = str(tmp_path / "t")
+    assert not versions.table_exists(spark, path)
+    assert versions.upsert(frame(spark, [(1, "a"), (2, "b")]), path, "id", at=T0)["operation"] == "CREATE"
+    second = versions.upsert(frame(spark, [(2, "B"), (3, "c"), (1, "a")]), path, "id", at=T1)
     assert (second["inserted"], second["updated"]) == (1, 1)
-    assert content(versions.read_version(spark, root, "id")) == {1: "a", 2: "B", 3: "c"}
-    assert content(versions.read_version(spark, root, "id", 0)) == {1: "a", 2: "b"}
-    stamps = {r.id: r._silver_updated_at for r in versions.read_version(spark, root, "id").collect()}
+    assert content(spark, path) == {1: "a", 2: "B", 3: "c"}
+    stamps = {r.id: r._silver_updated_at for r in versions.read_table(spark, path).collect()}
     assert stamps[1] < stamps[2] == stamps[3]
-    again = versions.upsert(frame(spark, [(1, "a"), (2, "B"), (3, "c")]), root, "id")
-    assert (again["version"], again["inserted"], again["updated"]) == (2, 0, 0)
-    assert content(versions.read_version(spark, root, "id")) == {1: "a", 2: "B", 3: "c"}
     # Keys missing from the source stay.
-    versions.upsert(frame(spark, [(3, "C")]), root, "id")
-    assert content(versions.read_version(spark, root, "id")) == {1: "a", 2: "B", 3: "C"}
-    assert [r.operation for r in versions.history(spark, root).orderBy("version").collect()] == [
-        "CREATE",
-        "MERGE",
-        "MERGE",
-        "MERGE",
-    ]
-
-
-def test_overwrite_replaces_schema_and_keeps_old_versions(spark, tmp_path):
-    root = str(tmp_path)
-    versions.overwrite(spark.range(3), root)
-    versions.overwrite(spark.range(2).select(F.col("id").alias("other")), root)
-    assert set(versions.read_version(spark, root).columns) == {"other", "_silver_updated_at"}
-    assert versions.read_version(spark, root, version=0).count() == 3
-
-
-def test_a_folder_without_a_log_entry_is_not_read_and_is_replaced(spark, tmp_path):
-    root = str(tmp_path)
-    versions.upsert(frame(spark, [(1, "a")]), root, "id")
-    frame(spark, [(1, "broken")]).write.parquet(f"{root}/data/version=1")
-    assert content(versions.read_version(spark, root, "id")) == {1: "a"}
-    versions.upsert(frame(spark, [(1, "b")]), root, "id")
-    assert content(versions.read_version(spark, root, "id")) == {1: "b"}
+    versions.upsert(frame(spark, [(3, "C")]), path, "id")
+    assert content(spark, path) == {1: "a", 2: "B", 3: "C"}
+
+
+def test_a_rerun_writes_nothing_and_reads_are_plain_scans(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = frame(spark, [(i, str(i)) for i in range(500)])
+    versions.upsert(rows, path, "id")
+    before = files(path)
+    again = versions.upsert(rows, path, "id")
+    assert (again["inserted"], again["updated"]) == (0, 0) and files(path) == before
+    versions.upsert(frame(spark, [(7, "x")]), path, "id")
+    after = files(path)
+    assert 0 < len(before.keys() - after.keys()) <= 2
+    assert len(content(spark, path)) == 500
+    plan = versions.read_table(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_a_new_column_is_kept(spark, tmp_path):
+    path = str(tmp_path / "t")
+    versions.upsert(frame(spark, [(i, "a") for i in range(300)]), path, "id")
+    wider = frame(spark, [(i, "b") for i in range(300)]).withColumn("more", F.lit(1))
+    versions.upsert(wider, path, "id")
+    assert versions.read_table(spark, path).agg(F.sum("more")).first()[0] == 300
+
+
+def test_overwrite_replaces_content_and_schema(spark, tmp_path):
+    path = str(tmp_path / "t")
+    versions.overwrite(spark.range(3), path)
+    versions.overwrite(versions.read_table(spark, path).select(F.col("id").alias("other")).limit(2), path)
+    found = versions.read_table(spark, path)
+    assert set(found.columns) == {"other", "_silver_updated_at"} and found.count() == 2
+    with pytest.raises(ValueError, match="No table"):
+        versions.read_table(spark, str(tmp_path / "none"))
 
 
 def test_change_kinds(spark):
