@@ -163,6 +163,8 @@ def scan_versions(
         .agg(F.sort_array(F.collect_list("span")).alias("spans"))
     )
     none = F.array().cast("array<struct<start:bigint,order:int,end:bigint,kind:string>>")
+    # Staged, so that the join meets plain shuffles and the paths of a hot blob can be split.
+    held = staged(held, "held")
     return paths.join(held, "blob", "left").select(
         *[F.col(a).alias(k) for k, a in zip(key, at)], "blob", F.coalesce("spans", none).alias("spans")
     )
