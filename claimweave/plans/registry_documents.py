@@ -205,7 +205,7 @@ def hashed_words_sql() -> str:
     return f"""
 WITH chunk_words AS (
   SELECT doc_id || ':' || chunk_index AS chunk_id, word, count(*) AS n
-  FROM (SELECT doc_id, chunk_index, unnest(regexp_extract_all(lower(content), '[0-9a-zA-Z_\x{{80}}-\x{{10FFFF}}]+')) AS word FROM v_chunks)
+  FROM (SELECT doc_id, chunk_index, unnest(regexp_extract_all(lower(content), '[0-9a-zA-Z_\\x{{80}}-\\x{{10FFFF}}]+')) AS word FROM v_chunks)
   GROUP BY ALL),
 hashed AS (
   SELECT word, ((list_sum(list_transform(range(len(h) // 2), lambda i:
