@@ -201,7 +201,7 @@ def hashed_words_sql() -> str:
     powers, power = [], 1
     for _ in range(400):
         power = power * vectors.HASH_BASE % 2**64
-        powers.append(f"{power}::UHUGEINT")
+        powers.append(f"{power}::HUGEINT")
     return f"""
 WITH chunk_words AS (
   SELECT doc_id || ':' || chunk_index AS chunk_id, word, count(*) AS n
@@ -209,8 +209,8 @@ WITH chunk_words AS (
   GROUP BY ALL),
 hashed AS (
   SELECT word, ((list_sum(list_transform(range(len(h) // 2), lambda i:
-    ('0x' || substr(h, CAST(2 * i + 1 AS INT), 2))::UHUGEINT * powers[i + 1])) % 18446744073709551616::UHUGEINT)
-    // 131072::UHUGEINT) % {vocab.EMBEDDING_SIZE} AS slot
+    ('0x' || substr(h, CAST(2 * i + 1 AS INT), 2))::HUGEINT * powers[i + 1])) % 18446744073709551616::HUGEINT)
+    // 131072::HUGEINT) % {vocab.EMBEDDING_SIZE} AS slot
   FROM (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM chunk_words)), (SELECT [{", ".join(powers)}] AS powers)),
 counted AS (SELECT chunk_id, CAST(slot AS INT) AS slot, sum(n) AS n FROM chunk_words JOIN hashed USING (word) GROUP BY ALL),
 shares AS (
