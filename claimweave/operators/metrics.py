@@ -36,6 +36,7 @@ def layer_counts(
     def exported(table):
         return F.max(F.when(F.col("source_table") == table, F.col("n_rows")))
 
+    # The steps of the report, in order.
     steps = [
         (newest, "bronze", "papers", "papers in the latest export", exported("papers")),
         (newest, "bronze", "claim_evidence", "claims in the latest export", exported("claim_evidence")),
