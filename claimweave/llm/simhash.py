@@ -286,7 +286,7 @@ def drop_near_duplicates(
     text: str = "text",
     size: int = 5,
     similarity: float = 0.8,
-    most_bits: int = 24,
+    most_bits: int = 20,
     large: int = 64,
     pivots: int = 8,
 ) -> DataFrame:
@@ -341,7 +341,11 @@ def drop_near_duplicates(
 
 
 def _settle(rows: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The ids of the classes that go."""
+    """The ids of the classes that go.
+
+    All candidates are verified at once; their number is bounded by the entries' members. Then rounds of small joins settle
+    who stays.
+    """
     spark = rows.sparkSession
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
     ranked = staged(
@@ -363,18 +367,17 @@ def _settle(rows: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, si
         ),
         "ordered",
     )
+    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
+    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
+    common = F.size(F.array_intersect("of_a", "of_b"))
+    alike = common >= similarity * (F.size("of_a") + F.size("of_b") - common)
+    edges = staged(edges.join(left, "a").join(right, "b").where(alike).select("a", "b"), "verified")
     gone = [spark.createDataFrame([], "id bigint")]
     while edges.limit(1).count():
         first = staged(
             edges.select("a").distinct().join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_anti"), "first"
         )
-        asked = edges.join(first, "a")
-        left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
-        right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
-        both = asked.join(left, "a").join(right, "b")
-        common = F.size(F.array_intersect("of_a", "of_b"))
-        alike = common >= similarity * (F.size("of_a") + F.size("of_b") - common)
-        out = staged(both.where(alike).select(F.col("b").alias("id")).distinct(), "gone")
+        out = staged(edges.join(first, "a").select(F.col("b").alias("id")).distinct(), "gone")
         gone.append(out)
         rest = edges.join(first, "a", "left_anti")
         rest = rest.join(out.select(F.col("id").alias("a")), "a", "left_anti")
