@@ -61,14 +61,36 @@ def latin_pattern() -> str:
     )
 
 
+@functools.cache
+def unassigned() -> str:
+    """A pattern of the code points without a character, but for surrogates."""
+    gaps, start = [], None
+    for code in range(0x110001):
+        empty = code < 0x110000 and unicodedata.category(chr(code)) == "Cn"
+        if empty and start is None:
+            start = code
+        elif not empty and start is not None:
+            gaps.append(f"{re.escape(chr(start))}-{re.escape(chr(code - 1))}")
+            start = None
+    return "[" + "".join(gaps) + "]"
+
+
 @functools.lru_cache(maxsize=2)
 def _splitter(added: tuple[tuple[str, int], ...]):
     """A function from a text to its words; added tokens are words of their own."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
     any_words, latin_words = regex.compile(PATTERN).findall, re.compile(latin_pattern()).findall
-    beyond = re.compile(f"[^\x00-{chr(LATIN - 1)}]").search
+    beyond, unknown = re.compile(f"[^\x00-{chr(LATIN - 1)}]").search, re.compile(unassigned()).search
+    library, letters = ByteLevel(add_prefix_space=False), byte_letters()
 
     def words(text: str) -> list[str]:
-        return any_words(text) if beyond(text) else latin_words(text)
+        if not beyond(text):
+            return latin_words(text)
+        if unknown(text):
+            # Character tables of different years disagree on these: the library's own decides.
+            return [bytes(letters[c] for c in word).decode() for word, _ in library.pre_tokenize_str(text)]
+        return any_words(text)
 
     if not added:
         return words
@@ -116,8 +138,14 @@ def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-@functools.lru_cache(maxsize=1)
+def _slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch, so that only few texts are Python objects at a time."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def _encoder(content: str, added: tuple[tuple[str, int], ...]):
+    """A function from words to their packed ids, for one task: kept workers need not hold the tables."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -138,10 +166,12 @@ def _count(added):
         split = _splitter(added)
         for batch in batches:
             counts: Counter = Counter()
-            for text in batch["text"].to_pylist():
-                counts.update(split(text))
-            # A word longer than the bound, in characters, is longer in bytes too.
-            kept = {w: n for w, n in counts.items() if len(w) <= WORD_BYTES}
+            for part in _slices(batch):
+                for text in part["text"].to_pylist():
+                    counts.update(split(text))
+            # What occurs once in a batch of texts is no candidate for the head. A word longer than the bound, in
+            # characters, is longer in bytes too.
+            kept = {w: n for w, n in counts.items() if n > 1 and len(w) <= WORD_BYTES}
             yield pa.RecordBatch.from_arrays(
                 [pa.array(kept.keys(), pa.string()), pa.array(kept.values(), pa.int64())], ["word", "n"]
             )
@@ -194,24 +224,31 @@ def _tail_words(head, added):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, known = _splitter(added), head.value
         for batch in batches:
-            hashes, words, met = [], [], set()
-            for h, text in zip(batch["h"].to_pylist(), batch["text"].to_pylist()):
-                if h not in met:
-                    met.add(h)
-                    rest = [w for w in set(split(text)) if w not in known]
-                    words += rest
-                    hashes += [h] * len(rest)
-            for at in range(0, len(words), 200_000):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[at : at + 200_000], pa.int64()), pa.array(words[at : at + 200_000], pa.string())],
-                    ["h", "word"],
-                )
+            met = set()
+            for part in _slices(batch):
+                hashes, words = [], []
+                for h, text in zip(part["h"].to_pylist(), part["text"].to_pylist()):
+                    if h not in met:
+                        met.add(h)
+                        rest = [w for w in set(split(text)) if w not in known]
+                        words += rest
+                        hashes += [h] * len(rest)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(words, pa.string())], ["h", "word"])
 
     return run
 
 
 def _encode_runs(shared, added):
-    """Rows sorted by word and hash: each distinct word of the partition is encoded once, equal rows become one."""
+    """Rows sorted by word and hash: each distinct word of the partition is encoded once, equal rows become one.
+
+    Ids below 65 536 travel with two bytes each, marked by a first byte of 2 instead of 4.
+    """
+
+    def short(ids: bytes) -> bytes:
+        numbers = memoryview(ids).cast("I")
+        if max(numbers, default=0) < 65_536:
+            return b"\x02" + struct.pack(f"<{len(numbers)}H", *numbers)
+        return b"\x04" + ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, last, last_ids = _encoder(shared.value, added), None, b""
@@ -224,7 +261,7 @@ def _encode_runs(shared, added):
             rows = []
             for row in zip(words, hashes):
                 if row != last:
-                    rows.append((row[1], row[0], ids[row[0]]))
+                    rows.append((row[1], row[0], short(ids[row[0]])))
                 last = row
             if last:
                 last_ids = ids[last[0]]
@@ -239,14 +276,16 @@ def _encode_runs(shared, added):
 def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     press = zstandard.ZstdCompressor(level=3).compress
     for batch in batches:
-        texts = [press(t.encode()) for t in batch["text"].to_pylist()]
-        names = [n for n in batch.schema.names if n != "text"]
-        yield pa.RecordBatch.from_arrays(
-            [*[batch[n] for n in names], pa.array(texts, pa.binary())], [*names, "pressed"]
-        )
+        for part in _slices(batch):
+            texts = [press(t.encode()) for t in part["text"].to_pylist()]
+            names = [n for n in batch.schema.names if n != "text"]
+            yield pa.RecordBatch.from_arrays([*[part[n] for n in names], pa.array(texts, pa.binary())], [*names, "pressed"])
 
 
 def _join_ids(head, added):
+    def full(ids: bytes) -> bytes:
+        return ids[1:] if ids[0] == 4 else packed(struct.unpack(f"<{len(ids) // 2}H", ids[1:]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, known, open_ = _splitter(added), head.value, zstandard.ZstdDecompressor().decompress
         for batch in batches:
@@ -255,7 +294,7 @@ def _join_ids(head, added):
             for at in range(0, batch.num_rows, 500):
                 part, out = batch.slice(at, 500), []
                 for text, tail in zip(texts.slice(at, 500), tails.slice(at, 500)):
-                    rest = {x["word"]: x["ids"] for x in tail.as_py() or ()}
+                    rest = {x["word"]: full(x["ids"]) for x in tail.as_py() or ()}
                     words = split(open_(text.as_py()).decode())
                     out.append(b"".join([known[w] if w in known else rest[w] for w in words]))
                 yield pa.RecordBatch.from_arrays([*[part[n] for n in names], pa.array(out, pa.binary())], [*names, "ids"])
