@@ -27,7 +27,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from claimweave.llm.base import same, whole_text
 from claimweave.llm.components import components
@@ -189,9 +188,6 @@ def link_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 # --- one document of each group ---------------------------------------------------------------
 
-SEGMENTS, WIDTH = 6, 21
-
-
 def mixed(hashes: np.ndarray, salt: int) -> np.ndarray:
     """Further hashes from given ones."""
     x = hashes + np.uint64((salt * 0x9E3779B97F4A7C15) % 2**64)
@@ -201,80 +197,122 @@ def mixed(hashes: np.ndarray, salt: int) -> np.ndarray:
 
 
 def wide_print(text: str) -> tuple[int, int]:
-    """Two times 63 bits over the distinct word pairs of a text."""
+    """Two times 63 bits over the distinct word pairs of a text; no stage needs them any more."""
     blocks = list(shingle_hashes(text, 2))
     hashes = np.unique(np.concatenate(blocks)) if blocks else np.zeros(0, np.uint64)
     return tuple(majority(bit_counts(mixed(hashes, salt)), len(hashes)) & (2**63 - 1) for salt in (1, 2))
 
 
-def _wide_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        same_words, first, second = [], [], []
-        for text in batch["text"].to_pylist():
-            same_words.append(xxhash.xxh3_128_digest(b" ".join(text.encode().lower().split())))
-            a, b = wide_print(text)
-            first.append(a)
-            second.append(b)
-        yield pa.RecordBatch.from_arrays(
-            [batch["k"], batch["t"], pa.array(same_words, pa.binary()), pa.array(first, pa.int64()), pa.array(second, pa.int64())],
-            ["k", "t", "words", "f0", "f1"],
-        )
+def distinct_shingles(text: str, size: int) -> np.ndarray:
+    blocks = list(shingle_hashes(text, size))
+    return np.unique(np.concatenate(blocks)) if blocks else np.zeros(0, np.uint64)
 
 
-def _wide_entries() -> Column:
-    masks = [-1, *(~(1 << i) for i in range(WIDTH))]
-    cuts = F.array(*map(F.lit, masks)).cast("array<bigint>")
-    segments = F.array(
-        *[
-            F.shiftrightunsigned(F.col(f"f{s // 3}"), WIDTH * (s % 3)).bitwiseAND(F.lit((1 << WIDTH) - 1))
-            for s in range(SEGMENTS)
-        ]
-    )
-    # Slot, then value; a class has one row per slot.
-    return F.flatten(
-        F.transform(
-            segments,
-            lambda part, s: F.transform(
-                cuts,
-                lambda m, i: ((s * len(masks) + i).cast("bigint") * (1 << WIDTH)).bitwiseOR(part.bitwiseAND(m)),
-            ),
-        )
-    )
+def at_least(share: float, of: int) -> int:
+    """The least whole number that is ``share`` of ``of``, never more of it by rounding."""
+    return int(np.ceil(share * of - 1e-6))
 
 
-def candidates(classes: DataFrame, most_bits: int, large: int, pivots: int) -> DataFrame:
-    """Pairs of classes (id) that share an entry and differ in at most ``most_bits`` of the 126 bits.
+def prefix(shingles: np.ndarray, common: np.ndarray, levels: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles in one order for all texts (rare before common, then by hash) of which a similar text has one."""
+    level = np.zeros(len(shingles), np.int8)
+    if len(common):
+        place = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+        level = np.where(common[place] == shingles, levels[place], 0)
+    length = len(shingles) - at_least(similarity, len(shingles)) + 1 if len(shingles) else 0
+    return shingles[np.lexsort((shingles, level))[:length]]
 
-    Entries of up to ``large`` members are compared in full. In larger ones all members are compared with the ``pivots``
-    members of most copies; members that resemble each other and none of those meet under other entries.
+
+def _common_shingles(rows: DataFrame, size: int, sample: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that recur in a sample of the texts, sorted, with the order of magnitude of their counts.
+
+    They only order the shingles; any order finds the same pairs, so the sample changes time and never results.
     """
-    entries = classes.select("id", "copies", F.explode(_wide_entries()).alias("entry"))
-    members = entries.withColumn("members", F.count("*").over(Window.partitionBy("entry"))).where("members > 1")
-    members = staged(members, "members")
-    small = members.where(F.col("members") <= large)
-    a, b = small.select("entry", F.col("id").alias("a")), small.select("entry", F.col("id").alias("b"))
-    met = a.join(b, "entry").where("a < b").select("a", "b")
-    crowd = members.where(F.col("members") > large)
-    place = F.row_number().over(Window.partitionBy("entry").orderBy(F.desc("copies"), "id"))
-    chosen = staged(
-        crowd.withColumn("place", place).where(F.col("place") <= pivots).select("entry", F.col("id").alias("a")), "pivots"
+    drawn = F.pmod(F.col("t"), F.lit(2**31)) < min(1.0, sample / max(rows.count(), 1)) * 2.0**31
+    texts = rows.where(drawn).dropDuplicates(["t"]).select(F.col("t").alias("id"), "text")
+    counts = (
+        texts.mapInArrow(_shingle_sets(size), "id bigint, shingles array<bigint>")
+        .select(F.explode("shingles").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.count("*").alias("n"))
+        .where("n > 3")
+        .orderBy(F.desc("n"), "shingle")
+        .limit(most)
+        .toPandas()
     )
-    star = crowd.join(chosen, "entry").where("a <> id").select(
-        F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")
+    shingles = counts["shingle"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(shingles)
+    return shingles[order], np.log2(counts["n"].to_numpy(np.float64)).astype(np.int8)[order]
+
+
+def _prefixes(size: int, similarity: float, shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, levels = shared.value
+        for batch in batches:
+            same_words, n, short, first = [], [], [], []
+            for text in batch["text"].to_pylist():
+                same_words.append(xxhash.xxh3_128_digest(b" ".join(text.encode().lower().split())))
+                found = distinct_shingles(text, size)
+                n.append(len(found))
+                # Where the other text is as long or longer, fewer do.
+                short.append(len(found) - at_least(2 * similarity / (1 + similarity), len(found)) + 1)
+                first.append(prefix(found, common, levels, similarity).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["k"],
+                    batch["t"],
+                    pa.array(same_words, pa.binary()),
+                    pa.array(n, pa.int32()),
+                    pa.array(short, pa.int32()),
+                    pa.array(first, pa.list_(pa.int64())),
+                ],
+                ["k", "t", "words", "n", "short", "entries"],
+            )
+
+    return run
+
+
+def _met(left: DataFrame, right: DataFrame, by: list[str], similarity: float) -> DataFrame:
+    """Pairs (a, b) that share an entry, b not shorter than a, and can be similar by their sizes and the entry's places."""
+    a = left.where("place < short").select(*by, F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("at_a"))
+    b = right.select(*by, F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("at_b"))
+    sizes = (F.col("n_a") < F.col("n_b")) | (F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b"))
+    # True at the first shingle that the two share: none of those before is common.
+    rest = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    enough = rest + 1e-6 >= similarity / (1 + similarity) * (F.col("n_a") + F.col("n_b"))
+    return a.join(b, by).where(sizes & enough).select("a", "b")
+
+
+def members_of(prefixes: DataFrame) -> DataFrame:
+    """Rows (id, n, short, place, entry, members) of the entries that two or more texts share."""
+    entries = prefixes.select("id", "n", "short", F.posexplode("entries").alias("place", "entry"))
+    counts = (
+        entries.groupBy("entry")
+        .agg(F.count("*").alias("members"), F.count_if(F.col("place") < F.col("short")).alias("first"))
+        .where("members > 1 AND first > 0")
     )
-    pairs = met.unionByName(star).distinct()
-    of = {x: classes.select(F.col("id").alias(x), F.col("f0").alias(f"{x}0"), F.col("f1").alias(f"{x}1")) for x in "ab"}
-    bits = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in (0, 1)), F.lit(0))
-    return pairs.join(of["a"], "a").join(of["b"], "b").where(bits <= most_bits).select("a", "b")
+    return entries.join(counts.select("entry", "members"), "entry")
+
+
+def candidates(members: DataFrame, similarity: float, block: int) -> DataFrame:
+    """All pairs of texts (id) that can have ``similarity``: both hold one shingle among their first ones.
+
+    Entries of more than ``block`` members are compared block by block, each pair of blocks in a row group of its own.
+    """
+    few, many = members.where(F.col("members") <= block), members.where(F.col("members") > block)
+    blocks = F.ceil(F.col("members") / block).cast("int")
+    many = many.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), blocks - 1))
+    left = many.withColumn("row", F.col("own")).withColumn("col", other)
+    right = many.withColumn("col", F.col("own")).withColumn("row", other)
+    met = _met(few, few, ["entry"], similarity)
+    return met.unionByName(_met(left, right, ["entry", "row", "col"], similarity)).distinct()
 
 
 def _shingle_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = []
-            for text in batch["text"].to_pylist():
-                blocks = list(shingle_hashes(text, size))
-                sets.append((np.unique(np.concatenate(blocks)) if blocks else np.zeros(0, np.uint64)).view(np.int64))
+            sets = [distinct_shingles(text, size).view(np.int64) for text in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"])
 
     return run
@@ -286,35 +324,39 @@ def drop_near_duplicates(
     text: str = "text",
     size: int = 5,
     similarity: float = 0.8,
-    most_bits: int = 20,
-    large: int = 64,
-    pivots: int = 8,
+    block: int = 512,
+    sample: int = 50_000,
+    most: int = 200_000,
 ) -> DataFrame:
     """``docs`` without exact and near copies: one document of each group stays.
 
-    Candidates come from wide fingerprints over word pairs; what is dropped was verified: its distinct shingles of ``size``
-    words have a Jaccard similarity of ``similarity`` or more with those of a document that stays. Classes of equal word
-    sequences are visited by their number of candidates, then copies: one without an earlier candidate stays, and its
-    verified partners go; a round settles all such classes at once.
+    Of two documents that stay, the distinct shingles of ``size`` words have a Jaccard similarity below ``similarity``; each
+    one that goes has that or more with one that stays. Every similar pair is a candidate (see ``candidates``) and every
+    candidate is verified. Classes of equal word sequences are visited by their number of candidates, then copies: one
+    without an earlier candidate stays, and its verified partners go; a round settles all such classes at once.
+
+    ``block``, ``sample`` and ``most`` change time only.
     """
     inner = docs.select(*[F.col(f"`{c}`").alias(f"in_{c}") for c in docs.columns])
     rows = inner.select(
         F.col(f"in_{key}").alias("k"), F.xxhash64(f"in_{text}").alias("t"), whole_text(f"in_{text}").alias("text")
     )
     kind = rows.schema["k"].dataType.simpleString()
-    prints = staged(rows.mapInArrow(_wide_prints, f"k {kind}, t bigint, words binary, f0 bigint, f1 bigint"), "wide")
+    common = rows.sparkSession.sparkContext.broadcast(_common_shingles(rows, size, sample, most))
+    columns = f"k {kind}, t bigint, words binary, n int, short int, entries array<bigint>"
+    prints = staged(rows.mapInArrow(_prefixes(size, similarity, common), columns), "prefixes")
     classes = staged(
         prints.groupBy("words")
         .agg(
             F.min(F.struct("k", "t")).alias("at"),
             F.count("*").alias("copies"),
-            F.first("f0").alias("f0"),
-            F.first("f1").alias("f1"),
+            F.first(F.struct("n", "short", "entries")).alias("of"),
         )
-        .withColumn("id", F.monotonically_increasing_id()),
+        .select(F.monotonically_increasing_id().alias("id"), "at", "copies", "of.*"),
         "classes",
     )
-    pairs = staged(candidates(classes, most_bits, large, pivots), "candidates")
+    members = staged(members_of(classes), "members")
+    pairs = staged(candidates(members, similarity, block), "candidates")
     dropped = _settle(rows, classes, pairs, size, similarity)
     kept = classes.join(dropped, "id", "left_anti").select("at.k", "at.t")
     # Rows with equal key and text are copies, too.
@@ -343,8 +385,7 @@ def drop_near_duplicates(
 def _settle(rows: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, similarity: float) -> DataFrame:
     """The ids of the classes that go.
 
-    All candidates are verified at once; their number is bounded by the entries' members. Then rounds of small joins settle
-    who stays.
+    All candidates are verified at once. Then rounds of small joins settle who stays.
     """
     spark = rows.sparkSession
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))

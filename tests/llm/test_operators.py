@@ -187,6 +187,37 @@ def test_one_document_of_each_group_stays(spark):
             assert alike[i] & set(kept)
 
 
+def block_copies(n=40, seed=11):
+    """Copies with one block replaced, a passage appended or the end cut off, at 0.80 to 0.90."""
+    rng, fresh = random.Random(seed), iter(range(10**6))
+    more = lambda k: [f"n{next(fresh)}" for _ in range(k)]
+    out = []
+    for i in range(n):
+        base = more(rng.choice([100, 300]))
+        share = rng.choice([0.8, 0.85, 0.9])
+        if i % 3 == 0:
+            k = int(len(base) * (1 - share) / (1 + share)) - 4
+            copy = [*base[:20], *more(k), *base[20 + k :]]
+        elif i % 3 == 1:
+            copy = base + more(int(len(base) * (1 / share - 1)) - 1)
+        else:
+            copy = base[: int(len(base) * share) + 1]
+        out += [" ".join(base), " ".join(copy)]
+    return out
+
+
+@pytest.mark.parametrize("block", [512, 2])
+def test_every_pair_of_similar_texts_is_a_candidate(spark, block):
+    texts = block_copies() + near_texts(60, 5)
+    sets = {i: plain.shingles(t, 5) for i, t in enumerate(texts)}
+    docs = docs_of(spark, texts)
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(docs, block=block).select("doc_id").collect()}
+    alike = [(i, j) for i in sets for j in range(i) if plain.jaccard(sets[i], sets[j]) >= 0.8]
+    assert sum(i < 80 for i, _ in alike) >= 35
+    assert not [p for p in alike if kept.issuperset(p)]
+    assert all(i in kept or any(i in p and kept & set(p) for p in alike) for i in sets)
+
+
 def test_simhash_of_nothing(spark):
     assert simhash.link_fingerprints(empty(spark)).count() == 0
     assert simhash.drop_near_duplicates(empty(spark)).count() == 0
