@@ -285,7 +285,10 @@ def _met(left: DataFrame, right: DataFrame, by: list[str], similarity: float) ->
 
 def members_of(prefixes: DataFrame) -> DataFrame:
     """Rows (id, n, short, place, entry, members) of the entries that two or more texts share."""
-    entries = prefixes.select("id", "n", "short", F.posexplode("entries").alias("place", "entry"))
+    return _shared(prefixes.select("id", "n", "short", F.posexplode("entries").alias("place", "entry")))
+
+
+def _shared(entries: DataFrame) -> DataFrame:
     counts = (
         entries.groupBy("entry")
         .agg(F.count("*").alias("members"), F.count_if(F.col("place") < F.col("short")).alias("first"))
@@ -294,6 +297,38 @@ def members_of(prefixes: DataFrame) -> DataFrame:
     return entries.join(counts.select("entry", "members"), "entry")
 
 
+def thinned(rows: DataFrame, classes: DataFrame, members: DataFrame, size: int, similarity: float, large: int):
+    """``members`` without large groups of copies, and the ids of the texts that go.
+
+    A text that comes first in all of its entries stays, as nothing before it can be similar to it. It is compared with all
+    that share an entry with it, which is linear in those; what is similar goes, and neither needs a further comparison.
+    Rounds end when entries of more than ``large`` members no longer shrink by half: those hold texts that are not copies of
+    each other, and are left for ``candidates``.
+    """
+    gone = None
+    while crowded := members.where(F.col("members") > large).count():
+        ids = members.groupBy("id").agg(F.max("members").alias("most"), F.count("*").alias("entries")).where(F.col("most") > large)
+        ids = staged(ids, "crowd")
+        # Those in crowded entries come before all others, so only they can lead.
+        rank = F.struct((-F.col("most")).alias("order"), F.col("id"))
+        heads = members.join(ids, "id").groupBy("entry").agg(F.min(rank)["id"].alias("id"))
+        leaders = staged(
+            heads.groupBy("id").agg(F.count("*").alias("led")).join(ids, "id").where("led = entries").select("id"), "leaders"
+        )
+        leading = members.join(leaders, "id")
+        met = _met(leading, members, ["entry"], similarity).unionByName(_met(members, leading, ["entry"], similarity))
+        found = similar(rows, classes, staged(met.distinct(), "leading"), size, similarity)
+        # Leaders share no entries with each other: exactly one of each pair leads.
+        out = found.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(leaders, "id", "left_anti")
+        out = staged(out, "gone")
+        gone = out if gone is None else gone.unionByName(out)
+        settled = out.unionByName(leaders)
+        members = staged(_shared(members.drop("members").join(settled, "id", "left_anti")), "members")
+        if 2 * members.where(F.col("members") > large).count() > crowded:
+            break
+    return members, gone
+
+
 def candidates(members: DataFrame, similarity: float, block: int) -> DataFrame:
     """All pairs of texts (id) that can have ``similarity``: both hold one shingle among their first ones.
 
@@ -324,6 +359,7 @@ def drop_near_duplicates(
     text: str = "text",
     size: int = 5,
     similarity: float = 0.8,
+    large: int = 64,
     block: int = 512,
     sample: int = 50_000,
     most: int = 200_000,
@@ -331,11 +367,11 @@ def drop_near_duplicates(
     """``docs`` without exact and near copies: one document of each group stays.
 
     Of two documents that stay, the distinct shingles of ``size`` words have a Jaccard similarity below ``similarity``; each
-    one that goes has that or more with one that stays. Every similar pair is a candidate (see ``candidates``) and every
-    candidate is verified. Classes of equal word sequences are visited by their number of candidates, then copies: one
+    one that goes has that or more with one that stays. Large groups of copies go first (see ``thinned``). Of the
+    rest, every similar pair is a candidate (see ``candidates``) and every candidate is verified. Classes of equal word sequences are visited by their number of candidates, then copies: one
     without an earlier candidate stays, and its verified partners go; a round settles all such classes at once.
 
-    ``block``, ``sample`` and ``most`` change time only.
+    ``block``, ``sample`` and ``most`` change time only, ``large`` also which one of a group stays.
     """
     inner = docs.select(*[F.col(f"`{c}`").alias(f"in_{c}") for c in docs.columns])
     rows = inner.select(
@@ -355,9 +391,10 @@ def drop_near_duplicates(
         .select(F.monotonically_increasing_id().alias("id"), "at", "copies", "of.*"),
         "classes",
     )
-    members = staged(members_of(classes), "members")
+    members, copies = thinned(rows, classes, staged(members_of(classes), "members"), size, similarity, large)
     pairs = staged(candidates(members, similarity, block), "candidates")
     dropped = _settle(rows, classes, pairs, size, similarity)
+    dropped = dropped if copies is None else dropped.unionByName(copies)
     kept = classes.join(dropped, "id", "left_anti").select("at.k", "at.t")
     # Rows with equal key and text are copies, too.
     repeated = prints.groupBy("k", "t").agg(F.count("*").alias("rows"))
@@ -382,6 +419,21 @@ def drop_near_duplicates(
     return whole.select(*[F.col(f"`in_{c}`").alias(c) for c in docs.columns])
 
 
+def similar(rows: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose texts have ``similarity``."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    at = staged(nodes.join(classes, "id").select("id", "at"), "nodes")
+    texts = rows.join(at, same([rows["k"], rows["t"]], [at["at.k"], at["at.t"]])).select("id", "text")
+    shingles = texts.mapInArrow(_shingle_sets(size), "id bigint, shingles array<bigint>")
+    # A key that repeats with its text gives one set.
+    sets = staged(shingles.dropDuplicates(["id"]), "shingle-sets")
+    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
+    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
+    common = F.size(F.array_intersect("of_a", "of_b"))
+    alike = common >= similarity * (F.size("of_a") + F.size("of_b") - common)
+    return staged(pairs.join(left, "a").join(right, "b").where(alike).select("a", "b"), "similar")
+
+
 def _settle(rows: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, similarity: float) -> DataFrame:
     """The ids of the classes that go.
 
@@ -390,29 +442,21 @@ def _settle(rows: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, si
     spark = rows.sparkSession
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
     ranked = staged(
-        nodes.join(classes, "id").select("id", "at", F.struct(-F.col("degree"), -F.col("copies"), F.col("id")).alias("rank")),
+        nodes.join(classes, "id").select("id", F.struct(-F.col("degree"), -F.col("copies"), F.col("id")).alias("rank")),
         "ranked",
     )
-    texts = rows.join(ranked, same([rows["k"], rows["t"]], [ranked["at.k"], ranked["at.t"]])).select("id", "text")
-    shingles = texts.mapInArrow(_shingle_sets(size), "id bigint, shingles array<bigint>")
-    # A key that repeats with its text gives one set.
-    sets = staged(shingles.dropDuplicates(["id"]), "shingle-sets")
     of = {x: ranked.select(F.col("id").alias(x), F.col("rank").alias(f"rank_{x}")) for x in "ab"}
     earlier = F.col("rank_a") < F.col("rank_b")
     edges = staged(
-        pairs.join(of["a"], "a")
+        similar(rows, classes, pairs, size, similarity)
+        .join(of["a"], "a")
         .join(of["b"], "b")
         .select(
             F.when(earlier, F.col("a")).otherwise(F.col("b")).alias("a"),
             F.when(earlier, F.col("b")).otherwise(F.col("a")).alias("b"),
         ),
-        "ordered",
+        "verified",
     )
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    alike = common >= similarity * (F.size("of_a") + F.size("of_b") - common)
-    edges = staged(edges.join(left, "a").join(right, "b").where(alike).select("a", "b"), "verified")
     gone = [spark.createDataFrame([], "id bigint")]
     while edges.limit(1).count():
         first = staged(

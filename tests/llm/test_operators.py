@@ -218,6 +218,36 @@ def test_every_pair_of_similar_texts_is_a_candidate(spark, block):
     assert all(i in kept or any(i in p and kept & set(p) for p in alike) for i in sets)
 
 
+@pytest.mark.parametrize("large", [64, 3])
+def test_crowds_are_settled_whole(spark, large):
+    """Pages with a common frame, two near copies of each, and a large group of near copies of one text."""
+    rng = random.Random(8)
+    frame, base = [f"f{i}" for i in range(200)], [f"b{i}" for i in range(120)]
+    texts = []
+    for i in range(90):
+        own = [f"o{i}x{j}" for j in range(24)]
+        texts += [" ".join(frame + own), " ".join(frame + own[:-2])]
+    for i in range(90):
+        at = rng.randrange(10, 110)
+        texts.append(" ".join([*base[:at], f"c{i}", *base[at + 1 :]]))
+    rng.shuffle(texts)
+    sets = [plain.shingles(t, 5) for t in texts]
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(docs_of(spark, texts), large=large).select("doc_id").collect()}
+    for i, x in enumerate(sets):
+        near = any(plain.jaccard(x, sets[j]) >= 0.8 for j in kept if j != i)
+        assert near != (i in kept)
+
+
+def test_groups_of_copies_are_not_compared_pair_by_pair(spark, monkeypatch):
+    base = [f"b{i}" for i in range(150)]
+    texts = [" ".join([*base[: 20 + i % 100], f"c{i}", *base[21 + i % 100 :]]) for i in range(300)]
+    compared = []
+    check = simhash.similar
+    monkeypatch.setattr(simhash, "similar", lambda rows, classes, pairs, *how: (compared.append(pairs.count()), check(rows, classes, pairs, *how))[1])
+    assert simhash.drop_near_duplicates(docs_of(spark, texts)).count() == 1
+    assert 299 <= sum(compared) < 3000
+
+
 def test_simhash_of_nothing(spark):
     assert simhash.link_fingerprints(empty(spark)).count() == 0
     assert simhash.drop_near_duplicates(empty(spark)).count() == 0
