@@ -8,6 +8,9 @@ A target names the levels it is for; all other values, nulls included, are one f
 tokens. So the number of cells is bounded by the targets and not by the data: raking is a fold over one row that holds them,
 and their rates are broadcast. Everything is DataFrame expressions.
 
+With ``keep``, that share of all tokens is drawn instead (see ``kept_rates``): scarce cells are taken whole and the others
+divide what remains of each margin, so that no single cell sets the size of the sample.
+
 Defined cases: a null or empty text has no tokens and is drawn at the rate of its cell; a cell without tokens has rate 0; a
 level that the data lack gives its share to the others of its margin; rows with equal keys are drawn alike; an empty table
 gives an empty result; ``mix`` keeps all columns under any names.
@@ -19,6 +22,7 @@ from collections.abc import Mapping
 from functools import reduce
 from operator import mul
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -138,6 +142,71 @@ def rates(counted: DataFrame, targets: Targets, rounds: int = 20, most_tokens: f
     ).drop("expected")
 
 
+def _filled(values: np.ndarray, caps: np.ndarray, goal: float) -> float:
+    """The factor at which ``minimum(caps, factor * values)`` adds up to ``goal``, or one at which all caps are reached."""
+    used = values > 0
+    v, c = values[used], caps[used]
+    if not len(v) or goal <= 0:
+        return 0.0
+    order = np.argsort(c / v, kind="stable")
+    v, c = v[order], c[order]
+    # Place i: the caps before it are reached.
+    before, rest = np.concatenate(([0.0], np.cumsum(c)[:-1])), np.cumsum(v[::-1])[::-1]
+    factors = (goal - before) / rest
+    open_ = np.flatnonzero(factors <= c / v)
+    return float(factors[open_[0]]) if len(open_) else float((c / v).max())
+
+
+def _fit(places: list[np.ndarray], weights: list[np.ndarray], tokens: np.ndarray, keep: float, rounds: int) -> np.ndarray:
+    """Drawing rates per cell; ``places`` and ``weights`` are the levels of the cells and the targets, by margin."""
+    start = tokens / tokens.sum()
+    caps = start / keep
+    goals = []
+    for place, weight in zip(places, weights):
+        natural = np.bincount(place, start, len(weight) + 1)
+        wanted = np.where(natural[1:] > 0, weight, 0.0)
+        # A level that lacks the tokens for its goal gives all it has; the others share the rest as they share their goals.
+        named = np.minimum(natural[1:] / keep, wanted * _filled(wanted, natural[1:] / keep, 1 - natural[0]))
+        goals.append(np.concatenate(([min(natural[0] / keep, 1 - named.sum())], named)))
+    factors = [np.ones(len(g)) for g in goals]
+    for _ in range(rounds):
+        for i, (place, goal) in enumerate(zip(places, goals)):
+            others = start * reduce(mul, [f[p] for j, (f, p) in enumerate(zip(factors, places)) if j != i], 1.0)
+            for at in range(len(goal)):
+                cells = place == at
+                factors[i][at] = min(_filled(others[cells], caps[cells], goal[at]), 1e12)
+    shares = np.minimum(caps, start * reduce(mul, [f[p] for f, p in zip(factors, places)], 1.0))
+    # Margins that cannot hold together leave the total a little off.
+    shares = np.minimum(caps, shares * _filled(shares, caps, 1.0))
+    return np.divide(shares * keep, start, out=np.zeros(len(start)), where=start > 0)
+
+
+def kept_rates(counted: DataFrame, targets: Targets, keep: float, rounds: int = 100) -> DataFrame:
+    """As ``rates``, for a sample of about ``keep`` of all tokens; ``weight`` is a cell's share of the sample.
+
+    No rate is above 1. A level with too few tokens for its target is taken whole, and the other levels of its margin divide
+    the rest by their targets; so do cells. The cells are bounded by the targets and are raked on the driver.
+    """
+    names = list(targets)
+    room = reduce(mul, [len(t) + 1 for t in targets.values()])
+    if room > MOST_CELLS:
+        raise ValueError(f"{room} cells; {MOST_CELLS} are allowed")
+    if not 0 < keep <= 1:
+        raise ValueError(f"keep is {keep}; a share above 0 and up to 1 is wanted")
+    rows = counted.groupBy(*names).agg(F.sum("tokens").alias("cell_tokens")).orderBy(*names).collect()
+    tokens = np.array([r["cell_tokens"] for r in rows], dtype=np.float64)
+    rate = np.zeros(len(rows))
+    if tokens.sum() > 0:
+        places = [np.array([r[n] for r in rows]) for n in names]
+        rate = _fit(places, [np.array(list(t.values()), dtype=np.float64) for t in targets.values()], tokens, keep, rounds)
+    drawn = tokens * rate
+    weight = drawn / max(drawn.sum(), 1e-300)
+    kinds = ", ".join([*(f"`{n}` int" for n in names), "cell_tokens bigint, weight double, rate double"])
+    return counted.sparkSession.createDataFrame(
+        [(*r, float(w), float(x)) for r, w, x in zip(rows, weight, rate)], kinds
+    )
+
+
 def plan(
     docs: DataFrame,
     levels: Mapping[str, Column],
@@ -147,20 +216,26 @@ def plan(
     seed: str = "mix",
     rounds: int = 20,
     most_tokens: float | None = None,
+    keep: float | None = None,
 ) -> DataFrame:
-    """``docs`` with ``mix_tokens``, ``mix_weight``, ``mix_rate`` and ``mix_kept``; ``levels`` gives each target's value."""
+    """``docs`` with ``mix_tokens``, ``mix_weight``, ``mix_rate`` and ``mix_kept``; ``levels`` gives each target's value.
+
+    With ``keep``, ``rounds`` and ``most_tokens`` do not count.
+    """
     marks = {f"mix_{k}": level(levels[k], t) for k, t in targets.items()}
     marked = docs.withColumns({**marks, "mix_tokens": token_count(text)})
     names = {f"mix_{k}": t for k, t in targets.items()}
-    cells = rates(marked.withColumnRenamed("mix_tokens", "tokens"), names, rounds, most_tokens)
+    counted = marked.withColumnRenamed("mix_tokens", "tokens")
+    cells = rates(counted, names, rounds, most_tokens) if keep is None else kept_rates(counted, names, keep)
     # At most one row per combination of levels.
-    joined = marked.join(F.broadcast(cells.drop("cell_tokens")), list(names))
+    cells = cells.select(*names, F.col("weight").alias("mix_weight"), F.col("rate").alias("mix_rate"))
+    joined = marked.join(F.broadcast(cells), list(names))
     return joined.select(
         *docs.columns,
         "mix_tokens",
-        F.col("weight").alias("mix_weight"),
-        F.col("rate").alias("mix_rate"),
-        (chance(F.col(key), seed) < F.col("rate")).alias("mix_kept"),
+        "mix_weight",
+        "mix_rate",
+        (chance(F.col(key), seed) < F.col("mix_rate")).alias("mix_kept"),
     )
 
 

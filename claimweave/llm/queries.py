@@ -271,6 +271,8 @@ MIX_TARGETS = {
     "topic": {"prose": 0.94, "notice": 0.03, "contact": 0.03},
 }
 MIX_ROUNDS = 20
+# The share of the tokens that the pipeline draws.
+MIX_KEEP = 0.5
 
 
 def topic(text: str):

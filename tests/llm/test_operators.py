@@ -504,6 +504,25 @@ def test_budget_lowers_all_rates(spark):
     assert sum(r["mix_tokens"] * r["mix_rate"] for r in rows) == pytest.approx(5000)
 
 
+def test_one_rare_cell_does_not_set_the_sample(spark):
+    """One German text of a scarce source, wanted far beyond its tokens."""
+    rare = spark.createDataFrame([(9999, "w w w", "gone", "de", "x")], mixed_docs(spark).schema)
+    docs, levels = mixed_docs(spark).unionByName(rare), {k: f(k) for k, f in LEVELS.items()}
+    rows = mixing.plan(docs, levels, TARGETS, keep=0.5).collect()
+    total, drawn = (sum(r["mix_tokens"] * x for r in rows for x in [f(r)]) for f in (lambda r: 1, lambda r: r["mix_rate"]))
+    assert drawn == pytest.approx(total / 2, rel=1e-3) and max(r["mix_rate"] for r in rows) <= 1
+    share = lambda name, value: sum(r["mix_tokens"] * r["mix_rate"] for r in rows if r[name] == value) / drawn
+    assert share("lang", "en") == pytest.approx(0.7, abs=2e-3) and share("lang", "de") == pytest.approx(0.3, abs=2e-3)
+    natural = sum(r["mix_tokens"] for r in rows if r["source"] is None) / total
+    of_b = sum(r["mix_tokens"] for r in rows if r["source"] == "b") / total / 0.5
+    assert share("source", None) == pytest.approx(natural, abs=2e-3)
+    assert share("source", "b") == pytest.approx(min(of_b, (1 - natural) / 2), abs=2e-3)
+    assert [r["mix_rate"] for r in rows if r["source"] == "gone"] == pytest.approx([1])
+    kept = sum(r["mix_tokens"] for r in mixing.mix(docs, levels, TARGETS, "doc_id", "text", keep=0.5).select(mixing.token_count("text").alias("mix_tokens")).collect())
+    assert kept == pytest.approx(total / 2, rel=0.1)
+    assert mixing.mix(docs.limit(0), levels, TARGETS, "doc_id", "text", keep=0.5).count() == 0
+
+
 def test_mix_keeps_columns_and_odd_rows(spark):
     docs = mixed_docs(spark).unionByName(spark.createDataFrame([(None, None, "a", None, "x"), (1, "", "b", "de", None)], mixed_docs(spark).schema))
     out = mixing.mix(docs, {k: f(k) for k, f in LEVELS.items()}, TARGETS, "doc_id", "text")
