@@ -561,6 +561,25 @@ def test_toxic_texts_are_found_without_negative_labels(spark):
     assert a.weights == pytest.approx(b.weights)
 
 
+def test_rare_telling_stems_are_found(spark):
+    """Stems in 3 % of the toxic texts each, under many endings; every text has a label."""
+    rng, rows, labels = random.Random(14), [], []
+    stems = [f"{a}{b}bomente" for a in "bdfgk" for b in "aeiou"]
+    for i in range(6000):
+        words, toxic = [f"w{rng.randrange(400)}" for _ in range(rng.randrange(5, 60))], rng.random() < 0.2
+        if toxic:
+            words[0] = rng.choice(stems) + "".join(rng.choice("xyz") for _ in range(6))
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    known = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    model = toxicity.learn(docs.where("doc_id < 4800"), known.where("doc_id < 4800"))
+    out = {r["doc_id"]: r["score"] for r in toxicity.score(docs.where("doc_id >= 4800"), model).collect()}
+    toxic = [out[i] for i, x in labels if i in out and x]
+    clean = [out[i] for i, x in labels if i in out and not x]
+    assert sum(x > max(clean) for x in toxic) > 0.95 * len(toxic)
+
+
 def test_toxicity_without_examples(spark):
     docs = docs_of(spark, ["a", None])
     none = spark.createDataFrame([(0, None)], "doc_id bigint, toxic int")
