@@ -2,7 +2,7 @@ from collections import defaultdict
 from datetime import datetime, timezone
 
 import pytest
-from conftest import T0, T1, by, claim, claims_frame, paper, papers_frame
+from evidence_rows import T0, T1, by, claim, claims_frame, paper, papers_frame
 from pyspark.sql import functions as F
 
 from claimweave.functions import vocab

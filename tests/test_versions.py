@@ -1,7 +1,7 @@
 import os
 
 import pytest
-from conftest import T0, T1
+from evidence_rows import T0, T1
 from pyspark.sql import functions as F
 
 from claimweave.sources import versions
