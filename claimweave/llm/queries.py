@@ -5,7 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from claimweave.llm import bpe, chat, embeddings, language_model, mixing, quality, secrets, simhash, toxicity, warc
+from claimweave.llm import (
+    bpe,
+    chat,
+    embeddings,
+    language_model,
+    mixing,
+    quality,
+    secrets,
+    simhash,
+    toxicity,
+    vector_codes,
+    warc,
+)
 from claimweave.llm.base import ORACLES, QUERIES, query, read, whole_text
 from claimweave.session import scratch_dir, staged
 
@@ -340,3 +352,52 @@ def op8_mix_weights(spark, sf_dir):
         F.round("mix_rate", 9).alias("rate"),
         F.col("mix_kept").alias("kept"),
     )
+
+
+# --- 11: vector codes -------------------------------------------------------------------------
+
+
+def vector_code_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """Every part against every entry, a step for each round."""
+    nearest = (
+        "SELECT place, part, min(d * {n} + entry) % {n} AS entry, min(d) AS d FROM (SELECT p.place, part, b.entry, "
+        "list_sum(list_transform(list_zip(p.xs, b.xs), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d "
+        "FROM cut p JOIN {books} b USING (part)) GROUP BY ALL"
+    )
+    steps = [
+        "kept AS (SELECT row_number() OVER (ORDER BY vec_id) AS place, vec_id, label, "
+        "list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings "
+        "WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        f"cut AS (SELECT place, part, v[part * len(v) // {parts} + 1:(part + 1) * len(v) // {parts}] AS xs "
+        f"FROM kept, range({parts}) AS r(part))",
+        f"b0 AS (SELECT part, place - 1 AS entry, xs FROM cut WHERE place <= {entries})",
+    ]
+    for n in range(rounds):
+        steps += [
+            f"n{n} AS ({nearest.format(books=f'b{n}', n=1000)})",
+            f"m{n} AS (SELECT part, entry, list((total // n - CASE WHEN total % n < 0 THEN 1 ELSE 0 END)::BIGINT ORDER BY i) AS xs "
+            f"FROM (SELECT part, entry, i, sum(xs[i])::BIGINT AS total, count(*) AS n FROM (SELECT part, entry, xs, "
+            f"unnest(range(1, len(xs) + 1)) AS i FROM n{n} JOIN cut USING (place, part)) GROUP BY ALL) GROUP BY ALL)",
+            f"b{n + 1} AS (SELECT part, entry, coalesce(m.xs, b.xs) AS xs FROM b{n} b LEFT JOIN m{n} m USING (part, entry))",
+        ]
+    steps += [
+        f"coded AS (SELECT place, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error "
+        f"FROM ({nearest.format(books=f'b{rounds}', n=1000)}) GROUP BY place)",
+        f"digest AS (SELECT sha256(string_agg(array_to_string(xs, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds})",
+    ]
+    return (
+        "WITH " + ",\n".join(steps) + "\nSELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, "
+        "codebooks_sha256 FROM kept JOIN coded USING (place), digest"
+    )
+
+
+@query(vector_code_sql())
+def op11_vector_codes(spark, sf_dir):
+    coded, books = vector_codes.encode_vectors(read(spark, sf_dir, "embeddings"))
+    return vector_codes.group_errors(coded).select(
+        "vec_id",
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(vector_codes.codebook_digest(books)).alias("codebooks_sha256"),
+    )
