@@ -9,6 +9,7 @@ from claimweave.llm import (
     bpe,
     chat,
     embeddings,
+    importance,
     language_model,
     mixing,
     quality,
@@ -401,3 +402,51 @@ def op11_vector_codes(spark, sf_dir):
         "label_error",
         F.lit(vector_codes.codebook_digest(books)).alias("codebooks_sha256"),
     )
+
+
+# --- 12: importance resampling ----------------------------------------------------------------
+
+IMPORTANCE_SQL = r"""
+WITH RECURSIVE bits AS (
+  SELECT b, b::BIGINT AS rest, 0 AS step FROM range(256) AS r(b)
+  UNION ALL SELECT b, CASE WHEN rest % 2 = 1 THEN xor(rest >> 1, 3988292384) ELSE rest >> 1 END, step + 1 FROM bits WHERE step < 8),
+remainders AS (SELECT list(rest ORDER BY b) AS rests FROM bits WHERE step = 8),
+texts AS (
+  SELECT row_number() OVER () AS row_no, * FROM (
+    SELECT true AS aim, item_id AS id, text FROM benchmark UNION ALL SELECT false, doc_id, text FROM documents)),
+words AS (
+  SELECT row_no, aim, id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM texts),
+features AS (
+  SELECT row_no, aim, array_to_string(ws[i:i + n], ' ') AS feature FROM (
+    SELECT *, unnest(range(1, len(ws) - n + 1)) AS i FROM words, range(3) AS r(n))),
+spelled AS (
+  SELECT feature, hex(encode(feature)) AS spelling FROM (SELECT DISTINCT feature FROM features)),
+hashed AS (
+  SELECT feature, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(spelling), 2),
+      lambda i: ('0x' || substr(spelling, i, 2))::BIGINT)),
+    lambda crc, b: xor(crc >> 8, rests[xor(crc & 255, b) + 1])), 4294967295) % 10000 AS bucket
+  FROM spelled, remainders),
+found AS (SELECT row_no, aim, bucket FROM features JOIN hashed USING (feature)),
+sums AS (
+  SELECT bucket, count(*) FILTER (aim) AS t, count(*) FILTER (NOT aim) AS s FROM found GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM sums) + 10000)::DOUBLE
+    / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM sums) + 10000)::DOUBLE)))::BIGINT AS gain FROM sums),
+weighed AS (SELECT row_no, count(*) AS n, sum(gain)::BIGINT AS gain FROM found JOIN gains USING (bucket) GROUP BY row_no),
+scored AS (
+  SELECT id AS doc_id, coalesce(n, 0) AS n_features, coalesce(gain, 0) AS weight, len(ws) >= 20 AS fit,
+    coalesce(gain, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || id), 1, 8))::BIGINT + 0.5::DOUBLE)
+      / 4294967296)))::BIGINT AS score
+  FROM words LEFT JOIN weighed USING (row_no) WHERE NOT aim),
+placed AS (SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id) AS place FROM scored)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN fit AND place <= 5 * (SELECT count(*) FROM scored WHERE fit) // 100 THEN place END AS rank
+FROM placed"""
+
+
+@query(IMPORTANCE_SQL)
+def op12_importance_resample(spark, sf_dir):
+    drawn = importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
