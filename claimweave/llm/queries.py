@@ -11,6 +11,7 @@ from claimweave.llm import (
     embeddings,
     importance,
     language_model,
+    merge_replay,
     mixing,
     quality,
     secrets,
@@ -450,3 +451,18 @@ FROM placed"""
 def op12_importance_resample(spark, sf_dir):
     drawn = importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# --- 13: merge replay -------------------------------------------------------------------------
+
+
+@query()
+def op13_merge_replay(spark, sf_dir):
+    ranks = merge_replay.Ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = merge_replay.encode(read(spark, sf_dir, "documents"), ranks, pattern=public_tokenizers.PATTERN)
+    return merge_replay.decode(encoded, ranks).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("data", 256).alias("decoded_sha256"),
+    )
