@@ -257,7 +257,7 @@ def _encode(shared, pattern: str, stands: dict[int, str]):
                     yield flush(i + 1)
                     parts, start = [], i + 1
                     continue
-                held += split(text)
+                held.append([word for words in split(text) for word in words])
                 size += len(text)
                 if size >= SLICE:
                     yield flush(i + 1)
