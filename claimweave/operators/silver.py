@@ -11,7 +11,8 @@ from claimweave.operators.keyed import attach_to_groups, flag_repeats, latest_ve
 from claimweave.session import staged
 
 
-def clean_papers(latest: DataFrame) -> DataFrame:
+def clean_papers(latest: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """Trimmed texts and normalized state; ``more`` columns pass as they are."""
     return latest.select(
         F.col("id").alias("paper_id"),
         F.trim("title").alias("title"),
@@ -23,6 +24,7 @@ def clean_papers(latest: DataFrame) -> DataFrame:
         "is_deleted",
         F.col("_run_id").alias("_last_run_id"),
         F.col("_exported_at").alias("_last_exported_at"),
+        *more,
     )
 
 
@@ -45,18 +47,18 @@ def canonical_uploads(papers: DataFrame) -> DataFrame:
 
 
 def silver_papers(
-    bronze: DataFrame, latest_run_id: str | Column, ties=(), stage: bool = False
+    bronze: DataFrame, latest_run_id: str | Column, ties=(), stage: bool = False, more: tuple[str, ...] = ()
 ) -> DataFrame:
     """Cleaned papers with upload groups. Grouping reads the newest versions twice; ``stage``
     writes them once in between instead of ranking bronze again."""
-    papers = clean_papers(latest_versions(bronze, latest_run_id, ties=ties))
+    papers = clean_papers(latest_versions(bronze, latest_run_id, ties=ties), more)
     if stage:
         papers = staged(papers, "latest-papers")
     return canonical_uploads(papers).withColumn("row_hash", C.row_hash(vocab.PAPER_HASH_COLUMNS))
 
 
-def clean_claims(latest: DataFrame) -> DataFrame:
-    """Normalize text, labels and confidence; the raw values stay beside the clean ones."""
+def clean_claims(latest: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """Normalize text, labels and confidence; the raw values stay beside the clean ones, ``more`` columns as they are."""
     result = C.norm_text("result")
     study_type = C.norm_text("study_type")
     confidence = F.col("confidence")
@@ -77,6 +79,7 @@ def clean_claims(latest: DataFrame) -> DataFrame:
         "is_deleted",
         F.col("_run_id").alias("_last_run_id"),
         F.col("_exported_at").alias("_last_exported_at"),
+        *more,
     )
 
 
@@ -104,19 +107,25 @@ def rejected_claims(checked: DataFrame) -> DataFrame:
     return checked.where(F.col("reject_reason").isNotNull()).drop("_paper_deleted")
 
 
-def valid_claims(checked: DataFrame) -> DataFrame:
-    """Claims that passed, with deletion cascaded from papers and repeated findings flagged."""
-    passed = (
+def passed_claims(checked: DataFrame) -> DataFrame:
+    """Claims that passed, with deletion cascaded from papers."""
+    return (
         checked.where(F.col("reject_reason").isNull())
         .withColumn("is_deleted", F.col("is_deleted") | F.col("_paper_deleted"))
         .drop("reject_reason", "_paper_deleted")
     )
-    flagged = flag_repeats(passed, list(vocab.FINDING_COLUMNS), "claim_id")
+
+
+def valid_claims(checked: DataFrame) -> DataFrame:
+    """Claims that passed, with repeated findings flagged."""
+    flagged = flag_repeats(passed_claims(checked), list(vocab.FINDING_COLUMNS), "claim_id")
     return flagged.withColumn("row_hash", C.row_hash(vocab.CLAIM_HASH_COLUMNS))
 
 
-def checked_claims(bronze: DataFrame, papers: DataFrame, latest_run_id: str | Column, ties=()) -> DataFrame:
-    return check_claims(clean_claims(latest_versions(bronze, latest_run_id, ties=ties)), papers)
+def checked_claims(
+    bronze: DataFrame, papers: DataFrame, latest_run_id: str | Column, ties=(), more: tuple[str, ...] = ()
+) -> DataFrame:
+    return check_claims(clean_claims(latest_versions(bronze, latest_run_id, ties=ties), more), papers)
 
 
 def silver_claims(

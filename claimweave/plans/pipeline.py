@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from claimweave.functions import columns as C
 from claimweave.functions import vocab
-from claimweave.operators import disagreement, gold, metrics, quality, silver
+from claimweave.operators import changes, disagreement, gold, metrics, quality, silver
 from claimweave.session import staged
 from claimweave.sources import bronze, versions
 from claimweave.sources.weights import study_weights
@@ -21,10 +21,7 @@ def silver_paths(root: str) -> dict[str, str]:
 
 
 def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    paths = silver_paths(root)
-    return {
-        name: versions.read_table(spark, path) for name, path in paths.items()
-    }
+    return {name: versions.read_table(spark, path).drop(*changes.HIDDEN) for name, path in silver_paths(root).items()}
 
 
 def write_silver(
@@ -43,17 +40,22 @@ def write_silver(
     """
     spark = bronze_papers.sparkSession
     paths = silver_paths(silver_root)
-    papers = staged(silver.silver_papers(bronze_papers, F.lit(latest_run_id), stage=True), "silver-papers")
-    checked = staged(silver.checked_claims(bronze_claims, papers, F.lit(latest_run_id)), "checked-claims")
-    claims, rejects = silver.valid_claims(checked), silver.rejected_claims(checked)
+    more, latest = (changes.SOURCE_HASH,), F.lit(latest_run_id)
+    bronze_papers = changes.with_source_hash(bronze_papers, "papers")
+    bronze_claims = changes.with_source_hash(bronze_claims, "claim_evidence")
+    papers = staged(changes.keep_papers(silver.silver_papers(bronze_papers, latest, stage=True, more=more)), "silver-papers")
+    checked = silver.checked_claims(bronze_claims, papers, latest, more=more).withColumn(changes.GONE, F.col("is_deleted"))
+    checked = staged(checked, "checked-claims")
+    claims, rejects = changes.keep_claims(silver.valid_claims(checked)), silver.rejected_claims(checked)
     quality.silver_gate(papers, claims)
     if retire_rejected and versions.table_exists(spark, paths["claims"]):
         claims = claims.unionByName(_newly_rejected(spark, paths["claims"], rejects))
+    rejected = versions.create(rejects.withColumn(versions.UPDATED_AT, versions.stamp(at)), paths["claims_rejects"], "claim_id")
     return {
-        "papers": versions.upsert(papers, paths["papers"], "paper_id", at=at),
-        "claims": versions.upsert(claims, paths["claims"], "claim_id", at=at),
+        "papers": versions.upsert(papers, paths["papers"], "paper_id", at=at, quiet=changes.HIDDEN),
+        "claims": versions.upsert(claims, paths["claims"], "claim_id", at=at, quiet=changes.HIDDEN),
         # Rejects and the run history describe the current state, so they are replaced.
-        "claims_rejects": versions.overwrite(rejects, paths["claims_rejects"], at=at),
+        "claims_rejects": {"operation": "OVERWRITE", "inserted": rejected, "updated": 0},
         "bronze_runs": versions.overwrite(runs, paths["bronze_runs"], at=at),
     }
 

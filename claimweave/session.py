@@ -60,3 +60,26 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below a folder of any store that Spark writes to."""
+    files, folder = _folder(spark, path)
+    return files.getContentSummary(folder).getLength()
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder if it is there."""
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none if it is not there."""
+    files, folder = _folder(spark, path)
+    return sorted(x.getPath().getName() for x in files.listStatus(folder)) if files.exists(folder) else []

@@ -2,6 +2,12 @@
 
 An upsert finds the inserted and changed rows by their hashes, rewrites only the buckets that hold such rows, and leaves all
 other files as they are; reads are plain scans. Running it again with the same rows writes nothing. One writer at a time.
+
+The number of buckets follows from the table's bytes when it is made, and is made anew when the table has outgrown it, so the
+rewrite behind one changed row stays about as large. Rows are rebalanced by bucket before they are written: adaptive execution
+spreads a bucket above its advisory size over several tasks, each with a file of its own, and lets one task write many small
+buckets. New buckets are complete in a folder of their own before they replace the old ones.
+
 Where the catalog has a table format with MERGE, use ``merge_into_table`` instead.
 """
 
@@ -13,11 +19,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.session import staged
+from claimweave.session import folder_bytes, remove_folder, scratch_dir, staged
 
 UPDATED_AT = "_silver_updated_at"
-BUCKET = "_bucket"
-BUCKETS = 64
+# Folder levels of a table: how many buckets it has, and the bucket.
+OF, BUCKET = "_of", "_bucket"
+BUCKET_BYTES = 64 << 20
+LEAST_BUCKETS, MOST_BUCKETS = 8, 1 << 16
+# A table is put into more buckets when they are this many times as large as they should be.
+OUTGROWN = 4
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
@@ -37,7 +47,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     found = _stored(spark, path)
     if found is None:
         raise ValueError(f"No table at {path}")
-    return found.drop(BUCKET)
+    return found.drop(OF, BUCKET)
 
 
 def classify_changes(target: DataFrame, source: DataFrame, key: str, hash_col: str = "row_hash") -> DataFrame:
@@ -53,56 +63,166 @@ def classify_changes(target: DataFrame, source: DataFrame, key: str, hash_col: s
     return new.join(old, key, "full_outer").select(key, change.alias("change"))
 
 
-def _stamp(at: datetime | None) -> Column:
+def stamp(at: datetime | None) -> Column:
     at = at or datetime.now(timezone.utc)
     return F.lit(at.isoformat()).cast("timestamp")
 
 
-def _write_buckets(df: DataFrame, path: str) -> None:
-    """Replace the buckets that ``df`` has rows of, and no others."""
-    by_bucket = df.repartition(BUCKET)
-    by_bucket.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
+def buckets_for(size: int) -> int:
+    """A power of two, so that more buckets only divide the old ones."""
+    wanted = -(-size // BUCKET_BYTES)
+    return min(MOST_BUCKETS, max(LEAST_BUCKETS, 1 << max(0, wanted - 1).bit_length()))
+
+
+def _in_buckets(df: DataFrame, key: str, of: int) -> DataFrame:
+    return df.withColumns({OF: F.lit(of), BUCKET: F.pmod(F.xxhash64(key), F.lit(of)).cast("int")})
+
+
+def _write(df: DataFrame, path: str, replace: str = "static") -> None:
+    """``replace``: the whole table (static) or only the buckets that ``df`` has rows of (dynamic)."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", replace).partitionBy(OF, BUCKET).parquet(path)
+
+
+def create(df: DataFrame, path: str, key: str) -> int:
+    """Make or replace the table; the new content is complete before the old one goes. Gives the number of rows."""
+    spark = df.sparkSession
+    folder = scratch_dir(spark, "created")
+    df.write.parquet(folder)
+    rows = spark.read.schema(df.schema).parquet(folder)
+    of = buckets_for(folder_bytes(spark, folder))
+    _write(_in_buckets(rows, key, of).hint("rebalance", BUCKET), path)
+    _write_schema(rows, path, of)
+    n = rows.count()
+    remove_folder(spark, folder)
+    return n
+
+
+def _write_schema(df: DataFrame, path: str, of: int) -> None:
+    """A file without rows in a bucket that no row has.
+
+    Readers take the schema from the first file, which this is, and a table without rows keeps schema and number of buckets.
+    """
+    df.drop(OF, BUCKET).limit(0).write.mode("overwrite").parquet(f"{path}/{OF}={of}/{BUCKET}=-1")
+
+
+def _bucket_number(target: DataFrame) -> int:
+    files = target.inputFiles()
+    return int(files[0].split(f"/{OF}=")[1].split("/")[0])
+
+
+def stored_rows(spark: SparkSession, path: str, key: str, ids: DataFrame) -> DataFrame:
+    """The rows of the given keys; only their buckets are opened."""
+    target = _stored(spark, path)
+    touched = touched_buckets(target, key, ids)
+    return target.where(F.col(BUCKET).isin(touched)).join(ids.select(key), key, "left_semi").drop(OF, BUCKET)
+
+
+def touched_buckets(target: DataFrame, key: str, ids: DataFrame) -> list[int]:
+    """One number a bucket at most."""
+    of = _bucket_number(target)
+    return sorted(r[0] for r in _in_buckets(ids.select(key), key, of).select(BUCKET).distinct().collect())
+
+
+def stamped(rows: DataFrame, target: DataFrame, key: str, at: datetime | None, hash_col: str | None) -> DataFrame:
+    """``rows`` with their time of update: the stored one where the stored hash is the same."""
+    if hash_col is None:
+        return rows.withColumn(UPDATED_AT, stamp(at))
+    old = target.select(key, F.col(hash_col).alias("_old"), F.col(UPDATED_AT).alias("_stamp"))
+    time = F.when(F.col("_old") == F.col(hash_col), F.col("_stamp")).otherwise(stamp(at))
+    return rows.join(old, key, "left").withColumn(UPDATED_AT, time).drop("_old", "_stamp")
+
+
+def stage_buckets(rows: DataFrame, path: str, key: str, folder: str, gone: DataFrame | None = None) -> list[int]:
+    """Write the touched buckets of the table at ``path`` anew in ``folder``, and tell which these are.
+
+    ``rows`` replace the stored rows of their keys, or of the keys of ``gone`` if it is given.
+    """
+    target = _stored(rows.sparkSession, path)
+    keys = (rows if gone is None else gone).select(key)
+    touched = touched_buckets(target, key, keys)
+    if touched:
+        kept = target.where(F.col(BUCKET).isin(touched)).join(keys, key, "left_anti")
+        # A column that is new in the source is NULL in the rows that stay.
+        merged = _in_buckets(rows, key, _bucket_number(target)).unionByName(kept, allowMissingColumns=True)
+        _write(merged.hint("rebalance", BUCKET), folder)
+    return touched
+
+
+def publish_buckets(spark: SparkSession, folder: str, path: str, touched: list[int]) -> None:
+    """Put staged buckets into the table. Doing it again gives the same table."""
+    if not touched:
+        return
+    target, new = _stored(spark, path), _stored(spark, folder)
+    filled = set()
+    if new is not None:
+        if set(new.columns) != set(target.columns):
+            _write_schema(new, path, _bucket_number(target))
+        _write(new, path, "dynamic")
+        filled = {r[0] for r in new.select(BUCKET).distinct().collect()}
+    for bucket in set(touched) - filled:
+        remove_folder(spark, f"{path}/{OF}={_bucket_number(target)}/{BUCKET}={bucket}")
+
+
+def fit_buckets(spark: SparkSession, path: str, key: str) -> None:
+    """Put a table that has outgrown its buckets into more of them."""
+    target = _stored(spark, path)
+    size, of = folder_bytes(spark, path), _bucket_number(target)
+    if size > OUTGROWN * BUCKET_BYTES * of and of < MOST_BUCKETS:
+        create(target.drop(OF, BUCKET), path, key)
 
 
 def upsert(
-    df: DataFrame, path: str, key: str, hash_col: str = "row_hash", at: datetime | None = None, buckets: int = BUCKETS
+    df: DataFrame,
+    path: str,
+    key: str,
+    hash_col: str = "row_hash",
+    at: datetime | None = None,
+    quiet: tuple[str, ...] = (),
 ) -> dict:
     """Add new keys and rows whose hash changed; nothing is ever deleted. Gives the counts of both.
 
-    Of the target only key and hash are read to find the changes. The number of buckets is fixed when the table is made;
-    it bounds how much one changed row rewrites.
+    Of the target only key, hash and ``quiet`` are read to find the changes. A row of which only ``quiet`` columns
+    changed is stored, but keeps its time of update and is not counted.
     """
     spark = df.sparkSession
-    rows = df.withColumn(UPDATED_AT, _stamp(at)).withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
     target = _stored(spark, path)
     if target is None:
-        rows = staged(rows, "created")
-        _write_buckets(rows, path)
-        return {"operation": "CREATE", "inserted": rows.count(), "updated": 0}
-    old = target.select(key, F.col(hash_col).alias("_old"))
-    changed = rows.join(old, key, "left").where(F.col("_old").isNull() | (F.col("_old") != F.col(hash_col)))
-    changed = staged(changed.withColumn("_is_new", F.col("_old").isNull()).drop("_old"), "changed")
-    kinds = changed.groupBy("_is_new").count().collect()
-    counts = {r["_is_new"]: r["count"] for r in kinds}
+        return {"operation": "CREATE", "inserted": create(df.withColumn(UPDATED_AT, stamp(at)), path, key), "updated": 0}
+    quiet = tuple(q for q in quiet if q in target.columns)
+    old = target.select(
+        key, F.col(hash_col).alias("_old"), F.col(UPDATED_AT).alias("_stamp"), *[F.col(q).alias(f"_old{q}") for q in quiet]
+    )
+    same = F.col("_old") == F.col(hash_col)
+    change = F.when(F.col("_old").isNull(), "insert").when(~same, "update")
+    for q in quiet:
+        change = change.when(~F.col(q).eqNullSafe(F.col(f"_old{q}")), "quiet")
+    changed = staged(
+        df.join(old, key, "left")
+        .withColumn("_change", change)
+        .where(F.col("_change").isNotNull())
+        .withColumn(UPDATED_AT, F.when(same, F.col("_stamp")).otherwise(stamp(at)))
+        .select(*df.columns, UPDATED_AT, "_change"),
+        "changed",
+    )
+    counts = {r["_change"]: r["count"] for r in changed.groupBy("_change").count().collect()}
     if counts:
-        touched = [r[BUCKET] for r in changed.select(BUCKET).distinct().collect()]
-        kept = target.where(F.col(BUCKET).isin(touched)).join(changed.select(key), key, "left_anti")
-        # A column that is new in the source is NULL in the rows that stay.
-        merged = changed.drop("_is_new").unionByName(kept, allowMissingColumns=True)
-        _write_buckets(staged(merged, "merged"), path)
-    return {"operation": "MERGE", "inserted": counts.get(True, 0), "updated": counts.get(False, 0)}
+        folder = scratch_dir(spark, "merged")
+        publish_buckets(spark, folder, path, stage_buckets(changed.drop("_change"), path, key, folder))
+        remove_folder(spark, folder)
+        fit_buckets(spark, path, key)
+    return {"operation": "MERGE", "inserted": counts.get("insert", 0), "updated": counts.get("update", 0)}
 
 
 def overwrite(df: DataFrame, path: str, at: datetime | None = None) -> dict:
     """Replace content and schema. The new content is complete before the old one goes."""
-    rows = staged(df.withColumn(UPDATED_AT, _stamp(at)), "overwrite")
+    rows = staged(df.withColumn(UPDATED_AT, stamp(at)), "overwrite")
     rows.write.mode("overwrite").parquet(path)
     return {"operation": "OVERWRITE", "inserted": rows.count(), "updated": 0}
 
 
 def merge_into_table(df: DataFrame, table: str, key: str, hash_col: str = "row_hash", at: datetime | None = None) -> None:
     """The same upsert for a catalog table whose format supports MERGE."""
-    df = df.withColumn(UPDATED_AT, _stamp(at)).alias("source")
+    df = df.withColumn(UPDATED_AT, stamp(at)).alias("source")
     same_key = F.col(f"{table}.{key}") == F.col(f"source.{key}")
     changed = F.col(f"{table}.{hash_col}") != F.col(f"source.{hash_col}")
     df.mergeInto(table, same_key).whenMatched(changed).updateAll().whenNotMatched().insertAll().merge()

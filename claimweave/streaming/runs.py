@@ -1,74 +1,100 @@
-"""Incremental bronze to silver: only runs that were not seen before are read."""
+"""Incremental bronze to silver: only runs that were not seen before are read, and only what they change is written."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import json
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimweave.functions import schemas
-from claimweave.operators.keyed import latest_versions
-from claimweave.plans.pipeline import write_silver
-from claimweave.sources import bronze
-
-TABLES = ("papers", "claim_evidence")
-
-
-def _state_path(root: str, table: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/_latest/{table}/batch={batch_id}"
-
-
-def _last_state(spark: SparkSession, root: str, batch_id: int) -> int | None:
-    """The newest batch before this one that left a state; every state holds at least one run.
-
-    A batch other than the first needs one: without it the history of earlier runs would be lost silently.
-    """
-    try:
-        states = spark.read.parquet(f"{root.rstrip('/')}/_latest/runs").where(F.col("batch") < batch_id)
-        found = states.agg(F.max("batch")).first()[0]
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        found = None
-    if found is None and batch_id > 0:
-        raise ValueError(f"Batch {batch_id} finds no state of an earlier batch under {root}/_latest")
-    return found
-
-
-def _read_state(spark: SparkSession, root: str, table: str, batch_id: int | None, schema) -> DataFrame | None:
-    return None if batch_id is None else spark.read.schema(schema).parquet(_state_path(root, table, batch_id))
-
-
-def _fold(df: DataFrame, root: str, table: str, batch_id: int) -> DataFrame:
-    """Write the state of this batch; the previous batch's state stays as it was."""
-    path = _state_path(root, table, batch_id)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from claimweave.operators import changes, quality
+from claimweave.plans.pipeline import read_silver, silver_paths, write_silver
+from claimweave.session import folder_names, remove_folder
+from claimweave.sources import bronze, versions
+
+KEYS = {"papers": "paper_id", "claims": "claim_id", "claims_rejects": "claim_id"}
+
+
+def _batch_path(root: str, batch_id: int) -> str:
+    return f"{root.rstrip('/')}/_batches/batch={batch_id}"
+
+
+def _prepared(spark: SparkSession, folder: str, run_ids: list[str]) -> dict | None:
+    """What an interrupted run of this batch had prepared; None if it had not come to the end of that."""
+    if "plan" not in folder_names(spark, folder):
+        return None
+    plan = json.loads(spark.read.text(f"{folder}/plan").head().value)
+    return plan if plan["run_ids"] == run_ids else None
+
+
+def _gate(papers: DataFrame | None, claims: DataFrame | None, delta: DataFrame, lookup: DataFrame) -> None:
+    """The silver checks on what is about to be stored. A key can only be doubled within its bucket."""
+    found = []
+    if papers is not None:
+        found.append(quality.check(papers, [quality.unique("paper_id")], "papers"))
+    if claims is not None:
+        local, crossing = quality.claim_rules(lookup)
+        found.append(quality.check(claims, local, "claims"))
+        found += [quality.check(delta, [rule], "claims") for rule in crossing]
+    quality.raise_failed(found)
+
+
+def _prepare(spark: SparkSession, bronze_root: str, silver_root: str, run_ids: list[str], folder: str) -> dict:
+    """Work out what the runs change and write the touched buckets anew beside the tables, which stay as they are."""
+    paths = silver_paths(silver_root)
+    history = versions.read_table(spark, paths["bronze_runs"])
+    before = history.agg(F.max(F.struct("run_id", F.col("exported_at").cast("string").alias("at"))).alias("x")).head().x
+    runs = changes.Runs(max([*run_ids, before.run_id]), before.run_id, before.at)
+    new = {table: bronze.read_bronze(spark, bronze_root, table, run_ids) for table in schemas.BRONZE}
+    papers, seen = changes.paper_changes(spark, new["papers"], paths["papers"], runs)
+    claims, rejects, checked = changes.claim_changes(spark, new["claim_evidence"], paths, papers, seen, runs)
+    at = datetime.now(timezone.utc)
+    rows = {"papers": (papers, papers), "claims": (claims, claims), "claims_rejects": (rejects, checked)}
+    touched = {}
+    for name, (delta, gone) in rows.items():
+        target = versions.read_table(spark, paths[name])
+        stamped = versions.stamped(delta, target, KEYS[name], at, None if name == "claims_rejects" else "row_hash")
+        touched[name] = versions.stage_buckets(stamped, paths[name], KEYS[name], f"{folder}/{name}", gone)
+    staged = {name: spark.read.parquet(f"{folder}/{name}") if touched[name] else None for name in ("papers", "claims")}
+    _gate(staged["papers"], staged["claims"], claims, changes.lookup(versions.read_table(spark, paths["papers"]), papers))
+    plan = {"run_ids": run_ids, "touched": touched}
+    # The plan comes last: without it the batch is prepared again from the unchanged tables.
+    spark.range(1).select(F.lit(json.dumps(plan)).alias("value")).coalesce(1).write.mode("overwrite").text(f"{folder}/plan")
+    return plan
 
 
 def apply_runs(spark: SparkSession, bronze_root: str, silver_root: str, run_ids: list[str], batch_id: int) -> None:
-    """Fold new runs into the newest row per id, then commit silver.
+    """Bring silver up to date with new runs.
 
-    The newest row of the old newest rows and the new runs is the newest row of all runs, so the
-    cost is one snapshot plus the new runs, not the whole history. Replaying a batch reads the
-    previous batch's state again and finds nothing more to change.
+    The first batch builds the tables, or goes on from tables that the batch pipeline built. Later ones change the
+    buckets that hold affected rows. What a batch does is complete beside the tables before it touches them, so a batch
+    that is interrupted is finished by its replay; only the newest batch's folder is kept for that. A batch other than
+    the first needs tables of an earlier one: without them the history of earlier runs would be lost silently.
     """
-    current, before = {}, _last_state(spark, silver_root, batch_id)
-    for table in TABLES:
-        rows = bronze.read_bronze(spark, bronze_root, table, run_ids)
-        old = _read_state(spark, silver_root, table, before, schemas.BRONZE[table])
-        if old is not None:
-            rows = old.unionByName(rows)
-        newest = latest_versions(rows, F.lit("")).drop("is_deleted")
-        current[table] = _fold(newest, silver_root, table, batch_id)
-    history = bronze.run_history(spark, bronze_root)
-    runs = history.where(F.col("run_id").isin(run_ids))
-    old_runs = _read_state(spark, silver_root, "runs", before, history.schema)
-    if old_runs is not None:
-        runs = old_runs.unionByName(runs)
-    runs = _fold(runs, silver_root, "runs", batch_id)
-    latest_run_id = max([*run_ids, runs.agg(F.max("run_id")).first()[0] or ""])
-    write_silver(current["papers"], current["claim_evidence"], runs, latest_run_id, silver_root)
+    paths, folder = silver_paths(silver_root), _batch_path(silver_root, batch_id)
+    built = versions.table_exists(spark, paths["bronze_runs"])
+    if not built and batch_id > 0:
+        raise ValueError(f"Batch {batch_id} finds no state of an earlier batch under {silver_root}")
+    history = bronze.run_history(spark, bronze_root).where(F.col("run_id").isin(run_ids))
+    if not built:
+        new = [bronze.read_bronze(spark, bronze_root, table, run_ids) for table in ("papers", "claim_evidence")]
+        write_silver(*new, history, max(run_ids), silver_root)
+        return
+    plan = _prepared(spark, folder, run_ids)
+    if plan is None:
+        remove_folder(spark, folder)
+        plan = _prepare(spark, bronze_root, silver_root, run_ids, folder)
+    for name, key in KEYS.items():
+        versions.publish_buckets(spark, f"{folder}/{name}", paths[name], plan["touched"][name])
+        versions.fit_buckets(spark, paths[name], key)
+    known = read_silver(spark, silver_root)["bronze_runs"].drop(versions.UPDATED_AT)
+    fresh = history.join(known, ["run_id", "source_table"], "left_anti").select(*known.columns)
+    versions.overwrite(known.unionByName(fresh), paths["bronze_runs"])
+    for other in folder_names(spark, f"{silver_root.rstrip('/')}/_batches"):
+        if other != f"batch={batch_id}":
+            remove_folder(spark, f"{silver_root.rstrip('/')}/_batches/{other}")
 
 
 def process_new_runs(spark: SparkSession, bronze_root: str, silver_root: str, checkpoint: str) -> None:

@@ -71,3 +71,53 @@ def test_change_kinds(spark):
     old, new = frame(spark, [(1, "a"), (2, "b"), (3, "c")]), frame(spark, [(2, "b"), (3, "C"), (4, "d")])
     kinds = {r.id: r.change for r in versions.classify_changes(old, new, "id").collect()}
     assert kinds == {1: "kept", 2: "unchanged", 3: "update", 4: "insert"}
+
+
+def test_a_large_bucket_is_several_tasks_and_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name, None)
+    try:
+        spark.conf.set(name, "64k")
+        rows = spark.range(0, 120_000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        versions.upsert(rows.withColumn("row_hash", F.col("v")), path, "id")
+        sizes = {d: len(part) for d, _, names in os.walk(path) if (part := [n for n in names if n[:5] == "part-"])}
+        assert max(sizes.values()) > 1 and sum(sizes.values()) > 20
+        versions.upsert(rows.where("id = 5").withColumn("row_hash", F.lit("x")), path, "id")
+        assert versions.read_table(spark, path).count() == 120_000
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def test_small_buckets_share_a_task(spark, tmp_path):
+    path = str(tmp_path / "t")
+    versions.upsert(frame(spark, [(i, str(i)) for i in range(500)]), path, "id")
+    tasks = {n.split("-")[1] for d, _, names in os.walk(path) for n in names if n[:5] == "part-" and "=-1" not in d}
+    assert len(tasks) == 1
+
+
+def test_an_outgrown_table_gets_more_buckets(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    versions.upsert(frame(spark, [(i, str(i)) for i in range(500)]), path, "id")
+    monkeypatch.setattr(versions, "BUCKET_BYTES", 500)
+    monkeypatch.setattr(versions, "LEAST_BUCKETS", 1)
+    versions.upsert(frame(spark, [(i, f"new {i}") for i in range(700)]), path, "id")
+    assert [d for d in os.listdir(path) if d.startswith("_of=")] != ["_of=8"]
+    assert content(spark, path) == {i: f"new {i}" for i in range(700)}
+
+
+def test_an_empty_table_has_a_schema(spark, tmp_path):
+    path = str(tmp_path / "t")
+    versions.create(frame(spark, []).withColumn(versions.UPDATED_AT, versions.stamp(T0)), path, "id")
+    assert versions.read_table(spark, path).columns == ["id", "v", "row_hash", "_silver_updated_at"]
+    assert versions.upsert(frame(spark, [(1, "a")]), path, "id")["inserted"] == 1
+    assert content(spark, path) == {1: "a"}
+
+
+def test_a_bucket_without_rows_goes(spark, tmp_path):
+    path, folder = str(tmp_path / "t"), str(tmp_path / "staged")
+    versions.create(frame(spark, [(1, "a"), (2, "b")]), path, "id")
+    gone = spark.createDataFrame([(1,)], "id long")
+    touched = versions.stage_buckets(frame(spark, []), path, "id", folder, gone)
+    versions.publish_buckets(spark, folder, path, touched)
+    assert content(spark, path) == {2: "b"}
