@@ -24,7 +24,7 @@ SLICE = 512
 PRODUCT_ROWS = 256
 
 
-def _unit(vectors: np.ndarray) -> np.ndarray:
+def unit_rows(vectors: np.ndarray) -> np.ndarray:
     norms = np.linalg.norm(vectors, axis=1, keepdims=True)
     return vectors / np.where(norms == 0, 1, norms)
 
@@ -35,7 +35,7 @@ def hashed_words(texts: list[str], size: int = vocab.EMBEDDING_SIZE) -> np.ndarr
     All texts of a slice are hashed together as one byte array, without a loop over words.
     """
     parts = [_slice_counts(texts[i : i + SLICE], size) for i in range(0, len(texts), SLICE)]
-    return _unit(np.concatenate(parts)) if parts else np.zeros((0, size), np.float32)
+    return unit_rows(np.concatenate(parts)) if parts else np.zeros((0, size), np.float32)
 
 
 def _slice_counts(texts: list[str], size: int) -> np.ndarray:
@@ -126,11 +126,11 @@ def nearest_centroid(
             return left[["id"]].iloc[:0].assign(centroid_id=0, similarity=0.0)
         members = right["members"].iloc[0]
         ids = np.array([r["centroid_id"] for r in members])
-        matrix = _unit(np.stack([r["centroid"] for r in members]).astype(np.float64)).T
+        matrix = unit_rows(np.stack([r["centroid"] for r in members]).astype(np.float64)).T
         found, values = np.empty(len(left), np.int64), np.empty(len(left))
         for start in range(0, len(left), PRODUCT_ROWS):
             part = slice(start, start + PRODUCT_ROWS)
-            similarity = _unit(np.stack(left["vector"].iloc[part]).astype(np.float64)) @ matrix
+            similarity = unit_rows(np.stack(left["vector"].iloc[part]).astype(np.float64)) @ matrix
             best = similarity.argmax(axis=1)
             found[part], values[part] = ids[best], similarity[np.arange(len(best)), best]
         return pd.DataFrame({"id": left["id"], "centroid_id": found, "similarity": values})
@@ -169,8 +169,15 @@ def average_linkage(vectors: np.ndarray, threshold: float = vocab.CLUSTER_THRESH
     member = np.array([first.setdefault(v.tobytes(), len(first)) for v in vectors])
     if len(first) == 1:
         return [0] * len(vectors)
-    means = _unit(vectors[np.unique(member, return_index=True)[1]].astype(np.float64))
-    sizes = np.bincount(member).astype(np.float64)
+    means = unit_rows(vectors[np.unique(member, return_index=True)[1]].astype(np.float64))
+    owner = merge_nearest(means, np.bincount(member).astype(np.float64), threshold)
+    labels: dict[int, int] = {}
+    return [labels.setdefault(int(owner[m]), len(labels)) for m in member]
+
+
+def merge_nearest(means: np.ndarray, sizes: np.ndarray, threshold: float) -> np.ndarray:
+    """For each cluster, given by the mean of its unit vectors and its size, the lowest cluster that it ends up with."""
+    means, sizes = means.copy(), sizes.copy()
     owner = np.arange(len(means))
     is_open = np.ones(len(means), dtype=bool)
     chain: list[int] = []
@@ -196,8 +203,7 @@ def average_linkage(vectors: np.ndarray, threshold: float = vocab.CLUSTER_THRESH
             del chain[-2:]
         else:
             chain.append(nearest)
-    labels: dict[int, int] = {}
-    return [labels.setdefault(int(owner[m]), len(labels)) for m in member]
+    return owner
 
 
 def cluster_labels(vectors: str | Column, threshold: float = vocab.CLUSTER_THRESHOLD) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from claimweave.functions import columns as C
 from claimweave.functions import schemas, vocab
-from claimweave.operators import extraction, text, vectors
+from claimweave.operators import clusters, extraction, text, vectors
 from claimweave.operators.keyed import latest_versions, sequential_ids
 from claimweave.plans import ingest, pipeline
 from claimweave.plans import tables as t
@@ -307,22 +307,35 @@ FROM (SELECT vec_id, i, dense_rank() OVER (PARTITION BY vec_id ORDER BY c) - 1 A
     )
 
 
-@query(linkage_sql())
-def cluster_claims(spark, sf_dir):
+def _document_parts():
     """Each vector cut into eight parts, which stand for the claim vectors of one document.
 
     In every third document each second part is the one before it, scaled, so that there is something to merge.
     """
-    table = t.read(spark, sf_dir, "embeddings")
 
     def part(i):
         own = F.slice("embedding", i * 8 + 1, F.lit(8))
         copied = F.transform(F.slice("embedding", F.greatest(i * 8 - 7, F.lit(1)), F.lit(8)), lambda x: x * 3)
         return F.when((F.col("vec_id") % 3 == 0) & (i % 2 == 1), copied).otherwise(own)
 
-    parts = F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda i: F.transform(part(i), lambda x: x.cast("float")))
-    labels = F.transform(vectors.cluster_labels(parts), lambda x: x.cast("string"))
-    return table.select("vec_id", F.array_join(labels, ",").alias("labels"))
+    return F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda i: F.transform(part(i), lambda x: x.cast("float")))
+
+
+@query(linkage_sql())
+def cluster_claims(spark, sf_dir):
+    """A document's claim vectors in one array."""
+    labels = F.transform(vectors.cluster_labels(_document_parts()), lambda x: x.cast("string"))
+    return t.read(spark, sf_dir, "embeddings").select("vec_id", F.array_join(labels, ",").alias("labels"))
+
+
+@query(linkage_sql())
+def cluster_claim_rows(spark, sf_dir):
+    """The same documents with a row for each claim, merged in rounds of mutual nearest neighbours."""
+    table = t.read(spark, sf_dir, "embeddings")
+    claims = table.select("vec_id", F.posexplode(_document_parts()).alias("i", "v"))
+    labels = clusters.cluster_claims(claims, "vec_id", "i", "v", local=1, tile=4)
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("i", "label"))), lambda x: x["label"].cast("string"))
+    return labels.groupBy("vec_id").agg(F.array_join(in_order, ",").alias("labels"))
 
 
 # --- ingestion ------------------------------------------------------------------------------

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from claimweave.operators import vectors
+from claimweave.operators import clusters, vectors
 
 
 def brute_linkage(points, threshold):
@@ -90,3 +90,35 @@ def test_embedder_sees_batches(spark):
     df = spark.range(50).select(F.concat(F.lit("t"), "id").alias("t"))
     rows = vectors.embed(df, "t", lambda texts: np.array([[len(t)] for t in texts])).collect()
     assert all(r.embedding == [float(len(r.t))] for r in rows)
+
+
+def chain(n):
+    """Directions whose gaps grow: only the closest two are nearest to each other."""
+    angles = np.cumsum([0.0, *(0.12 * 1.05**i for i in range(n - 1))])
+    return np.stack([np.cos(angles), np.sin(angles)], axis=1)
+
+
+def test_rounds_of_joins_give_the_labels_of_one_task(spark):
+    rng = np.random.default_rng(5)
+    centers = rng.normal(size=(6, 4))
+    documents = {
+        1: centers[rng.integers(0, 6, 70)] + rng.normal(scale=0.3, size=(70, 4)),
+        2: np.pad(chain(20), ((0, 0), (0, 2))),
+        3: np.repeat(rng.normal(size=(3, 4)), 5, axis=0),
+        4: rng.normal(size=(1, 4)),
+    }
+    rows = [(d, i, [float(x) for x in v.astype(np.float32)]) for d, points in documents.items() for i, v in enumerate(points)]
+    rows.append((5, 0, None))
+    frame = spark.createDataFrame(rows, "paper long, n int, v array<float>").withColumn("doc", F.lit("x"))
+    found = clusters.cluster_claims(frame, "paper", "n", "v", tile=16, local=6).collect()
+    labels = {(r.paper, r.n): r.label for r in found}
+    assert len(found) == len(rows) and labels.pop((5, 0)) is None
+    for d, points in documents.items():
+        want = vectors.average_linkage(points.astype(np.float32))
+        assert [labels[d, i] for i in range(len(points))] == want
+    assert len(set(vectors.average_linkage(documents[2].astype(np.float32)))) > 1
+
+
+def test_rounds_of_nothing(spark):
+    frame = spark.createDataFrame([], "paper long, n int, v array<float>")
+    assert clusters.cluster_claims(frame, "paper", "n", "v").count() == 0
