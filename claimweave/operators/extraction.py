@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from claimweave.functions import vocab
 from claimweave.functions.columns import contains_any, let
 from claimweave.functions.schemas import CLAIM
+from claimweave.operators.keyed import items
 from claimweave.operators.text import sentences
 
 CLAIM_ARRAY = T.ArrayType(CLAIM)
@@ -83,44 +84,56 @@ def reply_claims(reply: str | Column) -> Column:
 
 
 def _reply_object(element: Column) -> Column:
-    """(ok, claim) of one array element."""
-
-    def value(name, kind="variant"):
-        return F.try_variant_get(element, f"$.{name}", kind)
-
-    def kind(name):
-        return F.schema_of_variant(value(name))
-
-    def text(name):
-        return F.when(value(name).isNull(), vocab.REPLY_DEFAULTS[name]).otherwise(value(name, "string"))
-
-    def is_empty(name):
-        written, is_text = value(name, "string"), kind(name) == "STRING"
-        return F.coalesce(F.when(is_text, written == "").otherwise(written.isin(*EMPTY_VALUES)), F.lit(True))
-
-    def label(name):
-        return F.when(is_empty(name), vocab.REPLY_DEFAULTS[name]).otherwise(F.lower(value(name, "string")))
-
-    def label_ok(name):
-        return is_empty(name) | (kind(name) == "STRING")
-
-    number = value("confidence", "string")
-    bare_number = F.rlike(kind("confidence"), F.lit("^(BIGINT|DOUBLE|FLOAT|DECIMAL|BOOLEAN)"))
-    readable = bare_number | ((kind("confidence") == "STRING") & F.rlike(number, F.lit(NUMBER)))
-    as_number = F.when(number == "true", 1.0).when(number == "false", 0.0).otherwise(number.try_cast("double"))
-    no_confidence = value("confidence").isNull()
-    confidence = F.when(no_confidence, vocab.REPLY_DEFAULTS["confidence"]).otherwise(as_number)
-    is_object = F.startswith(F.schema_of_variant(element), F.lit("OBJECT"))
-    ok = is_object & label_ok("result") & label_ok("study_type") & (no_confidence | readable)
-    claim = _claim(
-        population=text("population"),
-        intervention=text("intervention"),
-        outcome=text("outcome"),
-        result=label("result"),
-        study_type=label("study_type"),
-        confidence=confidence,
-    )
-    return F.struct(ok.alias("ok"), claim.alias("claim"))
+    """(ok, claim) of one array element.
+
+    The element is taken apart once, and each field is looked up, typed and written out once.
+    """
+    names = tuple(vocab.REPLY_DEFAULTS)
+
+    def look(given: Column) -> Column:
+        # No kind: the field is absent. An explicit null has one.
+        return F.struct(
+            F.schema_of_variant(given).alias("kind"), F.try_variant_get(given, "$", "string").alias("written")
+        )
+
+    def claim_of(seen: Column) -> Column:
+        def field(name):
+            return seen[names.index(name)]
+
+        def is_text(name):
+            return field(name)["kind"] == "STRING"
+
+        def text(name):
+            return F.when(field(name)["kind"].isNull(), vocab.REPLY_DEFAULTS[name]).otherwise(field(name)["written"])
+
+        def is_empty(name):
+            written = field(name)["written"]
+            return F.coalesce(F.when(is_text(name), written == "").otherwise(written.isin(*EMPTY_VALUES)), F.lit(True))
+
+        def label(name):
+            return F.when(is_empty(name), vocab.REPLY_DEFAULTS[name]).otherwise(F.lower(field(name)["written"]))
+
+        number, kind = field("confidence")["written"], field("confidence")["kind"]
+        bare_number = F.rlike(kind, F.lit("^(BIGINT|DOUBLE|FLOAT|DECIMAL|BOOLEAN)"))
+        readable = bare_number | (is_text("confidence") & F.rlike(number, F.lit(NUMBER)))
+        as_number = F.when(number == "true", 1.0).when(number == "false", 0.0).otherwise(number.try_cast("double"))
+        labels_ok = (is_empty("result") | is_text("result")) & (is_empty("study_type") | is_text("study_type"))
+        claim = _claim(
+            population=text("population"),
+            intervention=text("intervention"),
+            outcome=text("outcome"),
+            result=label("result"),
+            study_type=label("study_type"),
+            confidence=F.when(kind.isNull(), vocab.REPLY_DEFAULTS["confidence"]).otherwise(as_number),
+        )
+        return F.struct((labels_ok & (kind.isNull() | readable)).alias("ok"), claim.alias("claim"))
+
+    def from_fields(fields: Column) -> Column:
+        # What is no object has no fields at all and is not ok.
+        seen = F.transform(F.array(*map(F.lit, names)), lambda name: look(F.try_element_at(fields, name)))
+        return F.when(fields.isNotNull(), let(seen, claim_of))
+
+    return let(F.try_variant_get(element, "$", "map<string,variant>"), from_fields)
 
 
 def extracted_claims(text: str | Column, reply: str | Column | None = None, **rules) -> Column:
@@ -168,5 +181,5 @@ def with_replies(
 
 def claim_rows(docs: DataFrame, id_col: str, claims_col: str = "claims") -> DataFrame:
     """One row per extracted claim, numbered inside its document."""
-    exploded = docs.select(id_col, F.posexplode(claims_col).alias("claim_index", "_claim"))
+    exploded = items(docs, [id_col], claims_col, "claim_index", "_claim")
     return exploded.select(id_col, "claim_index", "_claim.*")

@@ -82,6 +82,15 @@ def sequential_ids(df: DataFrame, order_by: list[str], name: str = "id", start:
     )
 
 
+def items(df: DataFrame, keep: list[str], array: str | Column, index: str, item: str) -> DataFrame:
+    """One row per item of an array that is computed here; no row for an empty or missing one.
+
+    The outer generator with a filter behind it: before an inner one Spark filters by the size of the array, which computes
+    the array a second and a third time.
+    """
+    return df.select(*keep, F.posexplode_outer(array).alias(index, item)).where(F.col(index).isNotNull())
+
+
 def one_row(*frames: DataFrame) -> DataFrame:
     """Put several one-row frames with different columns side by side, without a cross join."""
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

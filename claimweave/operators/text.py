@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.functions import vocab
+from claimweave.operators.keyed import items
 from claimweave.functions.columns import let, strip
 
 # White space of the Unicode standard and the four ASCII separators.
@@ -47,7 +48,7 @@ def chunk_documents(
     overlap: int = vocab.CHUNK_OVERLAP,
 ) -> DataFrame:
     """(id, chunk_id, chunk_index, section, content); the chunk id is ``id:index``."""
-    exploded = docs.select(id_col, F.posexplode(chunks(text_col, size, overlap)).alias("chunk_index", "content"))
+    exploded = items(docs, [id_col], chunks(text_col, size, overlap), "chunk_index", "content")
     return exploded.select(
         id_col,
         F.concat_ws(":", F.col(id_col).cast("string"), F.col("chunk_index").cast("string")).alias("chunk_id"),
@@ -64,4 +65,4 @@ def sentences(text: str | Column) -> Column:
 
 
 def sentence_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(id_col, F.posexplode(sentences(text_col)).alias("sentence_index", "sentence"))
+    return items(docs, [id_col], sentences(text_col), "sentence_index", "sentence")

@@ -17,7 +17,7 @@ from claimweave.operators.keyed import sequential_ids
 from claimweave.operators.text import chunks
 from claimweave.operators.vectors import average_linkage, hashed_words
 from claimweave.session import staged
-from claimweave.sources.documents import read_files
+from claimweave.sources.documents import decode_text, read_files
 
 PARSED = T.StructType().add("text", T.StringType()).add("error", T.StringType())
 VECTORS = T.StructType().add("vectors", T.ArrayType(T.ArrayType(T.FloatType()))).add("error", T.StringType())
@@ -27,26 +27,27 @@ Embedder = Callable[[list[str]], np.ndarray]
 
 
 def parse_files(filename: str, content: str, pdf_parser: Callable[[bytes], str] | None = None) -> Column:
-    """Text or error per file. PDF files need a parser; all others are UTF-8 text."""
+    """Text or error per file. PDF files need a parser; all others are UTF-8 text, decoded without Python."""
 
     @F.pandas_udf(PARSED)
-    def parse(names: pd.Series, data: pd.Series) -> pd.DataFrame:
+    def parse(data: pd.Series) -> pd.DataFrame:
         rows = []
-        for name, raw in zip(names, data):
+        for raw in data:
             try:
-                if raw is None or len(raw) == 0:
-                    raise ValueError("Empty upload")
-                if (name or "").lower().endswith(".pdf"):
-                    if pdf_parser is None:
-                        raise ValueError("No parser for PDF files")
-                    rows.append((pdf_parser(bytes(raw)), None))
-                else:
-                    rows.append((bytes(raw).decode("utf-8", errors="ignore"), None))
+                rows.append((None if raw is None else pdf_parser(bytes(raw)), None))
             except Exception as error:
                 rows.append((None, str(error)))
         return pd.DataFrame(rows, columns=["text", "error"], dtype=object)
 
-    return parse(filename, content)
+    def outcome(text: Column | None = None, error: str | None = None) -> Column:
+        text = F.lit(None) if text is None else text
+        return F.struct(text.cast("string").alias("text"), F.lit(error).cast("string").alias("error"))
+
+    is_pdf = F.coalesce(F.endswith(F.lower(filename), F.lit(".pdf")), F.lit(False))
+    empty = F.coalesce(F.octet_length(content), F.lit(0)) == 0
+    # Only the bytes of PDF files go to the parser.
+    by_parser = outcome(error="No parser for PDF files") if pdf_parser is None else parse(F.when(is_pdf & ~empty, F.col(content)))
+    return F.when(empty, outcome(error="Empty upload")).when(is_pdf, by_parser).otherwise(outcome(decode_text(content)))
 
 
 def _safely(embedder: Embedder, lists: pd.Series) -> list[tuple[np.ndarray | None, str | None]]:
