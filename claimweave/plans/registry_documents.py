@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -510,6 +511,25 @@ def bronze_complete_runs(spark, sf_dir):
     )
 
 
+@query(
+    """
+SELECT _run_id, _source_table, count(*) AS n_rows, true AS same_bytes FROM (
+  SELECT id, _run_id, _source_table FROM v_bronze_claims WHERE _run_id <> '20011231T000000Z'
+  QUALIFY row_number() OVER (PARTITION BY id, _run_id) = 1) GROUP BY 1, 2"""
+)
+def bronze_copies(spark, sf_dir):
+    """Two runs written to two targets: rows as the second one holds them, and whether its files are those of the first."""
+    roots = [scratch_dir(spark, "bronze"), scratch_dir(spark, "copy")]
+    for as_of in RUN_TIMES[:2]:
+        bronze.snapshot(spark, _bronze_run(spark, sf_dir, as_of), roots, as_of)
+    run_ids = bronze.complete_run_ids(spark, roots[1])
+    claims = bronze.read_bronze(spark, roots[1], "claim_evidence", run_ids, strict=True)
+    counts = claims.groupBy("_run_id", "_source_table").agg(F.count("*").alias("n_rows"))
+    checks = [bronze.check_copy(spark, roots[1], r).withColumn("_run_id", F.lit(r)) for r in run_ids]
+    found = reduce(DataFrame.unionByName, checks).withColumnRenamed("source_table", "_source_table").drop("files")
+    return counts.join(found, ["_run_id", "_source_table"])
+
+
 HASHED = ("paper_id", "claim_key", "population", "intervention", "outcome", "result", "study_type", "confidence")
 
 CTES["v_old_state"] = """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimweave.functions import schemas
+from claimweave.sources import files
 
 
 def make_run_id(at: datetime) -> str:
@@ -59,8 +61,8 @@ def snapshot(
 ) -> dict:
     """Write one run of every table to every root; the manifest comes last and commits the run.
 
-    Rows are sorted by id inside each file, so row groups carry tight id ranges. Further roots
-    copy the first root's files: all targets hold the same rows even if the source moves on.
+    Rows are sorted by id inside each file, so row groups carry tight id ranges. Further roots get copies of the first
+    root's files, byte by byte and inside tasks; their number, size and checksum are in the manifest (``check_copy``).
     """
     roots = [roots] if isinstance(roots, str) else list(roots)
     columns = columns or schemas.SOURCE_COLUMNS
@@ -72,10 +74,11 @@ def snapshot(
         rows = with_lineage(df, table, run_id, as_of, columns[table])
         rows.sortWithinPartitions(order_by).write.parquet(paths[0], compression="snappy")
         stored = spark.read.schema(rows.schema).parquet(paths[0])
-        for path in paths[1:]:
-            stored.write.parquet(path, compression="snappy")
         # Parquet counts come from the file footers.
         manifest["tables"][table] = {"rows": stored.count(), "uri": paths[0]}
+        if paths[1:]:
+            copied = files.file_digests(files.list_files(spark, paths[:1]), tuple(paths[1:]))
+            manifest["tables"][table] |= files.summary(copied).head().asDict()
     for root in roots:
         line = spark.range(1).select(F.lit(json.dumps(manifest)).alias("value"))
         line.coalesce(1).write.text(manifest_path(root, run_id))
@@ -124,20 +127,39 @@ def run_history(spark: SparkSession, root: str) -> DataFrame:
     return runs_from_manifests(manifests)
 
 
-def _check_files(spark: SparkSession, root: str, table: str, schema: T.StructType, run_ids: list[str]) -> None:
-    """Compare the stored schema of every run with the declared one (one footer per run)."""
-    wanted = {f.name: f.dataType for f in schema}
-    for run_id in run_ids:
-        try:
-            found = spark.read.parquet(f"{root.rstrip('/')}/{table}/ingest_date=*/run_id={run_id}").schema
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":  # the run has no such table
-                continue
-            raise
-        stored = {f.name: f.dataType for f in found}
-        if stored != wanted:
-            changed = sorted(n for n in stored.keys() | wanted.keys() if stored.get(n) != wanted.get(n))
-            raise ValueError(f"{table} of run {run_id} differs from its declared schema in {changed}")
+def check_copy(spark: SparkSession, root: str, run_id: str) -> DataFrame:
+    """(source_table, files, same_bytes): the stored files of a run against the checksums in its manifest.
+
+    A run that was written to one root has no checksums, and ``same_bytes`` is NULL.
+    """
+    manifest = json.loads("".join(r.value for r in spark.read.text(manifest_path(root, run_id)).collect()))
+    parts = []
+    for table, entry in manifest["tables"].items():
+        path = leaf_path(root, table, manifest["ingest_date"], run_id)
+        found = files.summary(files.file_digests(files.list_files(spark, [path])))
+        same = [F.col(name) == F.lit(entry.get(name)) for name in ("files", "bytes", "checksum")]
+        parts.append(found.select(F.lit(table).alias("source_table"), "files", reduce(lambda a, b: a & b, same).alias("same_bytes")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def run_paths(spark: SparkSession, root: str, table: str, run_ids: list[str]) -> dict[str, str]:
+    """Folder of each run that has the table, from the manifests. One row per run reaches the driver."""
+    manifests = read_manifests(spark, root)
+    if manifests is None:
+        return {}
+    wanted = spark.createDataFrame([(r,) for r in run_ids], "run_id string")
+    has_table = manifests.where(F.map_contains_key("tables", F.lit(table))).select("run_id", "ingest_date").distinct()
+    return {r.run_id: leaf_path(root, table, r.ingest_date, r.run_id) for r in has_table.join(wanted, "run_id").collect()}
+
+
+def _check_files(spark: SparkSession, table: str, schema: T.StructType, paths: dict[str, str]) -> None:
+    """Compare the footer of every file with the declared schema, inside the tasks of one job."""
+    listed = files.list_files(spark, list(paths.values()))
+    # One row per run that differs, and no more of them than a message can name.
+    bad = files.schema_differences(listed, schema).withColumn("run_id", F.regexp_extract("path", "/run_id=([^/]+)/", 1))
+    first = bad.groupBy("run_id").agg(F.min("changed").alias("changed")).orderBy("run_id").limit(1).collect()
+    if first:
+        raise ValueError(f"{table} of run {first[0].run_id} differs from its declared schema in {first[0].changed}")
 
 
 def read_bronze(
@@ -148,15 +170,15 @@ def read_bronze(
     schema: T.StructType | None = None,
     strict: bool = False,
 ) -> DataFrame:
-    """Rows of the given runs. The filter is on the partition column: other runs are not opened.
+    """Rows of the given runs, read from their folders alone; other runs are not listed.
 
     ``strict`` compares file schemas first: with a declared schema Spark would read a missing
     column as NULL and widen changed number types without a word.
     """
     schema = schema or schemas.BRONZE[table]
+    paths = run_paths(spark, root, table, run_ids)
+    if not paths:
+        return spark.createDataFrame([], schema)
     if strict:
-        _check_files(spark, root, table, schema, run_ids)
-    stored = spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{table}")
-    return stored.where(F.col("run_id").isin(run_ids)).select(*schema.fieldNames())
-
-
+        _check_files(spark, table, schema, paths)
+    return spark.read.schema(schema).parquet(*sorted(paths.values()))
