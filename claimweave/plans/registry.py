@@ -161,12 +161,19 @@ def latest_versions_of_claims(spark, sf_dir):
     return latest.select("id", "_run_id", "_exported_at", "result", "confidence", "is_deleted")
 
 
+def fingerprint_sql(columns) -> str:
+    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), chr(0))" for c in columns)
+    return f"sha256(concat_ws('||', {parts})) AS row_hash"
+
+
 @query(
     "SELECT paper_id, title, source_filename, ingest_status, ingest_error, created_at, is_synthetic, is_deleted, "
-    "_last_run_id, _last_exported_at, canonical_paper_id, is_duplicate_upload FROM v_silver_papers"
+    "_last_run_id, _last_exported_at, canonical_paper_id, is_duplicate_upload, "
+    + fingerprint_sql(vocab.PAPER_HASH_COLUMNS)
+    + " FROM v_silver_papers"
 )
 def canonical_uploads(spark, sf_dir):
-    return t.silver_papers(spark, sf_dir).drop("row_hash")
+    return t.silver_papers(spark, sf_dir)
 
 
 @query("SELECT * FROM v_clean_claims")
@@ -185,9 +192,9 @@ def claims_rejects(spark, sf_dir):
     return t.rejected_claims(spark, sf_dir)
 
 
-@query("SELECT * FROM v_valid")
+@query(f"SELECT *, {fingerprint_sql(vocab.CLAIM_HASH_COLUMNS)} FROM v_valid")
 def valid_claims(spark, sf_dir):
-    return t.valid_claims(spark, sf_dir).drop("row_hash")
+    return t.valid_claims(spark, sf_dir)
 
 
 @query(
@@ -230,12 +237,12 @@ def row_hash(spark, sf_dir):
 
 
 def pipeline_gold(spark, sf_dir) -> dict[str, DataFrame]:
-    """Silver and star-schema frames of the messy snapshots; silver is staged as the pipeline does."""
-    papers = staged(t.silver_papers(spark, sf_dir), "papers")
+    """Silver and star-schema frames of the messy snapshots; silver is staged, without the fingerprints that no one reads here."""
+    papers = staged(t.silver_papers(spark, sf_dir).drop("row_hash"), "papers")
     checked = staged(
         silver.checked_claims(t.bronze_claims(spark, sf_dir), papers, F.lit(t.LATEST_RUN), t.CLAIM_TIES), "checked"
     )
-    claims = staged(silver.valid_claims(checked), "claims")
+    claims = staged(silver.valid_claims(checked).drop("row_hash"), "claims")
     live_papers, live_claims = gold.stg_papers(papers), gold.stg_claims(claims)
     return {
         "papers": papers,

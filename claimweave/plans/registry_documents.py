@@ -577,23 +577,22 @@ def upserted_table(spark, sf_dir):
 
 
 @query(f"SELECT {STATE_COLUMNS} FROM v_old_state")
-def table_as_of_version(spark, sf_dir):
-    """The table before its second upsert."""
+def table_after_first_upsert(spark, sf_dir):
     path, _ = _upserted(spark, sf_dir, t.LATEST_RUN)
     return versions.read_table(spark, path).select("id", *HASHED)
 
 
 @query(
     f"""
-SELECT 0::BIGINT AS version, 'CREATE' AS operation, count(*) AS inserted, 0::BIGINT AS updated FROM v_old_state
-UNION ALL SELECT 1, 'MERGE', count(*) FILTER (o.id IS NULL), count(*) FILTER (o.id IS NOT NULL AND NOT ({SAME}))
-FROM v_new_state n LEFT JOIN v_old_state o ON n.id = o.id"""
+SELECT change, count(*) AS n FROM (
+  SELECT CASE WHEN o.id IS NULL THEN 'insert' WHEN n.id IS NULL THEN 'kept' WHEN {SAME} THEN 'unchanged' ELSE 'update' END AS change
+  FROM v_new_state n FULL JOIN v_old_state o ON n.id = o.id) GROUP BY change"""
 )
-def version_log(spark, sf_dir):
-    """What each upsert of the job changed."""
-    _, done = _upserted(spark, sf_dir, t.LATEST_RUN, t.FIRST_RUN)
-    rows = [(i, x["operation"], x["inserted"], x["updated"]) for i, x in enumerate(done)]
-    return spark.createDataFrame(rows, "version bigint, operation string, inserted bigint, updated bigint")
+def upsert_change_counts(spark, sf_dir):
+    """What an upsert of the newer state does to the stored older one."""
+    path, _ = _upserted(spark, sf_dir, t.LATEST_RUN)
+    stored = versions.read_table(spark, path)
+    return versions.classify_changes(stored, _state(spark, sf_dir, t.FIRST_RUN), "id").groupBy("change").agg(F.count("*").alias("n"))
 
 
 STREAMED = list(vocab.CLAIM_HASH_COLUMNS)

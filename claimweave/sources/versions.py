@@ -19,7 +19,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.session import folder_bytes, remove_folder, scratch_dir, staged
+from claimweave.session import folder_bytes, folder_names, remove_folder, scratch_dir, staged
 
 UPDATED_AT = "_silver_updated_at"
 # Folder levels of a table: how many buckets it has, and the bucket.
@@ -153,14 +153,15 @@ def publish_buckets(spark: SparkSession, folder: str, path: str, touched: list[i
     if not touched:
         return
     target, new = _stored(spark, path), _stored(spark, folder)
-    filled = set()
+    of = _bucket_number(target)
     if new is not None:
         if set(new.columns) != set(target.columns):
-            _write_schema(new, path, _bucket_number(target))
+            _write_schema(new, path, of)
         _write(new, path, "dynamic")
-        filled = {r[0] for r in new.select(BUCKET).distinct().collect()}
-    for bucket in set(touched) - filled:
-        remove_folder(spark, f"{path}/{OF}={_bucket_number(target)}/{BUCKET}={bucket}")
+    filled = set(folder_names(spark, f"{folder}/{OF}={of}"))
+    for bucket in touched:
+        if f"{BUCKET}={bucket}" not in filled:
+            remove_folder(spark, f"{path}/{OF}={of}/{BUCKET}={bucket}")
 
 
 def fit_buckets(spark: SparkSession, path: str, key: str) -> None:
