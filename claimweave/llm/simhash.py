@@ -10,9 +10,9 @@ Equal texts are one entry, so copies cost nothing here. An entry shared by more
 pair by pair: its members are indexed once more with the bits that may still differ taken out, where every group is linked by
 construction and holds four fingerprints at most. (496 such variants against comparing with some 500 others: about the same.)
 
-Defined cases of both operators: a null text is empty; null keys sort before others; repeated rows are all returned by
-``link_fingerprints`` and reduced to one by ``drop_near_duplicates``; an empty table gives an empty result. ``link_fingerprints``
-reads no further columns, ``drop_near_duplicates`` keeps them all under any names.
+Defined cases of the operators: a null text is empty; null keys sort before others; repeated rows are all returned by
+``link_fingerprints`` and reduced to one by the other two; an empty table gives an empty result. ``link_fingerprints`` reads no
+further columns, the others keep them all under any names.
 """
 
 from __future__ import annotations
@@ -186,6 +186,32 @@ def link_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return prints.join(known, "print").select(F.col("k").alias(key), "print", "component")
 
 
+def first_of_linked(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3) -> DataFrame:
+    """One row of each group of linked fingerprints: the one with the smallest key, and of equal keys one text.
+
+    Rows that agree in key and text are one. All columns stay, under any names.
+    """
+    own = "near_key"
+    while own in docs.columns:
+        own += "_"
+    keyed = docs.withColumn(own, F.struct(F.col(key).alias("id"), F.xxhash64(whole_text(text)).alias("h")))
+    linked = link_fingerprints(keyed, own, text, size)
+    firsts = linked.where(F.col(own).eqNullSafe(F.col("component"))).groupBy(F.col(own).alias("first")).agg(F.count("*").alias("n"))
+    firsts = staged(firsts.select(F.col("first.id").alias("first_id"), F.col("first.h").alias("first_h"), "n"), "firsts")
+    ids, hashes = F.col(f"{own}.id"), F.col(f"{own}.h")
+
+    def rows(chosen: DataFrame) -> DataFrame:
+        here = chosen.select(*[F.col(c).alias(f"{own}_{c}") for c in ("first_id", "first_h")])
+        match = ids.eqNullSafe(F.col(f"{own}_first_id")) & (hashes == F.col(f"{own}_first_h"))
+        return keyed.join(here, match, "left_semi")
+
+    kept = rows(firsts.where("n = 1"))
+    repeated = firsts.where("n > 1")
+    if not repeated.isEmpty():
+        kept = kept.unionByName(rows(repeated).dropDuplicates([own]))
+    return kept.drop(own)
+
+
 # --- one document of each group ---------------------------------------------------------------
 
 def mixed(hashes: np.ndarray, salt: int) -> np.ndarray:

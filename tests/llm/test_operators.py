@@ -248,6 +248,25 @@ def test_groups_of_copies_are_not_compared_pair_by_pair(spark, monkeypatch):
     assert 299 <= sum(compared) < 3000
 
 
+def test_the_first_of_each_linked_group_stays(spark):
+    long = " ".join(f"word{i}" for i in range(400))
+    rows = [(5, long), (3, long), (9, long + " more"), (4, "other text here"), (4, "other text here"), (4, "not that"), (7, None), (8, "")]
+    rows += [(None, "a text without a key"), (None, "a text without a key"), (6, "a text without a key")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("near_key", "print", "component", "k", "n", "first"):
+        df = df.withColumn(name, F.lit("x"))
+    kept = simhash.first_of_linked(df)
+    assert kept.columns == df.columns
+    by_print = {}
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        by_print.setdefault(plain_print(t), (i, t))
+    prints = list(by_print)
+    label = plain.components(range(len(prints)), [(a, b) for a in range(len(prints)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 2])
+    want = collections.Counter(by_print[prints[n]][0] for n in label if label[n] == n)
+    assert collections.Counter(r["doc_id"] for r in kept.collect()) == want
+    assert simhash.first_of_linked(df.limit(0)).count() == 0
+
+
 def test_simhash_of_nothing(spark):
     assert simhash.link_fingerprints(empty(spark)).count() == 0
     assert simhash.drop_near_duplicates(empty(spark)).count() == 0
