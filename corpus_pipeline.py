@@ -20,8 +20,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of exact and near copies stays: five-word shingles, similarity 0.8 or more."""
-    return simhash.drop_near_duplicates(docs)
+    """One document of each group of linked fingerprints stays: three-word shingles, two or fewer differing bits."""
+    return simhash.first_of_linked(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
