@@ -46,8 +46,10 @@ def write_silver(
     papers = staged(changes.keep_papers(silver.silver_papers(bronze_papers, latest, stage=True, more=more)), "silver-papers")
     checked = silver.checked_claims(bronze_claims, papers, latest, more=more).withColumn(changes.GONE, F.col("is_deleted"))
     checked = staged(checked, "checked-claims")
-    claims, rejects = changes.keep_claims(silver.valid_claims(checked)), silver.rejected_claims(checked)
-    quality.silver_gate(papers, claims)
+    rejects = silver.rejected_claims(checked)
+    claims, counts = quality.watched(changes.keep_claims(silver.valid_claims(checked)), quality.claim_rules(papers)[0])
+    claims = staged(claims, "silver-claims")
+    quality.silver_gate(papers, claims, counts.get)
     if retire_rejected and versions.table_exists(spark, paths["claims"]):
         claims = claims.unionByName(_newly_rejected(spark, paths["claims"], rejects))
     rejected = versions.create(rejects.withColumn(versions.UPDATED_AT, versions.stamp(at)), paths["claims_rejects"], "claim_id")
@@ -138,17 +140,35 @@ VIEWS = ("stg_papers", "stg_claims")
 def build_gold(
     spark: SparkSession, silver_root: str, gold_root: str, as_of: datetime, weights: DataFrame | None = None
 ) -> dict[str, DataFrame]:
-    """Write the gold tables in build order; later tables read what earlier ones wrote."""
-    tables = read_silver(spark, silver_root)
+    """Write the gold tables of the stored silver tables."""
+    return write_gold(spark, read_silver(spark, silver_root), gold_root, as_of, weights)
+
+
+def write_gold(
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    gold_root: str,
+    as_of: datetime,
+    weights: DataFrame | None = None,
+    seen: dict[str, dict[str, int]] | None = None,
+) -> dict[str, DataFrame]:
+    """Write the gold tables in build order; later tables read what earlier ones wrote.
+
+    ``seen`` receives, by table, what the writing counted for the rules on single rows (see ``quality_report``).
+    """
     weights = study_weights(spark) if weights is None else weights
     now = F.lit(as_of.isoformat()).cast("timestamp")
+    plan = gold_frames(spark, tables, as_of, weights)
+    rules = quality.gold_rules(weights, plan)
 
     def write(name: str, df: DataFrame) -> DataFrame:
         path = f"{gold_root.rstrip('/')}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        counted, counts = quality.watched(df, rules[name])
+        counted.write.mode("overwrite").parquet(path)
+        if seen is not None:
+            seen[name] = counts.get
         return spark.read.schema(df.schema).parquet(path)
 
-    plan = gold_frames(spark, tables, as_of, weights)
     done = {name: plan[name] for name in VIEWS}
     for name in ("study_weights", "dim_papers", "fct_claims"):
         done[name] = write(name, plan[name])
@@ -167,11 +187,20 @@ def build_gold(
     return done
 
 
-def quality_report(spark: SparkSession, silver_tables: dict[str, DataFrame], gold_tables: dict[str, DataFrame]) -> DataFrame:
-    """(table_name, rule, violations) of every declared rule and the three cross-table checks."""
+def quality_report(
+    spark: SparkSession,
+    silver_tables: dict[str, DataFrame],
+    gold_tables: dict[str, DataFrame],
+    seen: dict[str, dict[str, int]] | None = None,
+) -> DataFrame:
+    """(table_name, rule, violations) of every declared rule and the three cross-table checks.
+
+    ``seen`` are the counts of the tables' writing, whose rules are not scanned for again.
+    """
+    seen = seen or {}
     tables = {**silver_tables, **gold_tables}
     rules = quality.gold_rules(gold_tables["study_weights"], gold_tables)
-    parts = [quality.check(tables[name], rules[name], name) for name in rules]
+    parts = [quality.check(tables[name], rules[name], name, seen.get(name)) for name in rules]
     by_pair, scores = gold_tables["claims_by_pair"], gold_tables["weighted_disagreement"]
     totals = quality.gold_totals(gold_tables["fct_claims"], by_pair, scores, gold_tables["confidence_distribution"])
     crosses = {

@@ -19,7 +19,7 @@ from claimweave.plans.oracles import freshness as freshness_sql
 from claimweave.plans.oracles import quality_report as quality_report_sql
 from claimweave.plans.oracles import sql
 from claimweave.sources import bronze
-from claimweave.session import staged
+from claimweave.session import scratch_dir, staged
 from claimweave.sources.weights import study_weights
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -444,11 +444,9 @@ def quality_report(spark, sf_dir):
         "bronze_runs": staged(frames["runs"], "runs"),
     }
     as_of = datetime(2002, 1, 1, tzinfo=timezone.utc)
-    gold_tables = pipeline.gold_frames(spark, tables, as_of)
-    # Rules read the written marts, not the joins behind them.
-    for name in ("dim_papers", "fct_claims"):
-        gold_tables[name] = staged(gold_tables[name], name)
-    return pipeline.quality_report(spark, tables, gold_tables)
+    seen: dict[str, dict[str, int]] = {}
+    gold_tables = pipeline.write_gold(spark, tables, scratch_dir(spark, "gold"), as_of, seen=seen)
+    return pipeline.quality_report(spark, tables, gold_tables, seen)
 
 
 @query("SELECT reject_reason, count(*) AS n, count(DISTINCT result_raw) AS n_results FROM v_rejects GROUP BY 1")

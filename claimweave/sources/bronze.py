@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,10 +72,10 @@ def snapshot(
     for table, df in tables.items():
         paths = [leaf_path(root, table, ingest_date, run_id) for root in roots]
         rows = with_lineage(df, table, run_id, as_of, columns[table])
-        rows.sortWithinPartitions(order_by).write.parquet(paths[0], compression="snappy")
-        stored = spark.read.schema(rows.schema).parquet(paths[0])
-        # Parquet counts come from the file footers.
-        manifest["tables"][table] = {"rows": stored.count(), "uri": paths[0]}
+        written = Observation()
+        counted = rows.sortWithinPartitions(order_by).observe(written, F.count("*").alias("rows"))
+        counted.write.parquet(paths[0], compression="snappy")
+        manifest["tables"][table] = {"rows": written.get["rows"], "uri": paths[0]}
         if paths[1:]:
             copied = files.file_digests(files.list_files(spark, paths[:1]), tuple(paths[1:]))
             manifest["tables"][table] |= files.summary(copied).head().asDict()
