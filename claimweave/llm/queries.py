@@ -169,12 +169,12 @@ def fold(column: str, folds: int):
 @query()
 def op9_toxicity(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    seen = fold("doc_id", 4) != 2
+    seen = ~fold("doc_id", 4).eqNullSafe(2)
     labels = read(spark, sf_dir, "labels").where(seen).select("doc_id", "toxic")
     model = toxicity.learn(docs.where(seen), labels)
     return toxicity.score(docs, model).select(
         "doc_id",
-        (fold("doc_id", 4) == 2).alias("held_out"),
+        fold("doc_id", 4).eqNullSafe(2).alias("held_out"),
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )

@@ -6,8 +6,9 @@ negative label. The risk of a linear model on word presence is estimated as ``pr
 explain the positives hidden among the unlabelled as negatives. The classifier is numpy; counting words, choosing the
 vocabulary, drawing the samples and scoring are Spark jobs.
 
-Features of a text are its words (of at most ``WORD_BYTES`` bytes, punctuation around them cut off) and all runs of ``PART``
-characters in them, so that a stem tells under any beginning or ending. They are counted over all texts. The vocabulary is the
+Features of a text are its words (punctuation around them cut off) and all runs of ``PART`` characters in them, so that a stem
+tells under any beginning or ending. A word of more than ``WORD_BYTES`` bytes, such as a sentence in a script without spaces or
+words glued together, is no feature as a whole; its runs are. Features are counted over all texts. The vocabulary is the
 features whose shares of texts differ between the two sides by ``least_z`` standard errors or more, the ``vocabulary`` clearest
 of them, however rare they are. ``sample`` bounds the texts that the classifier is fitted on, per side; they are the ones with
 the smallest hashes of their text. So what reaches the driver is bounded by these parameters. Scoring reads every whole text.
@@ -22,7 +23,7 @@ are scored alike and all returned; further columns are not read.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -46,13 +47,18 @@ def plain_words(text: str) -> set[bytes]:
     return {w.strip(PUNCTUATION) for w in set(lower_words(text))}
 
 
+def runs(letters: str) -> Iterator[bytes]:
+    return (letters[i : i + PART].encode() for i in range(len(letters) - PART + 1))
+
+
 @lru_cache(maxsize=1 << 16)
-def parts(word: bytes) -> tuple[bytes, ...]:
-    """A word and all runs of ``PART`` characters in it; a long one has none."""
-    if len(word) > WORD_BYTES:
-        return ()
-    letters = word.decode()
-    return (word, *(letters[i : i + PART].encode() for i in range(len(letters) - PART + 1)))
+def short_parts(word: bytes) -> tuple[bytes, ...]:
+    return (word, *runs(word.decode()))
+
+
+def parts(word: bytes) -> Iterable[bytes]:
+    """All runs of ``PART`` characters in a word and, if it has ``WORD_BYTES`` bytes or fewer, the word itself."""
+    return short_parts(word) if len(word) <= WORD_BYTES else set(runs(word.decode()))
 
 
 def features(text: str) -> set[bytes]:
