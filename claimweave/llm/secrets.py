@@ -15,10 +15,11 @@ of its own text); an empty table gives an empty result; further columns are not
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -170,6 +171,26 @@ def scan_versions(
     )
 
 
+def cut(text: str, starts: Iterable[int], ends: Iterable[int], mark: str) -> str:
+    """``text`` with ``mark`` for each span or run of overlapping spans, given in order of their starts; linear in both."""
+    pieces, done = [], 0
+    for start, end in zip(starts, ends):
+        if end > done:
+            if start >= done:
+                pieces += [text[done:start], mark]
+            done = end
+    return "".join([*pieces, text[done:]])
+
+
+def _cutter(mark: str):
+    @F.pandas_udf("string")
+    def cutter(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+        rows = zip(texts, starts, ends)
+        return pd.Series([None if t is None else cut(t, a, b, mark) for t, a, b in rows], index=texts.index, dtype=object)
+
+    return cutter
+
+
 def redact(docs: DataFrame, ledger: str, text: str = "text", rules: Sequence[Rule] = RULES, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every found span replaced by ``mark``; overlapping spans are replaced as one.
 
@@ -183,26 +204,8 @@ def redact(docs: DataFrame, ledger: str, text: str = "text", rules: Sequence[Rul
     )
     found = scanned.where(F.size("spans") > 0).groupBy("blob").agg(F.first("spans").alias("spans"))
     body = F.col(f"in_{text}")
-    # From left to right: the text so far and the end of what is already replaced.
-    done = F.aggregate(
-        "spans",
-        F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("end")),
-        lambda acc, s: F.when(s["end"] <= acc["end"], acc)
-        .when(s["start"] < acc["end"], F.struct(acc["out"].alias("out"), s["end"].alias("end")))
-        .otherwise(
-            F.struct(
-                F.concat(
-                    acc["out"],
-                    F.substring(body, (acc["end"] + 1).cast("int"), (s["start"] - acc["end"]).cast("int")),
-                    F.lit(mark),
-                ).alias("out"),
-                s["end"].alias("end"),
-            )
-        ),
-        lambda acc: F.concat(
-            acc["out"], F.substring(body, (acc["end"] + 1).cast("int"), F.char_length(body))
-        ),
-    )
     joined = inner.join(found, inner["of"] == found["blob"], "left")
-    cleaned = F.when(F.col("spans").isNull(), body).otherwise(done)
+    # Only texts with findings go to Python.
+    given = F.when(F.col("spans").isNotNull(), body)
+    cleaned = F.coalesce(_cutter(mark)(given, F.col("spans.start"), F.col("spans.end")), body)
     return joined.select(*[(cleaned if c == text else F.col(f"`in_{c}`")).alias(c) for c in columns])
