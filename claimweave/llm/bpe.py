@@ -2,12 +2,13 @@
 
 Texts are split into words in Spark. Each distinct word is encoded once and its ids are joined back into the places where it
 occurs. The table has two parts. Its head are the commonest words of a bounded sample of the texts: at most ``head`` words of
-at most ``WORD_BYTES`` bytes, so it is broadcast. All other words go the way of a shuffled table: one row per text and word,
-brought together by word, encoded once, and joined to the texts by a hash of the text. Which words are in the head changes
-the time and never the result. Texts travel compressed.
+at most ``WORD_BYTES`` bytes, so it is broadcast. All other words go the way of a shuffled table: one row per text and word
+with the word's place in the text, brought together by word, encoded once, and joined back to the text by position. Neither
+texts nor words travel there: a text is an outline, the head's number of each word with 0 for the others, and the ids of these
+come back by place. Which words are in the head changes the time and never the result.
 
-The hash only brings a text together with its words; two texts with one hash would share a word list that has all words of
-both, so a collision does no harm.
+A text and its words are brought together by a 64-bit hash of the text and told apart by place and a check of the word, so two
+texts with one hash keep their own ids.
 
 Defined cases: a null text is empty and has no ids; the strings of added tokens become their ids; repeated rows are all
 returned; an empty table gives an empty result; ids without a piece are skipped in decoding, and bytes that are not UTF-8
@@ -22,9 +23,11 @@ import os
 import re
 import struct
 import unicodedata
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 import zstandard
@@ -40,8 +43,9 @@ SALTS = 32
 # Fixed value: the word pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-TAIL = "array<struct<word:string,ids:binary>>"
 
+# Bytes of the check that tells words apart whose texts have one hash and that stand at one place.
+CHECK_BYTES = 3
 
 # Letters up to here are written out for a plain pattern, which is twice as fast and covers most Latin texts.
 LATIN = 0x180
@@ -184,13 +188,13 @@ def _encode_words(shared, added):
         encode = _encoder(shared.value, added)
         for batch in batches:
             ids = encode(batch["word"].to_pylist())
-            yield pa.RecordBatch.from_arrays([batch["word"], pa.array(ids, pa.binary())], ["word", "ids"])
+            yield pa.RecordBatch.from_arrays([batch["word"], batch["n"], pa.array(ids, pa.binary())], ["word", "n", "ids"])
 
     return run
 
 
 def head_words(texts: DataFrame, vocabulary: Vocabulary, shared, sample: int, head: int) -> dict[str, bytes]:
-    """The commonest words of about ``sample`` texts with their ids.
+    """The commonest words of about ``sample`` texts with their ids, the commonest first.
 
     Words are taken by their counts' power of the eighth root of two, as many whole steps as fit, so that no ranking of
     all words is needed.
@@ -213,90 +217,168 @@ def head_words(texts: DataFrame, vocabulary: Vocabulary, shared, sample: int, he
         least, room = row["step"], room - row["count"]
     if least is None:
         return {}
-    chosen = counts.where(F.col("step") >= least).select("word")
-    table = chosen.mapInArrow(_encode_words(shared, vocabulary.added), "word string, ids binary").toArrow()
+    chosen = counts.where(F.col("step") >= least).select("word", "n")
+    table = chosen.mapInArrow(_encode_words(shared, vocabulary.added), "word string, n bigint, ids binary").toArrow()
+    table = table.sort_by([("n", "descending"), ("word", "ascending")])
     return dict(zip(table["word"].to_pylist(), table["ids"].to_pylist()))
 
 
+def check(word: str) -> bytes:
+    return struct.pack("<I", zlib.crc32(word.encode()))[:CHECK_BYTES]
+
+
+def varint(n: int) -> bytes:
+    """A number below 2^63 in groups of seven bits, the lowest first."""
+    out = bytearray()
+    while n > 127:
+        out.append(n & 127 | 128)
+        n >>= 7
+    out.append(n)
+    return bytes(out)
+
+
+def _read_varint(data: bytes, at: int) -> tuple[int, int]:
+    n = shift = 0
+    while True:
+        byte = data[at]
+        n |= (byte & 127) << shift
+        at, shift = at + 1, shift + 7
+        if byte < 128:
+            return n, at
+
+
+def entry(place: int, word: str, ids: bytes) -> bytes:
+    """A word's place in its text, its check and its ids, with two bytes an id if they suffice."""
+    numbers = memoryview(ids).cast("I")
+    wide = max(numbers, default=0) > 0xFFFF
+    kept = ids if wide else struct.pack(f"<{len(numbers)}H", *numbers)
+    return b"".join([varint(place), check(word), varint(2 * len(numbers) + wide), kept])
+
+
+def read_entries(chunks: list[bytes]) -> dict[tuple[int, bytes], bytes]:
+    """Packed ids by place and check."""
+    found = {}
+    for data in chunks:
+        at = 0
+        while at < len(data):
+            place, at = _read_varint(data, at)
+            mark = data[at : at + CHECK_BYTES]
+            size, at = _read_varint(data, at + CHECK_BYTES)
+            n, wide = divmod(size, 2)
+            end = at + n * (4 if wide else 2)
+            found[place, mark] = data[at:end] if wide else packed(struct.unpack(f"<{n}H", data[at:end]))
+            at = end
+    return found
+
+
+def open_places(words: list[str], known: dict[str, int]) -> dict[str, int]:
+    """The distinct words that the head lacks, numbered by first occurrence."""
+    return {w: i for i, w in enumerate(dict.fromkeys([w for w in words if w not in known]))}
+
+
+def outline(words: list[str], known: dict[str, int]) -> bytes:
+    """The head's number of each word, 0 for others; then which of the others stand there, and their checks.
+
+    Numbers go byte by byte: all lowest bytes, all middle ones, all highest ones. Another word is 0 where it is met first, or
+    its distance from the next new one: both compress well.
+    """
+    numbers = [known.get(w, 0) for w in words]
+    planes = np.array(numbers, "<u4").view("u1").reshape(-1, 4)[:, :3].T.tobytes()
+    others = [w for w, n in zip(words, numbers) if not n]
+    places: dict[str, int] = {}
+    which = []
+    for w in others:
+        if w in places:
+            which.append(len(places) - places[w])
+        else:
+            places[w] = len(places)
+            which.append(0)
+    return b"".join([struct.pack("<II", len(words), len(which)), planes, struct.pack(f"<{len(which)}I", *which), *map(check, places)])
+
+
+def fill(data: bytes, chunks: list[bytes], ids: list[bytes]) -> bytes:
+    """All ids of a text, from its outline, the entries of its other words and the ids of the head by number."""
+    n, n_which = struct.unpack_from("<II", data)
+    planes = np.zeros((n, 4), "u1")
+    planes[:, :3] = np.frombuffer(data, "u1", 3 * n, 8).reshape(3, n).T
+    numbers = planes.view("<u4").ravel().tolist()
+    if not n_which:
+        return b"".join([ids[i] for i in numbers])
+    found, at = read_entries(chunks), 8 + 3 * n + 4 * n_which
+    met: list[bytes] = []
+    others = []
+    for back in struct.unpack_from(f"<{n_which}I", data, 8 + 3 * n):
+        if not back:
+            met.append(found[len(met), data[at : at + CHECK_BYTES]])
+            at += CHECK_BYTES
+        others.append(met[-back or -1])
+    rest = iter(others)
+    return b"".join([ids[i] if i else next(rest) for i in numbers])
+
+
 def _tail_words(head, added):
-    """The words of a text that the head lacks, once per text and batch."""
+    """The words of a text that the head lacks with their places, once per text and batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, known = _splitter(added), head.value
         for batch in batches:
             met = set()
             for part in _slices(batch):
-                hashes, words = [], []
+                hashes, places, words = [], [], []
                 for h, text in zip(part["h"].to_pylist(), part["text"].to_pylist()):
-                    if h not in met:
-                        met.add(h)
-                        rest = [w for w in set(split(text)) if w not in known]
-                        words += rest
+                    if (h, hash(text)) not in met:
+                        met.add((h, hash(text)))
+                        rest = open_places(split(text), known)
+                        words += rest.keys()
+                        places += rest.values()
                         hashes += [h] * len(rest)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(words, pa.string())], ["h", "word"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes, pa.int64()), pa.array(places, pa.int32()), pa.array(words, pa.string())],
+                    ["h", "place", "word"],
+                )
 
     return run
 
 
 def _encode_runs(shared, added):
-    """Rows sorted by word and hash: each distinct word of the partition is encoded once, equal rows become one.
-
-    Ids below 65 536 travel with two bytes each, marked by a first byte of 2 instead of 4.
-    """
-
-    def short(ids: bytes) -> bytes:
-        numbers = memoryview(ids).cast("I")
-        if max(numbers, default=0) < 65_536:
-            return b"\x02" + struct.pack(f"<{len(numbers)}H", *numbers)
-        return b"\x04" + ids
+    """Rows sorted by word: each distinct word of the partition is encoded once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, last, last_ids = _encoder(shared.value, added), None, b""
         for batch in batches:
-            hashes, words = batch["h"].to_pylist(), batch["word"].to_pylist()
-            fresh = [w for i, w in enumerate(words) if w != (words[i - 1] if i else last and last[0])]
+            words = batch["word"].to_pylist()
+            fresh = [w for i, w in enumerate(words) if w != (words[i - 1] if i else last)]
             ids = dict(zip(fresh, encode(fresh)))
-            if last:
-                ids.setdefault(last[0], last_ids)
-            rows = []
-            for row in zip(words, hashes):
-                if row != last:
-                    rows.append((row[1], row[0], short(ids[row[0]])))
-                last = row
-            if last:
-                last_ids = ids[last[0]]
-            columns = list(zip(*rows)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.binary()))], ["h", "word", "ids"]
-            )
+            if last is not None:
+                ids.setdefault(last, last_ids)
+            made = [entry(place, word, ids[word]) for place, word in zip(batch["place"].to_pylist(), words)]
+            if words:
+                last, last_ids = words[-1], ids[words[-1]]
+            yield pa.RecordBatch.from_arrays([batch["h"], pa.array(made, pa.binary())], ["h", "chunk"])
 
     return run
 
 
-def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    press = zstandard.ZstdCompressor(level=3).compress
-    for batch in batches:
-        for part in _slices(batch):
-            texts = [press(t.encode()) for t in part["text"].to_pylist()]
+def _outlines(head, added):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, known, press = _splitter(added), head.value, zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
             names = [n for n in batch.schema.names if n != "text"]
-            yield pa.RecordBatch.from_arrays([*[part[n] for n in names], pa.array(texts, pa.binary())], [*names, "pressed"])
+            for part in _slices(batch):
+                made = [press(outline(split(t), known)) for t in part["text"].to_pylist()]
+                yield pa.RecordBatch.from_arrays([*[part[n] for n in names], pa.array(made, pa.binary())], [*names, "pressed"])
 
+    return run
 
-def _join_ids(head, added):
-    def full(ids: bytes) -> bytes:
-        return ids[1:] if ids[0] == 4 else packed(struct.unpack(f"<{len(ids) // 2}H", ids[1:]))
 
+def _join_ids(head_ids):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, known, open_ = _splitter(added), head.value, zstandard.ZstdDecompressor().decompress
+        open_, ids = zstandard.ZstdDecompressor().decompress, head_ids.value
         for batch in batches:
             names = [n for n in batch.schema.names if n not in ("pressed", "tail")]
-            texts, tails = batch["pressed"], batch["tail"]
             for at in range(0, batch.num_rows, 500):
-                part, out = batch.slice(at, 500), []
-                for text, tail in zip(texts.slice(at, 500), tails.slice(at, 500)):
-                    rest = {x["word"]: full(x["ids"]) for x in tail.as_py() or ()}
-                    words = split(open_(text.as_py()).decode())
-                    out.append(b"".join([known[w] if w in known else rest[w] for w in words]))
+                part = batch.slice(at, 500)
+                out = [fill(open_(x.as_py()), tail.as_py() or [], ids) for x, tail in zip(part["pressed"], part["tail"])]
                 yield pa.RecordBatch.from_arrays([*[part[n] for n in names], pa.array(out, pa.binary())], [*names, "ids"])
 
     return run
@@ -315,22 +397,27 @@ def encode(
     shared = spark.sparkContext.broadcast(vocabulary.content)
     body = whole_text(text)
     texts = docs.select(F.col(key).alias("k"), F.xxhash64(body).alias("h"), body.alias("text"))
-    known = spark.sparkContext.broadcast(head_words(texts, vocabulary, shared, sample, head))
+    if head >= 1 << 24:
+        raise ValueError("Word numbers have three bytes")
+    common = head_words(texts, vocabulary, shared, sample, head)
+    # Numbers count from 1: 0 stands for all other words.
+    known = spark.sparkContext.broadcast({w: i for i, w in enumerate(common, 1)})
+    head_ids = spark.sparkContext.broadcast([b"", *common.values()])
     salt = F.when(F.octet_length("word") > WORD_BYTES, F.pmod("h", F.lit(SALTS))).otherwise(F.lit(0))
     tails = (
         texts.select("h", "text")
-        .mapInArrow(_tail_words(known, vocabulary.added), "h bigint, word string")
+        .mapInArrow(_tail_words(known, vocabulary.added), "h bigint, place int, word string")
         # A word of the tail is rare or longer than the head allows; long ones could be common and are salted.
         .repartition(F.col("word"), salt)
-        .sortWithinPartitions("word", "h")
-        .mapInArrow(_encode_runs(shared, vocabulary.added), "h bigint, word string, ids binary")
+        .sortWithinPartitions("word")
+        .mapInArrow(_encode_runs(shared, vocabulary.added), "h bigint, chunk binary")
         .groupBy("h")
-        .agg(F.collect_list(F.struct("word", "ids")).alias("tail"))
+        .agg(F.collect_list("chunk").alias("tail"))
     )
     kind = texts.schema["k"].dataType.simpleString()
-    pressed = texts.mapInArrow(_compress, f"k {kind}, h bigint, pressed binary")
+    pressed = texts.mapInArrow(_outlines(known, vocabulary.added), f"k {kind}, h bigint, pressed binary")
     joined = pressed.join(tails, "h", "left").select("k", "pressed", "tail")
-    return joined.mapInArrow(_join_ids(known, vocabulary.added), f"k {kind}, ids binary").withColumnRenamed("k", key)
+    return joined.mapInArrow(_join_ids(head_ids), f"k {kind}, ids binary").withColumnRenamed("k", key)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str = "text") -> DataFrame:
