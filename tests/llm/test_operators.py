@@ -5,7 +5,9 @@ import math
 import os
 import random
 import re
+import string
 import struct
+import time
 import zlib
 
 import numpy as np
@@ -110,6 +112,16 @@ def test_redaction_replaces_overlaps_once(spark, tmp_path):
     assert out[0] == 'x [secret]" é password:short1 [secret]'
     assert out[5] is None and out[6] == "clean"
     assert len(out) == 7
+    assert secrets.cut("0123456789", [1, 2, 4, 6], [3, 4, 5, 9], "*") == "0**5*9"
+
+
+def test_redaction_of_long_texts_with_many_findings(spark, tmp_path):
+    one, n = "key é 0123456789abcdef, ", 20_000
+    docs = docs_of(spark, [one * n, "0123456789abcdef" * 50_000])
+    started = time.monotonic()
+    out = {r["doc_id"]: r["text"] for r in secrets.redact(docs, f"{tmp_path}/ledger").collect()}
+    assert out == {0: "key é [secret], " * n, 1: "[secret]"}
+    assert time.monotonic() - started < 60
 
 
 # --- 2: SimHash -------------------------------------------------------------------------------
@@ -428,6 +440,17 @@ def test_ids_match_the_library(spark, head):
     assert [x["ids"] for x in bpe.token_ids(encoded).where("doc_id = 4").collect()] == [library.encode("one two").ids]
 
 
+def test_texts_that_share_a_hash_keep_their_own_ids():
+    head = {"a": bpe.packed([1]), " b": bpe.packed([70_000, 2])}
+    known, head_ids = {w: i for i, w in enumerate(head, 1)}, [b"", *head.values()]
+    ids = {w: bpe.packed([i, 40_000 + i, 200_000 * (i % 2)]) for i, w in enumerate("pqrst")} | {"x" * 500: bpe.packed(list(range(500)))}
+    texts = [["p", "a", "q", "p", " b", "r"], ["q", "s", "a", "x" * 500, "q"], ["a", " b"], [], ["t"]]
+    chunks = [bpe.entry(i, w, ids[w]) for t in texts for w, i in bpe.open_places(t, known).items()]
+    for words in texts:
+        assert bpe.fill(bpe.outline(words, known), chunks, head_ids) == b"".join((head | ids)[w] for w in words)
+    assert [bpe._read_varint(bpe.varint(n) + b"\x05", 0)[0] for n in (0, 127, 128, 2**40)] == [0, 127, 128, 2**40]
+
+
 def test_words_split_as_the_library_does():
     path = public_tokenizers.path("byte_bpe_50k.json")
     library, vocabulary = Tokenizer.from_file(path), bpe.Vocabulary(path)
@@ -599,6 +622,35 @@ def test_rare_telling_stems_are_found(spark):
     assert sum(x > max(clean) for x in toxic) > 0.95 * len(toxic)
 
 
+def plain_features(text):
+    """Words as far as they are short, and five characters of any word, each found by comparison alone."""
+    out = set()
+    for word in {w.strip(string.punctuation.encode()).decode() for w in text.encode().lower().split()}:
+        if len(word.encode()) <= 64:
+            out.add(word.encode())
+        for i in range(len(word)):
+            if i + 5 <= len(word):
+                out.add(word[i : i + 5].encode())
+    return out
+
+
+@pytest.mark.parametrize("text", ["", " . ", "An IDIOT, é-word", "idiot" * 13, "汉字没有空格的一句话" * 30, "ab" * 5_000 + " x" * 64])
+def test_features_of_words_of_any_length(text):
+    assert toxicity.features(text) == plain_features(text)
+
+
+def test_scores_match_plain_sums_and_glued_words_tell(spark):
+    texts, labels = toxic_docs()
+    model = toxicity.learn(docs_of(spark, texts), spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    best = max((f for f in model.weights if len(f) == 5), key=model.weights.get)
+    odd = [*texts[:40], "", None, best.decode() * 40, "x" * 10_000]
+    out = {r["doc_id"]: r["score"] for r in toxicity.score(docs_of(spark, odd), model).collect()}
+    for i, text in enumerate(odd):
+        total = model.bias + sum(w for f, w in model.weights.items() if f in plain_features(text or ""))
+        assert out[i] == pytest.approx(1 / (1 + math.exp(-total)))
+    assert out[42] > out[40]
+
+
 def test_toxicity_without_examples(spark):
     docs = docs_of(spark, ["a", None])
     none = spark.createDataFrame([(0, None)], "doc_id bigint, toxic int")
