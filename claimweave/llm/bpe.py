@@ -3,8 +3,8 @@
 Texts are split into words in Spark. Each distinct word is encoded once and its ids are joined back into the places where it
 occurs. The table has two parts. Its head are the commonest words of a bounded sample of the texts: at most ``head`` words of
 at most ``WORD_BYTES`` bytes, so it is broadcast. All other words go the way of a shuffled table: one row per text and word
-with the word's place in the text, brought together by word, encoded once, and joined back to the text by position. Neither
-texts nor words travel there: a text is an outline, the head's number of each word with 0 for the others, and the ids of these
+with the word's place in the text, brought together by word, encoded once, and joined back to the text by position. No
+text travels, and no word comes back: a text is an outline, the head's number of each word with 0 for the others, and the ids of these
 come back by place. Which words are in the head changes the time and never the result.
 
 A text and its words are brought together by a 64-bit hash of the text and told apart by place and a check of the word, so two
