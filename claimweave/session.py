@@ -51,6 +51,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+# Staged files are read a few times on the way and then left: small ones are worth the codec's time.
+STAGED_CODEC = "zstd"
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as a shared Parquet table and read it back.
 
@@ -58,10 +62,28 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     lost executor costs a re-read, not a re-run.
     """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=STAGED_CODEC)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_by(df: DataFrame, label: str, key: str) -> DataFrame:
+    """``staged``, dealt out by ``key``: joins with it on that key do not shuffle its rows, only those of the other side.
+
+    Rows that come dealt out by the key, as from a window over it, are not shuffled for this either. The catalog knows the
+    table only while it is opened.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_dir(spark, label)
+    name = f"claimweave_{path.rpartition('-')[2]}"
+    rows = df.repartition(buckets, key).write.format("parquet").option("path", path).option("compression", STAGED_CODEC)
+    rows.bucketBy(buckets, key).saveAsTable(name)
+    table = spark.table(name)
+    # Its files lie at a path of their own and stay.
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def _folder(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
