@@ -22,6 +22,8 @@ from claimweave.session import staged
 # Clusters of a tile, and open clusters of a document that one task finishes.
 TILE = 1024
 LOCAL = 2048
+# Rows that a Python function sees at once: many small documents together, as a call takes longer than most of them.
+PACK_ROWS = 8192
 
 CLUSTER = "doc bigint, cid bigint, size bigint, mean array<double>"
 
@@ -32,47 +34,72 @@ def _start(claims: DataFrame) -> DataFrame:
 
     def unit(frames):
         for frame in frames:
-            rows = [unit_rows(np.asarray(v, dtype=np.float64)[None])[0] for v in frame["vector"]]
+            vectors = [np.asarray(v, dtype=np.float64) for v in frame["vector"]]
+            if len({len(v) for v in vectors}) == 1:
+                rows = list(unit_rows(np.stack(vectors)))
+            else:
+                rows = [unit_rows(v[None])[0] for v in vectors]
             yield frame.assign(mean=rows)[["doc", "cid", "size", "mean", "vector"]]
 
     return first.mapInPandas(unit, f"{CLUSTER}, vector array<float>")
 
 
+def _by_document(frame: pd.DataFrame):
+    """(document, its rows' positions) of a frame that is sorted by document."""
+    docs = frame["doc"].to_numpy()
+    starts = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]])
+    for start, end in zip(starts, [*starts[1:], len(docs)]):
+        yield docs[start], slice(start, end)
+
+
 def _nearest_in_tiles(frame: pd.DataFrame) -> pd.DataFrame:
-    """Nearest cluster of each cluster of two tiles in the other one, or of one tile within itself.
+    """Nearest cluster of each cluster of two tiles in the other one, or of one tile within itself, document by document.
 
     Every pair of clusters is computed once, so both see the same distance. Of equally near ones the pair with the lower
     numbers counts.
     """
-    upper = frame[frame["tile"] == frame["upper"].iloc[0]]
-    lower = frame[frame["tile"] == frame["lower"].iloc[0]]
-    one = frame["upper"].iloc[0] == frame["lower"].iloc[0]
-    empty = frame.iloc[:0][["doc", "cid"]].assign(other=0, distance=0.0)
-    if not len(upper) or not len(lower) or (one and len(upper) == 1):
-        return empty
-    lower, upper = lower.sort_values("cid"), upper.sort_values("cid")
-    a, b = lower["cid"].to_numpy(), upper["cid"].to_numpy()
-    distance = 1 - np.stack(lower["mean"]) @ np.stack(upper["mean"]).T
-    if one:
-        distance = np.minimum(distance, distance.T)
-        np.fill_diagonal(distance, np.inf)
+    first, last = frame["lower"].iloc[0], frame["upper"].iloc[0]
+    one = first == last
+    frame = frame.sort_values(["doc", "cid"])
+    cids, tiles, means = frame["cid"].to_numpy(), frame["tile"].to_numpy(), frame["mean"].to_numpy()
     out = []
-    for mine, others, d in ((a, b, distance), (b, a, distance.T))[: 1 if one else 2]:
-        # Others are sorted: the first of equal ones is the lower pair.
-        at = d.argmin(axis=1)
-        out.append(pd.DataFrame({"cid": mine, "other": others[at], "distance": d[np.arange(len(mine)), at]}))
-    return pd.concat(out).assign(doc=frame["doc"].iloc[0])[["doc", "cid", "other", "distance"]]
+    for doc, rows in _by_document(frame):
+        is_lower, is_upper = tiles[rows] == first, tiles[rows] == last
+        a, b = cids[rows][is_lower], cids[rows][is_upper]
+        if not len(a) or not len(b) or (one and len(a) == 1):
+            continue
+        distance = 1 - np.stack(means[rows][is_lower]) @ np.stack(means[rows][is_upper]).T
+        if one:
+            distance = np.minimum(distance, distance.T)
+            np.fill_diagonal(distance, np.inf)
+        for mine, others, d in ((a, b, distance), (b, a, distance.T))[: 1 if one else 2]:
+            # Others are sorted: the first of equal ones is the lower pair.
+            at = d.argmin(axis=1)
+            out.append((np.full(len(mine), doc), mine, others[at], d[np.arange(len(mine)), at]))
+    if not out:
+        return frame.iloc[:0][["doc", "cid"]].assign(other=0, distance=0.0)
+    return pd.DataFrame(dict(zip(("doc", "cid", "other", "distance"), map(np.concatenate, zip(*out)))))
+
+
+def _pack(rows: int):
+    """Number of the pack that a document goes to, for tasks that see packs of many small documents at once.
+
+    A pack holds about ``PACK_ROWS`` rows. A larger document fills one of its own, but for chance company.
+    """
+    return F.pmod(F.xxhash64("doc"), F.lit(max(1, -(-rows // PACK_ROWS))))
 
 
 def nearest_clusters(clusters: DataFrame, tile: int = TILE) -> DataFrame:
     """(doc, cid, other, distance): the nearest other cluster of the same document; none for a cluster that is alone."""
-    sizes = staged(clusters.groupBy("doc").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles")), "tiles")
+    counts = clusters.groupBy("doc").agg(F.count("*").alias("n"))
+    sizes = staged(counts.select("doc", "n", F.ceil(F.col("n") / tile).cast("int").alias("tiles")), "tiles")
+    rows = sizes.agg(F.sum(F.col("n") * F.col("tiles"))).first()[0] or 0
     placed = clusters.join(sizes, "doc").withColumn("tile", F.pmod(F.xxhash64("cid"), F.col("tiles")).cast("int"))
     with_all = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     pairs = with_all.select(
         "doc", "cid", "mean", "tile", F.least("tile", "with").alias("lower"), F.greatest("tile", "with").alias("upper")
     )
-    found = pairs.groupBy("doc", "lower", "upper").applyInPandas(
+    found = pairs.groupBy(_pack(rows).alias("pack"), "lower", "upper").applyInPandas(
         _nearest_in_tiles, "doc bigint, cid bigint, other bigint, distance double"
     )
     order = F.struct("distance", F.least("cid", "other").alias("low"), F.greatest("cid", "other").alias("high"), "other")
@@ -99,10 +126,10 @@ def merge_round(clusters: DataFrame, threshold: float, tile: int = TILE) -> tupl
 
 def _finished(threshold: float):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("cid")
-        owner = merge_nearest(np.stack(frame["mean"]), frame["size"].to_numpy(dtype=np.float64), threshold)
-        ids = frame["cid"].to_numpy()
-        return pd.DataFrame({"doc": frame["doc"], "gone": ids, "keep": ids[owner]})
+        frame = frame.sort_values(["doc", "cid"])
+        ids, means, sizes = frame["cid"].to_numpy(), frame["mean"].to_numpy(), frame["size"].to_numpy(dtype=np.float64)
+        keep = [ids[rows][merge_nearest(np.stack(means[rows]), sizes[rows], threshold)] for _, rows in _by_document(frame)]
+        return pd.DataFrame({"doc": frame["doc"].to_numpy(), "gone": ids, "keep": np.concatenate(keep)})
 
     return run
 
@@ -143,7 +170,7 @@ def cluster_claims(
         still_open, merges = merge_round(large, threshold, tile)
         owners = _follow(owners, merges, "owners")
         clusters = staged(small.unionByName(still_open), "open-clusters")
-    merges = clusters.groupBy("doc").applyInPandas(_finished(threshold), "doc bigint, gone bigint, keep bigint")
+    merges = clusters.groupBy(_pack(clusters.count()).alias("pack")).applyInPandas(_finished(threshold), "doc bigint, gone bigint, keep bigint")
     owners = _follow(owners, merges, "owners")
     # A cluster's number is its first claim. Ranks come from one range partition over all documents.
     ranks = staged(sequential_ids(owners.select("doc", "cid").distinct(), ["doc", "cid"], "rank"), "ranks")
