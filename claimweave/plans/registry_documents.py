@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from claimweave.functions import columns as C
 from claimweave.functions import schemas, vocab
+from claimweave.functions.columns import let
 from claimweave.operators import clusters, extraction, text, vectors
 from claimweave.operators.keyed import latest_versions, sequential_ids
 from claimweave.plans import ingest, pipeline
@@ -226,24 +227,30 @@ FROM v_chunks LEFT JOIN shares ON chunk_id = doc_id || ':' || chunk_index"""
 def embed_chunks_hashed(spark, sf_dir):
     """Per chunk the slots of its vector in thousandths of the smallest one, and whether its length is one."""
     chunks = text.chunk_documents(t.read(spark, sf_dir, "documents"), "doc_id", "text")
-    embedded = vectors.embed(chunks.select("chunk_id", "content"), "content").select(
-        "chunk_id", F.transform("embedding", lambda x: x.cast("double")).alias("e")
-    )
-    least = F.array_min(F.filter("e", lambda x: x > 0))
-    listed = F.transform(
-        "e",
-        lambda x, i: F.when(
-            x > 0, F.concat_ws(":", i.cast("string"), F.round(1000 * x / F.col("least")).cast("bigint").cast("string"))
-        ),
-    )
-    square = F.aggregate("e", F.lit(0.0), lambda a, x: a + x * x)
-    return embedded.withColumn("least", least).select(
-        "chunk_id",
-        F.size("e").alias("size"),
-        F.array_join(listed, ",").alias("slots"),
-        (F.abs(square - 1) < 1e-5).alias("is_unit"),
+    embedded = vectors.embed(chunks.select("chunk_id", "content"), "content")
+    # The few slots in use are all that is looked at, and the least of them is found once a vector.
+    used = F.filter(
+        F.transform("embedding", lambda x, i: F.struct(i.alias("slot"), x.cast("double").alias("x"))), lambda s: s["x"] > 0
     )
 
+    def listed(slots):
+        def share(least):
+            return F.transform(
+                slots,
+                lambda s: F.concat_ws(
+                    ":", s["slot"].cast("string"), F.round(1000 * s["x"] / least).cast("bigint").cast("string")
+                ),
+            )
+
+        return F.array_join(let(F.array_min(F.transform(slots, lambda s: s["x"])), share), ",")
+
+    def digest(slots):
+        square = F.aggregate(slots, F.lit(0.0), lambda a, s: a + s["x"] * s["x"])
+        return F.struct(listed(slots).alias("slots"), (F.abs(square - 1) < 1e-5).alias("is_unit"))
+
+    found = embedded.select("chunk_id", F.size("embedding").alias("size"), let(used, digest).alias("found"))
+    return found.select("chunk_id", "size", "found.slots", "found.is_unit")
+
 
 # --- vectors --------------------------------------------------------------------------------
 

@@ -1,7 +1,9 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import QUERIES
 from claimweave.operators import clusters, vectors
 
 
@@ -122,3 +124,30 @@ def test_rounds_of_joins_give_the_labels_of_one_task(spark):
 def test_rounds_of_nothing(spark):
     frame = spark.createDataFrame([], "paper long, n int, v array<float>")
     assert clusters.cluster_claims(frame, "paper", "n", "v").count() == 0
+
+
+def test_one_call_serves_many_documents():
+    rng = np.random.default_rng(6)
+    rows = [(d, c, c % 2, 0, 1, v) for d in (7, 3, 5) for c, v in enumerate(vectors.unit_rows(rng.normal(size=(6, 4))))]
+    frame = pd.DataFrame(rows, columns=["doc", "cid", "tile", "lower", "upper", "mean"]).sample(frac=1, random_state=1)
+    together = clusters._nearest_in_tiles(frame).sort_values(["doc", "cid"]).reset_index(drop=True)
+    apart = pd.concat([clusters._nearest_in_tiles(frame[frame["doc"] == d]) for d in (3, 5, 7)])
+    pd.testing.assert_frame_equal(together, apart.sort_values(["doc", "cid"]).reset_index(drop=True))
+    assert len(together) == 18
+
+    sized = frame.assign(size=1)
+    merged = clusters._finished(0.5)(sized).sort_values(["doc", "gone"])
+    for d in (3, 5, 7):
+        alone = clusters._finished(0.5)(sized[sized["doc"] == d]).sort_values("gone")
+        assert list(merged[merged["doc"] == d]["keep"]) == list(alone["keep"])
+
+
+def test_the_least_slot_is_found_once_a_vector(spark, tmp_path):
+    texts = ["Statins lower LDL, statins", "", "a b c"]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["embed_chunks_hashed"](spark, str(tmp_path))
+    assert "array_min(filter(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    rows = {r.chunk_id: r for r in found.collect()}
+    assert sorted(x.split(":")[1] for x in rows["0:0"].slots.split(",")) == ["1000", "1000", "2000"]
+    assert set(rows) == {"0:0", "2:0"} and rows["2:0"].is_unit and rows["2:0"].size == 256
