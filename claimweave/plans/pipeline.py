@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from claimweave.functions import columns as C
 from claimweave.functions import vocab
 from claimweave.operators import changes, disagreement, gold, metrics, quality, silver
-from claimweave.session import staged
+from claimweave.session import scratch_removed, staged, staged_by, staged_bytes
 from claimweave.sources import bronze, versions
 from claimweave.sources.weights import study_weights
 
@@ -45,17 +45,25 @@ def write_silver(
     bronze_claims = changes.with_source_hash(bronze_claims, "claim_evidence")
     papers = staged(changes.keep_papers(silver.silver_papers(bronze_papers, latest, stage=True, more=more)), "silver-papers")
     checked = silver.checked_claims(bronze_claims, papers, latest, more=more).withColumn(changes.GONE, F.col("is_deleted"))
-    checked = staged(checked, "checked-claims")
+    checked = staged_by(checked, "checked-claims", "claim_id")
     rejects = silver.rejected_claims(checked)
     claims, counts = quality.watched(changes.keep_claims(silver.valid_claims(checked)), quality.claim_rules(papers)[0])
     claims = staged(claims, "silver-claims")
     quality.silver_gate(papers, claims, counts.get)
+    size = staged_bytes(claims)
     if retire_rejected and versions.table_exists(spark, paths["claims"]):
         claims = claims.unionByName(_newly_rejected(spark, paths["claims"], rejects))
-    rejected = versions.create(rejects.withColumn(versions.UPDATED_AT, versions.stamp(at)), paths["claims_rejects"], "claim_id")
+    # Rejects are a part of the checked claims: their bytes follow from their share of the rows.
+    share = rejects.count() / max(checked.count(), 1)
+    rejected = versions.create(
+        rejects.withColumn(versions.UPDATED_AT, versions.stamp(at)),
+        paths["claims_rejects"],
+        "claim_id",
+        round(share * staged_bytes(checked)),
+    )
     return {
-        "papers": versions.upsert(papers, paths["papers"], "paper_id", at=at, quiet=changes.HIDDEN),
-        "claims": versions.upsert(claims, paths["claims"], "claim_id", at=at, quiet=changes.HIDDEN),
+        "papers": versions.upsert(papers, paths["papers"], "paper_id", at=at, quiet=changes.HIDDEN, size=staged_bytes(papers)),
+        "claims": versions.upsert(claims, paths["claims"], "claim_id", at=at, quiet=changes.HIDDEN, size=size),
         # Rejects and the run history describe the current state, so they are replaced.
         "claims_rejects": {"operation": "OVERWRITE", "inserted": rejected, "updated": 0},
         "bronze_runs": versions.overwrite(runs, paths["bronze_runs"], at=at),
@@ -82,15 +90,16 @@ def run_bronze_to_silver(
     run_ids = bronze.complete_run_ids(spark, bronze_root)
     if not run_ids:
         raise ValueError(f"No complete bronze runs under {bronze_root}")
-    write_silver(
-        bronze.read_bronze(spark, bronze_root, "papers", run_ids, strict=strict),
-        bronze.read_bronze(spark, bronze_root, "claim_evidence", run_ids, strict=strict),
-        bronze.run_history(spark, bronze_root),
-        run_ids[-1],
-        silver_root,
-        at,
-        retire_rejected,
-    )
+    with scratch_removed(spark):
+        write_silver(
+            bronze.read_bronze(spark, bronze_root, "papers", run_ids, strict=strict),
+            bronze.read_bronze(spark, bronze_root, "claim_evidence", run_ids, strict=strict),
+            bronze.run_history(spark, bronze_root),
+            run_ids[-1],
+            silver_root,
+            at,
+            retire_rejected,
+        )
     return {"runs_read": len(run_ids), "latest_run_id": run_ids[-1], **silver_counts(spark, silver_root)}
 
 

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +41,10 @@ def build_session(
     return builder.getOrCreate()
 
 
+# Folders to remove at the end of ``scratch_removed``.
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder for intermediate tables that every executor can reach.
 
@@ -48,13 +56,35 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="claimweave-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if (passing := _passing.get()) is not None:
+        passing.append(path)
+    return path
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables that are made inside, at its end: for jobs whose results lie elsewhere by then."""
+    paths: list[str] = []
+    before = _passing.set(paths)
+    try:
+        yield
+    finally:
+        _passing.reset(before)
+        for path in paths:
+            remove_folder(spark, path)
 
 
 # Staged files are read a few times on the way and then left: small ones are worth the codec's time.
 STAGED_CODEC = "zstd"
 
 
+def staged_bytes(table: DataFrame) -> int:
+    """Size of the files of a staged table."""
+    found = table.inputFiles()
+    return folder_bytes(table.sparkSession, unquote(found[0]).rpartition("/")[0]) if found else 0
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as a shared Parquet table and read it back.
 

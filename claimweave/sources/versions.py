@@ -19,13 +19,16 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.session import folder_bytes, folder_names, remove_folder, scratch_dir, staged
+from claimweave.session import STAGED_CODEC, folder_bytes, folder_names, remove_folder, scratch_dir, staged
 
 UPDATED_AT = "_silver_updated_at"
 # Folder levels of a table: how many buckets it has, and the bucket.
 OF, BUCKET = "_of", "_bucket"
 BUCKET_BYTES = 64 << 20
 LEAST_BUCKETS, MOST_BUCKETS = 8, 1 << 16
+# Fingerprints are half as long in bytes as in hexadecimal digits: they are shuffled as bytes, and files are written with a
+# codec that finds that out.
+HASH_SUFFIX, AS_BYTES = "_hash", "_bytes_of_"
 # A table is put into more buckets when they are this many times as large as they should be.
 OUTGROWN = 4
 
@@ -78,22 +81,48 @@ def _in_buckets(df: DataFrame, key: str, of: int) -> DataFrame:
     return df.withColumns({OF: F.lit(of), BUCKET: F.pmod(F.xxhash64(key), F.lit(of)).cast("int")})
 
 
+def _narrowed(df: DataFrame) -> DataFrame:
+    """Fingerprints as bytes, beside those texts that are no lower-case hexadecimal digits; see ``_widened``."""
+    for name in [c for c, kind in df.dtypes if c.endswith(HASH_SUFFIX) and kind == "string"]:
+        data = F.unhex(name)
+        is_hex = F.coalesce(F.lower(F.hex(data)) == F.col(name), F.lit(False))
+        df = df.withColumns({f"{AS_BYTES}{name}": F.when(is_hex, data), name: F.when(~is_hex, F.col(name))})
+    return df
+
+
+def _widened(df: DataFrame) -> DataFrame:
+    narrow = [c for c in df.columns if c.startswith(AS_BYTES)]
+    texts = {c.removeprefix(AS_BYTES): F.coalesce(F.lower(F.hex(c)), c.removeprefix(AS_BYTES)) for c in narrow}
+    return df.withColumns(texts).drop(*narrow) if narrow else df
+
+
+def _dealt(df: DataFrame) -> DataFrame:
+    """Narrowed rows in buckets, spread over the tasks that write them."""
+    return _widened(df.hint("rebalance", BUCKET))
+
+
 def _write(df: DataFrame, path: str, replace: str = "static") -> None:
     """``replace``: the whole table (static) or only the buckets that ``df`` has rows of (dynamic)."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", replace).partitionBy(OF, BUCKET).parquet(path)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", replace).option("compression", STAGED_CODEC)
+    writer.partitionBy(OF, BUCKET).parquet(path)
 
 
-def create(df: DataFrame, path: str, key: str) -> int:
-    """Make or replace the table; the new content is complete before the old one goes. Gives the number of rows."""
-    spark = df.sparkSession
-    folder = scratch_dir(spark, "created")
-    df.write.parquet(folder)
-    rows = spark.read.schema(df.schema).parquet(folder)
-    of = buckets_for(folder_bytes(spark, folder))
-    _write(_in_buckets(rows, key, of).hint("rebalance", BUCKET), path)
+def create(df: DataFrame, path: str, key: str, size: int | None = None) -> int:
+    """Make or replace the table; the new content is complete before the old one goes. Gives the number of rows.
+
+    ``size`` are the bytes of ``df`` if it comes straight from staged files, which then are that complete content.
+    """
+    spark, folder, rows = df.sparkSession, None, df
+    if size is None:
+        folder = scratch_dir(spark, "created")
+        df.write.parquet(folder, compression=STAGED_CODEC)
+        rows, size = spark.read.schema(df.schema).parquet(folder), folder_bytes(spark, folder)
+    of = buckets_for(size)
+    _write(_dealt(_in_buckets(_narrowed(rows), key, of)), path)
     _write_schema(rows, path, of)
     n = rows.count()
-    remove_folder(spark, folder)
+    if folder:
+        remove_folder(spark, folder)
     return n
 
 
@@ -141,10 +170,10 @@ def stage_buckets(rows: DataFrame, path: str, key: str, folder: str, gone: DataF
     keys = (rows if gone is None else gone).select(key)
     touched = touched_buckets(target, key, keys)
     if touched:
-        kept = target.where(F.col(BUCKET).isin(touched)).join(keys, key, "left_anti")
+        kept = _narrowed(target.where(F.col(BUCKET).isin(touched))).join(keys, key, "left_anti")
         # A column that is new in the source is NULL in the rows that stay.
-        merged = _in_buckets(rows, key, _bucket_number(target)).unionByName(kept, allowMissingColumns=True)
-        _write(merged.hint("rebalance", BUCKET), folder)
+        merged = _in_buckets(_narrowed(rows), key, _bucket_number(target)).unionByName(kept, allowMissingColumns=True)
+        _write(_dealt(merged), folder)
     return touched
 
 
@@ -179,26 +208,30 @@ def upsert(
     hash_col: str = "row_hash",
     at: datetime | None = None,
     quiet: tuple[str, ...] = (),
+    size: int | None = None,
 ) -> dict:
     """Add new keys and rows whose hash changed; nothing is ever deleted. Gives the counts of both.
 
     Of the target only key, hash and ``quiet`` are read to find the changes. A row of which only ``quiet`` columns
-    changed is stored, but keeps its time of update and is not counted.
+    changed is stored, but keeps its time of update and is not counted. ``size`` is for ``create``.
     """
     spark = df.sparkSession
     target = _stored(spark, path)
     if target is None:
-        return {"operation": "CREATE", "inserted": create(df.withColumn(UPDATED_AT, stamp(at)), path, key), "updated": 0}
+        return {"operation": "CREATE", "inserted": create(df.withColumn(UPDATED_AT, stamp(at)), path, key, size), "updated": 0}
     quiet = tuple(q for q in quiet if q in target.columns)
     old = target.select(
         key, F.col(hash_col).alias("_old"), F.col(UPDATED_AT).alias("_stamp"), *[F.col(q).alias(f"_old{q}") for q in quiet]
     )
+    # As bytes on the way to the join.
+    old = _narrowed(old.withColumnRenamed("_old", f"_old{HASH_SUFFIX}"))
     same = F.col("_old") == F.col(hash_col)
     change = F.when(F.col("_old").isNull(), "insert").when(~same, "update")
     for q in quiet:
         change = change.when(~F.col(q).eqNullSafe(F.col(f"_old{q}")), "quiet")
     changed = staged(
-        df.join(old, key, "left")
+        _widened(df.join(old, key, "left"))
+        .withColumnRenamed(f"_old{HASH_SUFFIX}", "_old")
         .withColumn("_change", change)
         .where(F.col("_change").isNotNull())
         .withColumn(UPDATED_AT, F.when(same, F.col("_stamp")).otherwise(stamp(at)))

@@ -1,9 +1,11 @@
+import hashlib
 import os
 
 import pytest
 from evidence_rows import T0, T1
 from pyspark.sql import functions as F
 
+from claimweave.session import folder_names, scratch_removed, staged, staged_bytes
 from claimweave.sources import versions
 
 
@@ -121,3 +123,31 @@ def test_a_bucket_without_rows_goes(spark, tmp_path):
     touched = versions.stage_buckets(frame(spark, []), path, "id", folder, gone)
     versions.publish_buckets(spark, folder, path, touched)
     assert content(spark, path) == {2: "b"}
+
+
+def test_hashes_travel_as_bytes_and_come_back_as_they_were(spark):
+    digest = hashlib.sha256(b"x").hexdigest()
+    texts = [digest, digest.upper(), "abc", "zz", "", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, row_hash string")
+    narrow = versions._narrowed(rows)
+    assert [bytes(r[0]) for r in narrow.where("id = 0").select(f"{versions.AS_BYTES}row_hash").collect()] == [bytes.fromhex(digest)]
+    assert [r.row_hash for r in narrow.where("id = 0").collect()] == [None]
+    back = versions._widened(narrow)
+    assert back.columns == rows.columns and {r.id: r.row_hash for r in back.collect()} == dict(enumerate(texts))
+
+
+def test_a_staged_table_is_not_copied_before_it_is_dealt_out(spark, tmp_path, monkeypatch):
+    rows = staged(spark.range(10).withColumn("row_hash", F.sha2(F.col("id").cast("string"), 256)), "rows")
+    monkeypatch.setattr(versions, "scratch_dir", lambda *_: pytest.fail("copied"))
+    path = f"{tmp_path}/t"
+    assert versions.create(rows, path, "id", staged_bytes(rows)) == 10
+    assert sorted(r.id for r in versions.read_table(spark, path).collect()) == list(range(10))
+
+
+def test_intermediate_tables_go_at_the_end(spark):
+    with scratch_removed(spark):
+        table = staged(spark.range(3), "passing")
+        folder = table.inputFiles()[0].rpartition("/")[0]
+        assert table.count() == 3 and folder_names(spark, folder)
+    assert not folder_names(spark, folder)
+    assert staged(spark.range(3), "staying").count() == 3
