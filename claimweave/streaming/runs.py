@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from claimweave.functions import schemas
 from claimweave.operators import changes, quality
 from claimweave.plans.pipeline import read_silver, silver_paths, write_silver
-from claimweave.session import folder_names, remove_folder
+from claimweave.session import folder_names, remove_folder, scratch_removed
 from claimweave.sources import bronze, versions
 
 KEYS = {"papers": "paper_id", "claims": "claim_id", "claims_rejects": "claim_id"}
@@ -71,8 +71,14 @@ def apply_runs(spark: SparkSession, bronze_root: str, silver_root: str, run_ids:
     The first batch builds the tables, or goes on from tables that the batch pipeline built. Later ones change the
     buckets that hold affected rows. What a batch does is complete beside the tables before it touches them, so a batch
     that is interrupted is finished by its replay; only the newest batch's folder is kept for that. A batch other than
-    the first needs tables of an earlier one: without them the history of earlier runs would be lost silently.
+    the first needs tables of an earlier one: without them the history of earlier runs would be lost silently. The
+    intermediate tables of a batch go with it.
     """
+    with scratch_removed(spark):
+        _apply(spark, bronze_root, silver_root, run_ids, batch_id)
+
+
+def _apply(spark: SparkSession, bronze_root: str, silver_root: str, run_ids: list[str], batch_id: int) -> None:
     paths, folder = silver_paths(silver_root), _batch_path(silver_root, batch_id)
     built = versions.table_exists(spark, paths["bronze_runs"])
     if not built and batch_id > 0:
