@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,9 @@ LABELS = T.StructType().add("labels", T.ArrayType(T.IntegerType())).add("error",
 
 Embedder = Callable[[list[str]], np.ndarray]
 
+# Texts of an Arrow batch that are Python objects together, and have their vectors in memory if only labels are wanted.
+TEXTS_AT_ONCE = 2048
+
 
 def parse_files(filename: str, content: str, pdf_parser: Callable[[bytes], str] | None = None) -> Column:
     """Text or error per file. PDF files need a parser; all others are UTF-8 text, decoded without Python."""
@@ -50,8 +55,19 @@ def parse_files(filename: str, content: str, pdf_parser: Callable[[bytes], str]
     return F.when(empty, outcome(error="Empty upload")).when(is_pdf, by_parser).otherwise(outcome(decode_text(content)))
 
 
-def _safely(embedder: Embedder, lists: pd.Series) -> list[tuple[np.ndarray | None, str | None]]:
-    """Vectors per list: one call for the whole batch, list by list if that call fails."""
+def _portions(lists: pa.Array) -> Iterator[list[list[str] | None]]:
+    """Lists that follow each other, as many as have ``TEXTS_AT_ONCE`` texts; a longer list is a portion of its own."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(), dtype=np.int64)
+    start = 0
+    while start < len(lists):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + TEXTS_AT_ONCE, side="right")))
+        yield lists.slice(start, end - start).to_pylist()
+        start = end
+
+
+def _safely(embedder: Embedder, lists: list[list[str] | None]) -> list[tuple[np.ndarray | None, str | None]]:
+    """Vectors per list: one call for all lists, list by list if that call fails."""
     lists = [[t if t is not None else "" for t in texts] if texts is not None else [] for texts in lists]
     try:
         flat = [t for texts in lists for t in texts]
@@ -66,20 +82,39 @@ def _safely(embedder: Embedder, lists: pd.Series) -> list[tuple[np.ndarray | Non
         return [_safely(embedder, [texts])[0] for texts in lists]
 
 
+def _nested(vectors: list[np.ndarray | None]) -> pa.Array:
+    """Matrices as lists of lists, without an object for each vector."""
+    found = [v for v in vectors if v is not None]
+    numbers = np.concatenate([v.ravel() for v in found]) if found else np.zeros(0, np.float32)
+    widths = np.concatenate([np.full(len(v), v.shape[1]) for v in found]) if found else np.zeros(0, np.int64)
+    rows = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(widths)], pa.int32()), pa.array(numbers, pa.float32()))
+    ends = np.cumsum([0 if v is None else len(v) for v in vectors], dtype=np.int64)
+    missing = pa.array([v is None for v in vectors], pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), rows, mask=missing)
+
+
 def _embedded(texts: Column, embedder: Embedder) -> Column:
-    @F.pandas_udf(VECTORS)
-    def vectors(lists: pd.Series) -> pd.DataFrame:
-        rows = [(None if v is None else list(v), e) for v, e in _safely(embedder, lists)]
-        return pd.DataFrame(rows, columns=["vectors", "error"], dtype=object)
+    @F.arrow_udf(VECTORS)
+    def vectors(lists: pa.Array) -> pa.Array:
+        rows = [row for part in _portions(lists) for row in _safely(embedder, part)]
+        errors = pa.array([e for _, e in rows], pa.string())
+        return pa.StructArray.from_arrays([_nested([v for v, _ in rows]), errors], ["vectors", "error"])
 
     return vectors(texts)
 
 
 def _clustered(texts: Column, embedder: Embedder, threshold: float) -> Column:
-    @F.pandas_udf(LABELS)
-    def labels(lists: pd.Series) -> pd.DataFrame:
-        rows = [(None if v is None else average_linkage(v, threshold), e) for v, e in _safely(embedder, lists)]
-        return pd.DataFrame(rows, columns=["labels", "error"], dtype=object)
+    @F.arrow_udf(LABELS)
+    def labels(lists: pa.Array) -> pa.Array:
+        found, errors = [], []
+        for part in _portions(lists):
+            # Of a portion's vectors only the labels stay.
+            for v, error in _safely(embedder, part):
+                found.append(None if v is None else average_linkage(v, threshold))
+                errors.append(error)
+        return pa.StructArray.from_arrays(
+            [pa.array(found, pa.list_(pa.int32())), pa.array(errors, pa.string())], ["labels", "error"]
+        )
 
     return labels(texts)
 

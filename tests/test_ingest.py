@@ -104,3 +104,20 @@ def test_studies_are_numbered_and_bad_ones_refused(spark, tmp_path):
         "not a JSON object",
         "not a string: intervention, outcome, result, study_type",
     ]
+
+
+def test_an_embedder_never_sees_a_whole_large_batch(spark):
+    n = 2 * ingest.TEXTS_AT_ONCE
+    files = spark.range(n, numPartitions=1).select(
+        F.col("id").alias("paper_id"), F.lit("a.txt").alias("filename"), F.encode(F.concat(F.lit("t"), "id"), "UTF-8").alias("content")
+    )
+    done = ingest.process_documents(files, embedder=lambda texts: np.full((len(texts), 1), len(texts)))
+    found = done.select(F.col("chunks")[0]["vectors"][0].alias("seen"), F.col("claims")[0]["labels"].alias("label"))
+    row = found.agg(F.count("seen"), F.max("seen"), F.max("label"), F.count("label")).first()
+    assert row[0] == n and 1 < row[1] <= ingest.TEXTS_AT_ONCE and (row[2], row[3]) == (0, n)
+
+
+def test_matrices_become_nested_lists():
+    parts = [np.ones((2, 3), np.float32), None, np.zeros((0, 0), np.float32), np.full((1, 2), 5, np.float32)]
+    assert ingest._nested(parts).to_pylist() == [[[1, 1, 1], [1, 1, 1]], None, [], [[5, 5]]]
+    assert ingest._nested([]).to_pylist() == [] and ingest._nested([None]).to_pylist() == [None]
