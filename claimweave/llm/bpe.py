@@ -2,8 +2,8 @@
 
 Texts are split into words in Spark. Each distinct word is encoded once and its ids are joined back into the places where it
 occurs. The table has two parts. Its head are the commonest words of a bounded sample of the texts: at most ``head`` words of
-at most ``WORD_BYTES`` bytes, so it is broadcast. All other words go the way of a shuffled table: one row per text and word
-with the word's place in the text, brought together by word, encoded once, and joined back to the text by position. No
+at most ``WORD_BYTES`` bytes, so it is broadcast. All other words go the way of a shuffled table: each word with the texts
+and places where it stands, packed by bucket of words, brought together, encoded once, and joined back to the text by position. No
 text travels, and no word comes back: a text is an outline, the head's number of each word with 0 for the others, and the ids of these
 come back by place. Which words are in the head changes the time and never the result.
 
@@ -40,6 +40,10 @@ from claimweave.session import staged
 WORD_BYTES = 256
 SALTS = 32
 
+# Words that are not in the head travel in packs, one per bucket of words and this many words of a task's texts.
+BUCKETS = 1024
+PACK_WORDS = 1 << 18
+
 # Fixed value: the word pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -247,12 +251,17 @@ def _read_varint(data: bytes, at: int) -> tuple[int, int]:
             return n, at
 
 
-def entry(place: int, word: str, ids: bytes) -> bytes:
-    """A word's place in its text, its check and its ids, with two bytes an id if they suffice."""
+def entry_end(word: str, ids: bytes) -> bytes:
+    """A word's check and its ids, with two bytes an id if they suffice."""
     numbers = memoryview(ids).cast("I")
     wide = max(numbers, default=0) > 0xFFFF
     kept = ids if wide else struct.pack(f"<{len(numbers)}H", *numbers)
-    return b"".join([varint(place), check(word), varint(2 * len(numbers) + wide), kept])
+    return b"".join([check(word), varint(2 * len(numbers) + wide), kept])
+
+
+def entry(place: int, word: str, ids: bytes) -> bytes:
+    """A word's place in its text, its check and its ids."""
+    return varint(place) + entry_end(word, ids)
 
 
 def read_entries(chunks: list[bytes]) -> dict[tuple[int, bytes], bytes]:
@@ -316,45 +325,113 @@ def fill(data: bytes, chunks: list[bytes], ids: list[bytes]) -> bytes:
     return b"".join([ids[i] if i else next(rest) for i in numbers])
 
 
-def _tail_words(head, added):
-    """The words of a text that the head lacks with their places, once per text and batch."""
+def _planes(numbers: list[int]) -> bytes:
+    """Numbers below 2^32 byte by byte: all lowest bytes first, which compress well."""
+    return np.array(numbers, "<u4").view("u1").reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(data: bytes, n: int, at: int) -> list[int]:
+    return np.ascontiguousarray(np.frombuffer(data, "u1", 4 * n, at).reshape(4, n).T).view("<u4").ravel().tolist()
+
+
+def pack_words(runs: list[tuple[bytes, list[tuple[int, int]]]]) -> tuple[bytes, bytes]:
+    """Words with the (hash of the text, place) pairs where each stands: the hashes, and the compressed rest."""
+    words = [w for w, _ in runs]
+    hits = [x for _, found in runs for x in found]
+    rest = [
+        struct.pack("<II", len(words), len(hits)),
+        _planes([len(w) for w in words]),
+        _planes([len(found) for _, found in runs]),
+        _planes([place for _, place in hits]),
+        *words,
+    ]
+    return struct.pack(f"<{len(hits)}q", *[h for h, _ in hits]), zstandard.ZstdCompressor(level=3).compress(b"".join(rest))
+
+
+def unpack_words(hashes: bytes, pressed: bytes) -> list[tuple[str, list[tuple[int, int]]]]:
+    data = zstandard.ZstdDecompressor().decompress(pressed)
+    n_words, n = struct.unpack_from("<II", data)
+    sizes, counts = _from_planes(data, n_words, 8), _from_planes(data, n_words, 8 + 4 * n_words)
+    at = 8 + 8 * n_words
+    hits = list(zip(struct.unpack(f"<{n}q", hashes), _from_planes(data, n, at)))
+    at, first, runs = at + 4 * n, 0, []
+    for size, count in zip(sizes, counts):
+        runs.append((data[at : at + size].decode(), hits[first : first + count]))
+        at, first = at + size, first + count
+    return runs
+
+
+def _tail_words(head, added, most: int = PACK_WORDS):
+    """The words of a text that the head lacks with their places, once per text and batch, in packs by the word's bucket."""
+
+    def packs(found: dict[str, list[tuple[int, int]]]) -> pa.RecordBatch:
+        buckets: dict[int, list] = {}
+        for text, data in sorted(found.items()):
+            word = text.encode()
+            code = zlib.crc32(word)
+            if len(word) <= WORD_BYTES:
+                buckets.setdefault(code % BUCKETS, []).append((word, data))
+                continue
+            # A word of the tail is rare or longer than the head allows; long ones could be common and are salted.
+            salted: dict[int, list[tuple[int, int]]] = {}
+            for x in data:
+                salted.setdefault((code + x[0] % SALTS) % BUCKETS, []).append(x)
+            for bucket, part in salted.items():
+                buckets.setdefault(bucket, []).append((word, part))
+        made = [pack_words(runs) for runs in buckets.values()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(buckets, pa.int32()), pa.array([x for x, _ in made], pa.binary()), pa.array([x for _, x in made], pa.binary())],
+            ["bucket", "hashes", "words"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, known = _splitter(added), head.value
+        found: dict[str, list[tuple[int, int]]] = {}
+        n = 0
         for batch in batches:
             met = set()
             for part in _slices(batch):
-                hashes, places, words = [], [], []
                 for h, text in zip(part["h"].to_pylist(), part["text"].to_pylist()):
                     if (h, hash(text)) not in met:
                         met.add((h, hash(text)))
                         rest = open_places(split(text), known)
-                        words += rest.keys()
-                        places += rest.values()
-                        hashes += [h] * len(rest)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes, pa.int64()), pa.array(places, pa.int32()), pa.array(words, pa.string())],
-                    ["h", "place", "word"],
-                )
+                        for word, place in rest.items():
+                            found.setdefault(word, []).append((h, place))
+                        n += len(rest)
+                        if n >= most:
+                            yield packs(found)
+                            found, n = {}, 0
+        if found:
+            yield packs(found)
 
     return run
 
 
-def _encode_runs(shared, added):
-    """Rows sorted by word: each distinct word of the partition is encoded once."""
+def _encode_packs(shared, added, most: int = PACK_WORDS):
+    """Packs sorted by bucket: each distinct word of a bucket is encoded once, or once in ``most`` words of it.
+
+    The entries of a text that are in one pack go on in one row: a pack's size is fixed, so their number follows from the input.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, last, last_ids = _encoder(shared.value, added), None, b""
+        encode, ends, last = _encoder(shared.value, added), {}, None
         for batch in batches:
-            words = batch["word"].to_pylist()
-            fresh = [w for i, w in enumerate(words) if w != (words[i - 1] if i else last)]
-            ids = dict(zip(fresh, encode(fresh)))
-            if last is not None:
-                ids.setdefault(last, last_ids)
-            made = [entry(place, word, ids[word]) for place, word in zip(batch["place"].to_pylist(), words)]
-            if words:
-                last, last_ids = words[-1], ids[words[-1]]
-            yield pa.RecordBatch.from_arrays([batch["h"], pa.array(made, pa.binary())], ["h", "chunk"])
+            for part in _slices(batch, 100):
+                hashes, chunks = [], []
+                for bucket, *pack in zip(*[part[n].to_pylist() for n in ("bucket", "hashes", "words")]):
+                    if bucket != last or len(ends) > most:
+                        ends, last = {}, bucket
+                    runs = unpack_words(*pack)
+                    fresh = [w for w, _ in runs if w not in ends]
+                    ends |= {w: entry_end(w, ids) for w, ids in zip(fresh, encode(fresh))}
+                    entries: dict[int, bytes] = {}
+                    for word, hits in runs:
+                        end = ends[word]
+                        for h, place in hits:
+                            entries[h] = entries.get(h, b"") + varint(place) + end
+                    hashes += entries.keys()
+                    chunks += entries.values()
+                yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(chunks, pa.binary())], ["h", "chunk"])
 
     return run
 
@@ -403,14 +480,14 @@ def encode(
     # Numbers count from 1: 0 stands for all other words.
     known = spark.sparkContext.broadcast({w: i for i, w in enumerate(common, 1)})
     head_ids = spark.sparkContext.broadcast([b"", *common.values()])
-    salt = F.when(F.octet_length("word") > WORD_BYTES, F.pmod("h", F.lit(SALTS))).otherwise(F.lit(0))
     tails = (
         texts.select("h", "text")
-        .mapInArrow(_tail_words(known, vocabulary.added), "h bigint, place int, word string")
-        # A word of the tail is rare or longer than the head allows; long ones could be common and are salted.
-        .repartition(F.col("word"), salt)
-        .sortWithinPartitions("word")
-        .mapInArrow(_encode_runs(shared, vocabulary.added), "h bigint, chunk binary")
+        .mapInArrow(_tail_words(known, vocabulary.added), "bucket int, hashes binary, words binary")
+        .repartition("bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(_encode_packs(shared, vocabulary.added), "h bigint, chunk binary")
+        # Dealt out first: lists of one chunk would be built and moved otherwise, as few chunks of a text meet in a task.
+        .repartition("h")
         .groupBy("h")
         .agg(F.collect_list("chunk").alias("tail"))
     )

@@ -8,11 +8,13 @@ import re
 import string
 import struct
 import time
+import types
 import zlib
 
 import numpy as np
 import plain
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -451,6 +453,37 @@ def test_texts_that_share_a_hash_keep_their_own_ids():
     assert [bpe._read_varint(bpe.varint(n) + b"\x05", 0)[0] for n in (0, 127, 128, 2**40)] == [0, 127, 128, 2**40]
 
 
+def test_rare_words_travel_in_small_packs():
+    rng = random.Random(5)
+    texts = ["".join(f" {rng.choice('bcdfg')}{rng.randrange(10**6)}é" for _ in range(40)) + " a" for _ in range(3000)] + ["=" * 900, "=" * 900, "\x00 ", ""]
+    docs = pa.RecordBatch.from_arrays([pa.array([rng.getrandbits(63) for _ in texts]), pa.array(texts)], ["h", "text"])
+    share = types.SimpleNamespace
+    found, size = [], 0
+    for batch in bpe._tail_words(share(value={" a": 1}), (), most=20_000)([docs]):
+        for row in batch.to_pylist():
+            size += len(row["hashes"]) + len(row["words"])
+            found += [(h, place, w) for w, hits in bpe.unpack_words(row["hashes"], row["words"]) for h, place in hits]
+    split = bpe._splitter(())
+    expected = [(h, i, w) for h, t in zip(docs["h"].to_pylist(), texts) for w, i in bpe.open_places(split(t), {" a": 1}).items()]
+    assert sorted(found) == sorted(expected)
+    # Hash of the text, place and word took 25 bytes and more in rows of their own.
+    assert size < 17 * len(expected)
+
+
+def test_rare_words_come_back_whole_from_every_flush():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    vocabulary = bpe.Vocabulary(path)
+    texts = [f"word{i % 50} xy{i} zq{i % 7}" for i in range(400)]
+    docs = pa.RecordBatch.from_arrays([pa.array(range(400), pa.int64()), pa.array(texts)], ["h", "text"])
+    packs = [b for b in bpe._tail_words(types.SimpleNamespace(value={}), (), most=150)([docs])]
+    rows = [r for b in bpe._encode_packs(types.SimpleNamespace(value=vocabulary.content), (), most=10)(packs) for r in b.to_pylist()]
+    library, split = Tokenizer.from_file(path), bpe._splitter(())
+    for h, text in enumerate(texts):
+        chunks = [r["chunk"] for r in rows if r["h"] == h]
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert bpe.fill(bpe.outline(split(text), {}), chunks, [b""]) == bpe.packed(ids)
+
+
 def test_words_split_as_the_library_does():
     path = public_tokenizers.path("byte_bpe_50k.json")
     library, vocabulary = Tokenizer.from_file(path), bpe.Vocabulary(path)
