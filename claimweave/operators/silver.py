@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from claimweave.functions import columns as C
 from claimweave.functions import vocab
 from claimweave.operators.keyed import attach_to_groups, flag_repeats, latest_versions
-from claimweave.session import staged, staged_by
+from claimweave.session import buckets_for, staged, staged_by
 
 
 def clean_papers(latest: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
@@ -75,6 +75,20 @@ def _normal_claims(bronze: DataFrame, more: tuple[str, ...]) -> DataFrame:
     )
 
 
+NORMAL_TEXTS = ("population", "intervention", "outcome", "result_raw", "study_type_raw")
+
+
+def _packed_texts(normal: DataFrame) -> DataFrame:
+    """The normalized texts in one column, a third less to shuffle. They hold no line break and are never empty."""
+    packed = F.concat_ws("\n", *[F.coalesce(x, F.lit("")) for x in NORMAL_TEXTS])
+    return normal.withColumn("_texts", packed).drop(*NORMAL_TEXTS)
+
+
+def _unpacked_texts(packed: DataFrame) -> DataFrame:
+    parts = packed.withColumn("_texts", F.split("_texts", "\n"))
+    return parts.withColumns({x: F.nullif(F.get("_texts", F.lit(i)), F.lit("")) for i, x in enumerate(NORMAL_TEXTS)}).drop("_texts")
+
+
 def _labelled_claims(normal: DataFrame, more: tuple[str, ...]) -> DataFrame:
     confidence = F.col("confidence_raw")
     return normal.select(
@@ -104,12 +118,16 @@ def clean_claims(latest: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
 
 
 def latest_claims(
-    bronze: DataFrame, latest_run_id: str | Column, ties: tuple[str, ...] = (), more: tuple[str, ...] = ()
+    bronze: DataFrame,
+    latest_run_id: str | Column,
+    ties: tuple[str, ...] = (),
+    more: tuple[str, ...] = (),
+    parts: int | None = None,
 ) -> DataFrame:
     """``clean_claims`` of the newest versions. Texts are normalized before versions are ranked and labels are looked up
-    after that, so less is sorted and shuffled."""
-    normal = _normal_claims(bronze, tuple(dict.fromkeys([*ties, *more])))
-    return _labelled_claims(latest_versions(normal, latest_run_id, "claim_id", ties), more)
+    after that, so less is sorted and shuffled. ``parts`` is that of ``latest_versions``."""
+    normal = _packed_texts(_normal_claims(bronze, tuple(dict.fromkeys([*ties, *more]))))
+    return _labelled_claims(_unpacked_texts(latest_versions(normal, latest_run_id, "claim_id", ties, parts)), more)
 
 
 def check_claims(claims: DataFrame, papers: DataFrame) -> DataFrame:
@@ -156,9 +174,11 @@ def checked_claims(
 ) -> DataFrame:
     """``check_claims`` of the newest claims, which are staged by their id.
 
-    Only ids go to the papers and come back with what is found there; the claims stay where they are.
+    Only ids go to the papers and come back with what is found there; the claims stay where they are, in ``buckets_for(bronze)``
+    buckets. Who stages the result by its id takes as many.
     """
-    claims = staged_by(latest_claims(bronze, latest_run_id, ties, more), "latest-claims", "claim_id")
+    buckets = buckets_for(bronze)
+    claims = staged_by(latest_claims(bronze, latest_run_id, ties, more, buckets), "latest-claims", "claim_id", buckets)
     lookup = papers.select("paper_id", "canonical_paper_id", F.col("is_deleted").alias("_paper_deleted"))
     found = claims.select("claim_id", "paper_id").join(lookup, "paper_id").drop("paper_id")
     # One claim at most has no id, as versions are ranked by it; it would meet nothing in the join on ids.

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from claimweave.functions import columns as C
 from claimweave.functions import vocab
 from claimweave.operators import changes, disagreement, gold, metrics, quality, silver
-from claimweave.session import scratch_removed, staged, staged_by, staged_bytes
+from claimweave.session import buckets_for, scratch_removed, staged, staged_by, staged_bytes
 from claimweave.sources import bronze, versions
 from claimweave.sources.weights import study_weights
 
@@ -45,7 +45,7 @@ def write_silver(
     bronze_claims = changes.with_source_hash(bronze_claims, "claim_evidence")
     papers = staged(changes.keep_papers(silver.silver_papers(bronze_papers, latest, stage=True, more=more)), "silver-papers")
     checked = silver.checked_claims(bronze_claims, papers, latest, more=more).withColumn(changes.GONE, F.col("is_deleted"))
-    checked = staged_by(checked, "checked-claims", "claim_id")
+    checked = staged_by(checked, "checked-claims", "claim_id", buckets_for(bronze_claims))
     rejects = silver.rejected_claims(checked)
     claims, counts = quality.watched(changes.keep_claims(silver.valid_claims(checked)), quality.claim_rules(papers)[0])
     claims = staged(claims, "silver-claims")

@@ -19,7 +19,7 @@ from claimweave.plans.oracles import freshness as freshness_sql
 from claimweave.plans.oracles import quality_report as quality_report_sql
 from claimweave.plans.oracles import sql
 from claimweave.sources import bronze
-from claimweave.session import scratch_dir, staged, staged_by
+from claimweave.session import buckets_for, scratch_dir, staged, staged_by
 from claimweave.sources.weights import study_weights
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -239,10 +239,11 @@ def row_hash(spark, sf_dir):
 def pipeline_gold(spark, sf_dir) -> dict[str, DataFrame]:
     """Silver and star-schema frames of the messy snapshots; silver is staged, without the fingerprints that no one reads here."""
     papers = staged(t.silver_papers(spark, sf_dir).drop("row_hash"), "papers")
-    checked = staged_by(
-        silver.checked_claims(t.bronze_claims(spark, sf_dir), papers, F.lit(t.LATEST_RUN), t.CLAIM_TIES), "checked", "claim_id"
-    )
-    claims = staged(silver.valid_claims(checked).drop("row_hash"), "claims")
+    bronze_claims = t.bronze_claims(spark, sf_dir)
+    buckets = buckets_for(bronze_claims)
+    checked = silver.checked_claims(bronze_claims, papers, F.lit(t.LATEST_RUN), t.CLAIM_TIES)
+    checked = staged_by(checked, "checked", "claim_id", buckets)
+    claims = staged_by(silver.valid_claims(checked).drop("row_hash"), "claims", "claim_id", buckets)
     live_papers, live_claims = gold.stg_papers(papers), gold.stg_claims(claims)
     return {
         "papers": papers,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from claimweave.functions import columns as C
 from claimweave.functions import vocab
 from claimweave.operators import gold, silver
-from claimweave.session import staged_by
+from claimweave.session import buckets_for, staged_by
 from claimweave.sources.weights import study_weights
 
 FIRST_RUN = "19951231T000000Z"
@@ -169,7 +169,8 @@ def checked_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def valid_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagging repeats reads the checked claims twice, so they are staged, as in the pipeline."""
-    return silver.valid_claims(staged_by(checked_claims(spark, sf_dir), "checked", "claim_id"))
+    buckets = buckets_for(bronze_claims(spark, sf_dir))
+    return silver.valid_claims(staged_by(checked_claims(spark, sf_dir), "checked", "claim_id", buckets))
 
 
 def rejected_claims(spark: SparkSession, sf_dir: str) -> DataFrame:

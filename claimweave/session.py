@@ -96,14 +96,32 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def staged_by(df: DataFrame, label: str, key: str) -> DataFrame:
+# Bytes of input files behind one bucket. Their rows take some 15 times that in a task, which sorts them twice.
+BUCKET_INPUT = 4 << 20
+
+
+def buckets_for(source: DataFrame) -> int:
+    """Buckets for rows read from ``source``: as many as shuffle partitions, and more where a bucket would outgrow a task's memory."""
+    spark = source.sparkSession
+    folders: dict[str, set[str]] = {}
+    for path in source.inputFiles():
+        parent, _, name = unquote(path).rpartition("/")
+        folders.setdefault(parent, set()).add(name)
+    size = 0
+    for parent, names in folders.items():
+        files, folder = _folder(spark, parent)
+        size += sum(x.getLen() for x in files.listStatus(folder) if x.getPath().getName() in names)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_INPUT))
+
+
+def staged_by(df: DataFrame, label: str, key: str, buckets: int | None = None) -> DataFrame:
     """``staged``, dealt out by ``key``: joins with it on that key do not shuffle its rows, only those of the other side.
 
     Rows that come dealt out by the key, as from a window over it, are not shuffled for this either. The catalog knows the
     table only while it is opened.
     """
     spark = df.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_dir(spark, label)
     name = f"claimweave_{path.rpartition('-')[2]}"
     rows = df.repartition(buckets, key).write.format("parquet").option("path", path).option("compression", STAGED_CODEC)
