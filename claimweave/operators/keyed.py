@@ -60,9 +60,11 @@ def without_outdated(df: DataFrame, key: str, at: str) -> DataFrame:
     return df.mapInArrow(newest, df.schema)
 
 
-def attach_to_groups(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+def attach_to_groups(rows: DataFrame, groups: DataFrame, keys: list[str] | dict[str, Column]) -> DataFrame:
     """Give every row the values of its group, one row per key in ``groups``; NULL keys match each other.
 
+    ``keys`` are columns of both, or columns of ``groups`` with what of a row they equal, which then needs no column there.
+
     A plain equi-join: Spark broadcasts the groups if they are small, otherwise adaptive execution splits the rows of a
     hot key over several tasks. For that the groups must not come straight out of an aggregation by the same key (stage
     them), because a join that reuses its partitioning is never split.
@@ -74,8 +76,9 @@ def attach_to_groups(rows: DataFrame, groups: DataFrame, keys: list[str]) -> Dat
     )
 
 
-def _same_keys(keys: list[str], prefix: str) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys])
+def _same_keys(keys: list[str] | dict[str, Column], prefix: str) -> Column:
+    values = keys if isinstance(keys, dict) else {k: F.col(k) for k in keys}
+    return reduce(lambda a, b: a & b, [x.eqNullSafe(F.col(prefix + k)) for k, x in values.items()])
 
 
 def flag_repeats(df: DataFrame, keys: list[str], id_col: str, name: str = "is_duplicate") -> DataFrame:

@@ -32,12 +32,13 @@ def canonical_uploads(papers: DataFrame) -> DataFrame:
     """Point every copy of a file at its lowest live id.
 
     A paper of a group without a live copy points at itself. One file name may stand for a large
-    share of all papers, so the minimum is pre-aggregated and staged, which lets the join split hot names.
+    share of all papers, so the minimum is pre-aggregated and staged, which lets the join split hot names. The
+    lower-cased texts are keys of the join only and do not travel beside the papers' own.
     """
-    keyed = papers.withColumn("_file", F.lower("source_filename")).withColumn("_title", F.lower("title"))
+    keys = {"_file": F.lower("source_filename"), "_title": F.lower("title")}
     live_id = F.when(~F.col("is_deleted"), F.col("paper_id"))
-    groups = staged(keyed.groupBy("_file", "_title").agg(F.min(live_id).alias("_first_live")), "upload-groups")
-    attached = attach_to_groups(keyed, groups, ["_file", "_title"])
+    groups = papers.groupBy(*[x.alias(k) for k, x in keys.items()]).agg(F.min(live_id).alias("_first_live"))
+    attached = attach_to_groups(papers, staged(groups, "upload-groups"), keys)
     canonical = F.coalesce("_first_live", "paper_id")
     return attached.select(
         *papers.columns,
