@@ -62,6 +62,19 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return path
 
 
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, object]) -> Iterator[None]:
+    """The session has these settings inside and its own again afterwards."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 @contextmanager
 def scratch_removed(spark: SparkSession) -> Iterator[None]:
     """Remove the intermediate tables that are made inside, at its end: for jobs whose results lie elsewhere by then."""
@@ -75,6 +88,24 @@ def scratch_removed(spark: SparkSession) -> Iterator[None]:
             remove_folder(spark, path)
 
 
+# A table of ids takes this many times its files' bytes in the hash table that the driver makes for a broadcast; 160 were measured.
+FILES_TO_MEMORY = 128
+
+
+@contextmanager
+def broadcasts_by_memory(spark: SparkSession) -> Iterator[None]:
+    """Inside, a table read from files is broadcast only if its rows fit the session's threshold, which otherwise goes by its files' bytes.
+
+    Compressed ids take less than a byte each there, so the driver would build hash tables of a hundred times the threshold. What
+    has been shuffled is measured as it is and keeps the whole threshold.
+    """
+    planned, measured = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    threshold = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    values = {planned: threshold // FILES_TO_MEMORY, measured: spark.conf.get(measured, None) or threshold}
+    with _settings(spark, values if threshold > 0 else {}):
+        yield
+
+
 # Staged files are read a few times on the way and then left: small ones are worth the codec's time.
 STAGED_CODEC = "zstd"
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from claimweave.functions import schemas
 from claimweave.operators import changes, quality
 from claimweave.plans.pipeline import read_silver, silver_paths, write_silver
-from claimweave.session import folder_names, remove_folder, scratch_removed
+from claimweave.session import broadcasts_by_memory, folder_names, remove_folder, scratch_removed
 from claimweave.sources import bronze, versions
 
 KEYS = {"papers": "paper_id", "claims": "claim_id", "claims_rejects": "claim_id"}
@@ -74,7 +74,7 @@ def apply_runs(spark: SparkSession, bronze_root: str, silver_root: str, run_ids:
     the first needs tables of an earlier one: without them the history of earlier runs would be lost silently. The
     intermediate tables of a batch go with it.
     """
-    with scratch_removed(spark):
+    with scratch_removed(spark), broadcasts_by_memory(spark):
         _apply(spark, bronze_root, silver_root, run_ids, batch_id)
 
 

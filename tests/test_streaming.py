@@ -10,6 +10,7 @@ from claimweave.functions import vocab
 from claimweave.operators import quality
 from claimweave.plans.pipeline import read_silver, run_bronze_to_silver
 from claimweave.sources import bronze, versions
+from claimweave.streaming import runs as run_stream
 from claimweave.streaming import uploads
 from claimweave.streaming.runs import apply_runs, process_new_runs
 
@@ -190,3 +191,27 @@ def test_a_batch_that_breaks_a_rule_changes_nothing(spark, tmp_path, monkeypatch
         with pytest.raises(ValueError, match="between:confidence"):
             apply_runs(spark, root, silver, run_ids[1:], 1)
     assert state(silver, spark) == before
+
+
+def test_a_batch_broadcasts_no_table_of_many_ids(spark, tmp_path, monkeypatch):
+    """300 000 ids take some kilobytes in files, but megabytes in the hash table that the driver would make."""
+    spark.range(300_000).select(F.col("id"), F.lit("state").alias("change")).write.parquet(str(tmp_path / "ids"), compression="zstd")
+    spark.range(20).coalesce(1).write.parquet(str(tmp_path / "few"))
+    joins = {}
+
+    def batch(session, *_):
+        rows = session.range(2_000_000).selectExpr("id", "id + 1 AS value")
+        for name in ("ids", "few"):
+            joined = rows.join(session.read.parquet(str(tmp_path / name)).select("id"), "id", "left_semi")
+            joins[name] = joined._jdf.queryExecution().sparkPlan().toString()
+
+    monkeypatch.setattr(run_stream, "_apply", batch)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+        run_stream.apply_runs(spark, "", "", [], 0)
+        assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "1m"
+        assert spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in joins["ids"] and "BroadcastHashJoin" in joins["few"]
