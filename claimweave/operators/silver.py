@@ -183,14 +183,15 @@ def checked_claims(
     lookup = papers.select("paper_id", "canonical_paper_id", F.col("is_deleted").alias("_paper_deleted"))
     found = claims.select("claim_id", "paper_id").join(lookup, "paper_id").drop("paper_id")
     # One claim at most has no id, as versions are ranked by it; it would meet nothing in the join on ids.
+    no_id = F.when(F.col("claim_id").isNull(), F.lit(0))
     nameless = found.where("claim_id IS NULL").select(
-        F.col("canonical_paper_id").alias("_canonical"), F.col("_paper_deleted").alias("_deleted")
+        no_id.alias("_no_id"), F.col("canonical_paper_id").alias("_canonical"), F.col("_paper_deleted").alias("_deleted")
     )
     named = claims.join(found, "claim_id", "left")
-    checked = named.join(F.broadcast(nameless), F.col("claim_id").isNull(), "left").withColumns(
+    checked = named.join(F.broadcast(nameless), no_id == F.col("_no_id"), "left").withColumns(
         {"canonical_paper_id": F.coalesce("canonical_paper_id", "_canonical"), "_paper_deleted": F.coalesce("_paper_deleted", "_deleted")}
     )
-    return checked.drop("_canonical", "_deleted").withColumn("reject_reason", C.reject_reason())
+    return checked.drop("_no_id", "_canonical", "_deleted").withColumn("reject_reason", C.reject_reason())
 
 
 def silver_claims(
