@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from claimweave.functions import columns as C
 from claimweave.functions import vocab
 from claimweave.operators import changes, disagreement, gold, metrics, quality, silver
-from claimweave.session import buckets_for, scratch_removed, staged, staged_by, staged_bytes
+from claimweave.session import buckets_for, remove_staged, scratch_removed, staged, staged_alone, staged_by, staged_bytes
 from claimweave.sources import bronze, versions
 from claimweave.sources.weights import study_weights
 
@@ -36,19 +36,28 @@ def write_silver(
     """Build and commit the four silver tables, if the silver checks pass.
 
     Papers and checked claims are staged once; the tables are checked and written from the staged files
-    instead of repeating the bronze scan and its shuffles for each.
+    instead of repeating the bronze scan and its shuffles for each. What is staged goes as soon as nothing reads it any
+    more, so the disk never holds all of it at once.
     """
     spark = bronze_papers.sparkSession
     paths = silver_paths(silver_root)
     more, latest = (changes.SOURCE_HASH,), F.lit(latest_run_id)
     bronze_papers = changes.with_source_hash(bronze_papers, "papers")
     bronze_claims = changes.with_source_hash(bronze_claims, "claim_evidence")
-    papers = staged(changes.keep_papers(silver.silver_papers(bronze_papers, latest, stage=True, more=more)), "silver-papers")
-    checked = silver.checked_claims(bronze_claims, papers, latest, more=more).withColumn(changes.GONE, F.col("is_deleted"))
-    checked = staged_by(checked, "checked-claims", "claim_id", buckets_for(bronze_claims))
+
+    def staged_papers() -> DataFrame:
+        return staged(changes.keep_papers(silver.silver_papers(bronze_papers, latest, stage=True, more=more)), "silver-papers")
+
+    papers = staged_alone(spark, staged_papers)
+
+    def staged_claims() -> DataFrame:
+        rows = silver.checked_claims(bronze_claims, papers, latest, more=more).withColumn(changes.GONE, F.col("is_deleted"))
+        return staged_by(rows, "checked-claims", "claim_id", buckets_for(bronze_claims))
+
+    checked = staged_alone(spark, staged_claims)
     rejects = silver.rejected_claims(checked)
     claims, counts = quality.watched(changes.keep_claims(silver.valid_claims(checked)), quality.claim_rules(papers)[0])
-    claims = staged(claims, "silver-claims")
+    valid = claims = staged(claims, "silver-claims")
     quality.silver_gate(papers, claims, counts.get)
     size = staged_bytes(claims)
     if retire_rejected and versions.table_exists(spark, paths["claims"]):
@@ -61,13 +70,15 @@ def write_silver(
         "claim_id",
         round(share * staged_bytes(checked)),
     )
-    return {
-        "papers": versions.upsert(papers, paths["papers"], "paper_id", at=at, quiet=changes.HIDDEN, size=staged_bytes(papers)),
-        "claims": versions.upsert(claims, paths["claims"], "claim_id", at=at, quiet=changes.HIDDEN, size=size),
-        # Rejects and the run history describe the current state, so they are replaced.
-        "claims_rejects": {"operation": "OVERWRITE", "inserted": rejected, "updated": 0},
-        "bronze_runs": versions.overwrite(runs, paths["bronze_runs"], at=at),
-    }
+    if claims is valid:
+        remove_staged(checked)
+    done = {"papers": versions.upsert(papers, paths["papers"], "paper_id", at=at, quiet=changes.HIDDEN, size=staged_bytes(papers))}
+    remove_staged(papers)
+    done["claims"] = versions.upsert(claims, paths["claims"], "claim_id", at=at, quiet=changes.HIDDEN, size=size)
+    remove_staged(valid)
+    # Rejects and the run history describe the current state, so they are replaced.
+    done["claims_rejects"] = {"operation": "OVERWRITE", "inserted": rejected, "updated": 0}
+    return {**done, "bronze_runs": versions.overwrite(runs, paths["bronze_runs"], at=at)}
 
 
 def _newly_rejected(spark: SparkSession, path: str, rejects: DataFrame) -> DataFrame:

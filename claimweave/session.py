@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from urllib.parse import unquote
@@ -76,12 +76,17 @@ def _settings(spark: SparkSession, values: dict[str, object]) -> Iterator[None]:
 
 
 @contextmanager
-def scratch_removed(spark: SparkSession) -> Iterator[None]:
-    """Remove the intermediate tables that are made inside, at its end: for jobs whose results lie elsewhere by then."""
+def scratch_removed(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove the intermediate tables that are made inside, at its end: for jobs whose results lie elsewhere by then.
+
+    Gives the list of their folders; one that is taken off it stays. Shuffle files go with their query, where they would
+    stay until the driver happens to collect its garbage.
+    """
     paths: list[str] = []
     before = _passing.set(paths)
     try:
-        yield
+        with _settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+            yield paths
     finally:
         _passing.reset(before)
         for path in paths:
@@ -127,6 +132,22 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_alone(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` stages as its last step; the other intermediate tables that it made on the way go at once."""
+    with scratch_removed(spark) as paths:
+        result = make()
+        kept = paths.pop()
+    if (passing := _passing.get()) is not None:
+        passing.append(kept)
+    return result
+
+
+def remove_staged(table: DataFrame) -> None:
+    """Remove a staged table that nothing reads any more."""
+    if found := table.inputFiles():
+        remove_folder(table.sparkSession, unquote(found[0]).rpartition("/")[0])
+
+
 # Bytes of input files behind one bucket. Their rows take some 15 times that in a task, which sorts them twice.
 BUCKET_INPUT = 4 << 20
 

@@ -26,6 +26,9 @@ UPDATED_AT = "_silver_updated_at"
 OF, BUCKET = "_of", "_bucket"
 BUCKET_BYTES = 64 << 20
 LEAST_BUCKETS, MOST_BUCKETS = 8, 1 << 16
+# A larger table is dealt out in passes over a part of its buckets each: its staged rows are read so many times, and the disk
+# holds the shuffle files of one pass at a time.
+LARGE_BYTES, PASSES = 1 << 30, 4
 # Fingerprints are half as long in bytes as in hexadecimal digits: they are shuffled as bytes, and files are written with a
 # codec that finds that out.
 HASH_SUFFIX, AS_BYTES = "_hash", "_bytes_of_"
@@ -118,7 +121,10 @@ def create(df: DataFrame, path: str, key: str, size: int | None = None) -> int:
         df.write.parquet(folder, compression=STAGED_CODEC)
         rows, size = spark.read.schema(df.schema).parquet(folder), folder_bytes(spark, folder)
     of = buckets_for(size)
-    _write(_dealt(_in_buckets(_narrowed(rows), key, of)), path)
+    placed, passes = _in_buckets(_narrowed(rows), key, of), PASSES if size > LARGE_BYTES else 1
+    for n in range(passes):
+        part = placed.where(F.col(BUCKET) % passes == n) if passes > 1 else placed
+        _write(_dealt(part), path, "dynamic" if n else "static")
     _write_schema(rows, path, of)
     n = rows.count()
     if folder:

@@ -1,5 +1,6 @@
 import hashlib
 import os
+import time
 
 import pytest
 from evidence_rows import T0, T1
@@ -151,3 +152,39 @@ def test_intermediate_tables_go_at_the_end(spark):
         assert table.count() == 3 and folder_names(spark, folder)
     assert not folder_names(spark, folder)
     assert staged(spark.range(3), "staying").count() == 3
+
+
+def test_a_large_table_is_dealt_out_in_passes(spark, tmp_path, monkeypatch):
+    rows = spark.range(1000).select(F.when(F.col("id") > 0, F.col("id")).alias("id"), F.sha2(F.col("id").cast("string"), 256).alias("row_hash"))
+    path, write, sizes = f"{tmp_path}/t", versions._write, []
+
+    def counted(df, target, replace="static"):
+        sizes.append(df.count())
+        write(df, target, replace)
+
+    monkeypatch.setattr(versions, "_write", counted)
+    assert versions.create(rows.limit(10), path, "id") == 10 and len(sizes) == 1
+    monkeypatch.setattr(versions, "LARGE_BYTES", 0)
+    assert versions.create(rows, path, "id") == 1000
+    assert len(sizes[1:]) == versions.PASSES and sum(sizes[1:]) == 1000 and max(sizes[1:]) < 600
+    back = versions.read_table(spark, path)
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, rows.collect()))
+
+
+def test_shuffle_files_go_with_their_query(spark, tmp_path):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> set[str]:
+        found = disk.getAllFiles()
+        names = (found.apply(i).getName() for i in range(found.size()))
+        return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+    before = shuffled()
+    with scratch_removed(spark):
+        staged(spark.range(1000).repartition(5, "id"), "dealt")
+        for _ in range(50):
+            if not (left := shuffled() - before):
+                break
+            time.sleep(0.1)
+        assert not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
